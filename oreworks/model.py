@@ -42,44 +42,96 @@ STAGE_COLUMN = "pipeline_stage"
 # --------------------------------------------------------------------------
 
 
-def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
 
 
-SCHEMA_RULES = _fields(
-    "source string, lob string, domain string, field_name string, data_type string, "
-    "is_required boolean, created_date timestamp, updated_date timestamp"
+def _table(**columns: str) -> T.StructType:
+    """Columns as name="type", with a trailing ``!`` for not null; needs no session."""
+    return T.StructType(
+        [
+            T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!"))
+            for name, kind in columns.items()
+        ]
+    )
+
+
+SCHEMA_RULES = _table(
+    source="string",
+    lob="string",
+    domain="string",
+    field_name="string",
+    data_type="string",
+    is_required="boolean",
+    created_date="timestamp",
+    updated_date="timestamp",
 )
 
-TRANSFORM_RULES = _fields(
-    "source string, lob string, domain string, field_name string, transform string, "
-    "transform_type string, priority int, created_date timestamp, updated_date timestamp"
+TRANSFORM_RULES = _table(
+    source="string",
+    lob="string",
+    domain="string",
+    field_name="string",
+    transform="string",
+    transform_type="string",
+    priority="int",
+    created_date="timestamp",
+    updated_date="timestamp",
 )
 
 # record_count is a bigint: a single run at the target scale passes 2^31 rows.
-QUALITY_METRICS = _fields(
-    "source string not null, lob string not null, domain string not null, "
-    "stage string not null, table_name string not null, metric_name string not null, "
-    "metric_value double, threshold double, status string not null, "
-    "record_count bigint, created_timestamp timestamp not null"
+QUALITY_METRICS = _table(
+    source="string!",
+    lob="string!",
+    domain="string!",
+    stage="string!",
+    table_name="string!",
+    metric_name="string!",
+    metric_value="double",
+    threshold="double",
+    status="string!",
+    record_count="bigint",
+    created_timestamp="timestamp!",
 )
 
-ERROR_LOG = _fields(
-    "error_id string not null, timestamp timestamp not null, source string, lob string, "
-    "domain string, stage string, error_type string not null, error_message string not null, "
-    "stack_trace string, record_count bigint, additional_context string"
+ERROR_LOG = _table(
+    error_id="string!",
+    timestamp="timestamp!",
+    source="string",
+    lob="string",
+    domain="string",
+    stage="string",
+    error_type="string!",
+    error_message="string!",
+    stack_trace="string",
+    record_count="bigint",
+    additional_context="string",
 )
 
-RUN_LOG = _fields(
-    "source string, lob string, domain string, stage string, table_name string, "
-    "record_count bigint, seconds double"
+RUN_LOG = _table(
+    source="string",
+    lob="string",
+    domain="string",
+    stage="string",
+    table_name="string",
+    record_count="bigint",
+    seconds="double",
 )
 
-TABLE_COLUMNS = _fields(
-    "source string, lob string, domain string, field_name string, actual_type string"
+TABLE_COLUMNS = _table(
+    source="string", lob="string", domain="string", field_name="string", actual_type="string"
 )
 
-PLACEHOLDER = _fields("placeholder string")
+CONFIG = _table(name="string", lobs="array<string>", domains="array<string>")
+
+PLACEHOLDER = _table(placeholder="string")
 
 
 class Combination(NamedTuple):

@@ -15,14 +15,21 @@ from oreworks.sources.tables import count_row, union_all
 LATEST_ERRORS = 5
 
 
-def quality_stats(df: DataFrame) -> DataFrame:
-    """Average, lowest and highest score; all NULL for an empty table."""
+def score_measures() -> list[Column]:
+    """Average, lowest and highest score. The sum is widened: a plain decimal(3,2) average
+    overflows past 10^11 rows."""
     score = F.col(SCORE_COLUMN)
-    return df.agg(
-        F.avg(score).cast("double").alias("avg_quality"),
+    average = F.sum(score.cast("decimal(18,2)")).cast("double") / F.count(score)
+    return [
+        average.alias("avg_quality"),
         F.min(score).cast("double").alias("min_quality"),
         F.max(score).cast("double").alias("max_quality"),
-    )
+    ]
+
+
+def quality_stats(df: DataFrame) -> DataFrame:
+    """`score_measures` of a scored table; all NULL if it is empty."""
+    return df.agg(*score_measures())
 
 
 def _removed(step: str, before: Column, after: Column) -> list[Column]:

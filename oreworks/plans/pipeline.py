@@ -14,6 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreworks.functions.local import local_frame
 from oreworks.model import ERROR_LOG, RUN_LOG, STAGES, Combination, Settings
 from oreworks.operators.selection import rule_fields
 from oreworks.operators.transform import transform_with_outcomes
@@ -36,7 +37,7 @@ class RunFailed(RuntimeError):
 
     def __init__(self, result: RunResult):
         self.result = result
-        super().__init__(f"{len(result.error_rows)} of the run's combinations failed")
+        super().__init__(f"failed combinations: {', '.join(c.label for c in result.failed)}")
 
 
 @dataclass
@@ -49,15 +50,15 @@ class RunResult:
     error_rows: list[tuple] = field(default_factory=list)
     score_rows: dict[Combination, dict] = field(default_factory=dict)
     checks: dict[tuple[Combination, str], bool] = field(default_factory=dict)
-    failed: bool = False
+    failed: list[Combination] = field(default_factory=list)
 
     @property
     def run_log(self) -> DataFrame:
-        return self.spark.createDataFrame(self.log_rows, RUN_LOG)
+        return local_frame(self.spark, self.log_rows, RUN_LOG)
 
     @property
     def errors(self) -> DataFrame:
-        return self.spark.createDataFrame(self.error_rows, ERROR_LOG)
+        return local_frame(self.spark, self.error_rows, ERROR_LOG)
 
     def table(self, combination: Combination, stage: str) -> DataFrame:
         return self.spark.table(self.written[combination, stage])
@@ -126,10 +127,9 @@ class _CombinationRun:
         rows = measured[ROWS_OUT]
         self.result.written[c, stage] = name
         self.result.log_rows.append((*c, stage, name, rows, measured["seconds"]))
-        if "score_avg" in measured:
-            self.result.score_rows[c] = {
-                k: v for k, v in measured.items() if k.startswith("score_")
-            }
+        scores = {k: v for k, v in measured.items() if k.endswith("_quality")}
+        if scores:
+            self.result.score_rows[c] = scores
         written = self.spark.table(name)
         self.result.checks[c, stage] = rows > 0 and set(needed) <= set(written.columns)
         return written
@@ -161,7 +161,7 @@ class _CombinationRun:
         except Exception as error:
             log.exception("%s failed in %s", c.label, self.stage)
             self.result.error_rows.append(error_row(error, c, self.stage))
-            self.result.failed = True
+            self.result.failed.append(c)
         return self.result
 
 
@@ -221,7 +221,7 @@ def run(
         result.error_rows += part.error_rows
         result.score_rows.update(part.score_rows)
         result.checks.update(part.checks)
-        result.failed = result.failed or part.failed
+        result.failed += part.failed
     if result.failed and raise_failures:
         raise RunFailed(result)
     return result

@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from oreworks.model import Combination, Settings
+from oreworks.functions.local import local_frame
+from oreworks.model import SCHEMA_RULES, Combination, Settings
 from oreworks.operators.checks import completeness, duplicates, schema_findings, type_checks
 from oreworks.operators.report import quality_report
 from oreworks.operators.selection import required_fields
@@ -30,10 +31,14 @@ def quality_run(
     settings = settings or Settings()
     rules = collect_rules(schema_rules, list(frames))
     columns = table_columns(frames)
-    in_run = schema_rules.join(
-        columns.select("source", "lob", "domain").distinct(),
-        ["source", "lob", "domain"],
-        "left_semi",
+    in_run = local_frame(
+        columns.sparkSession,
+        [
+            (*c, r["field_name"], r["data_type"], r["is_required"], None, None)
+            for c, found in rules.items()
+            for r in found
+        ],
+        SCHEMA_RULES,
     )
     tolerance = settings.null_tolerance_percent
     return quality_report(

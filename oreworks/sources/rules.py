@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreworks.functions.expressions import conjunction
+from oreworks.functions.local import local_frame
 from oreworks.model import (
     ALLOWED_DOMAINS,
     COMBINATION_COLUMNS,
+    CONFIG,
     DEDUP_KEYS,
     DEFAULT_DEDUP_KEYS,
     SCHEMA_RULES,
@@ -41,6 +44,8 @@ SAMPLE_TRANSFORM_RULES = (
     ("source1", "lob1", "member", "member_id", "UPPER(member_id)", "FUNCTION", 1),
 )
 
+_KEYS = COMBINATION_COLUMNS
+
 # Rules are control data: combinations x fields. More than this is a mistake, not a rule set.
 MAX_DRIVER_RULES = 200_000
 
@@ -48,8 +53,7 @@ MAX_DRIVER_RULES = 200_000
 def _rule_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
     """Rows without the two date columns get the current time for both."""
     short = T.StructType(schema.fields[:-2])
-    stamped = spark.createDataFrame([tuple(r) for r in rows], short)
-    return stamped.select(
+    return local_frame(spark, rows, short).select(
         "*",
         F.current_timestamp().alias("created_date"),
         F.current_timestamp().alias("updated_date"),
@@ -117,15 +121,18 @@ def collect_rules(
 ) -> dict[Combination, list[Row]]:
     """All rules of the given combinations in one job, grouped on the driver.
 
-    The ordering within a combination is that of the lookups. The size is checked: a
-    rule table that outgrows ``MAX_DRIVER_RULES`` raises instead of filling the driver.
+    The filter reaches the scan of the rule table; exact triples are matched here. Rules
+    are ordered as by the lookups. The size is checked: a rule table that outgrows
+    ``MAX_DRIVER_RULES`` raises instead of filling the driver.
     """
-    wanted = rules.sparkSession.createDataFrame(
-        [tuple(c) for c in combinations], "source string, lob string, domain string"
-    ).distinct()
+    wanted = set(combinations)
     order = ["priority", "field_name"] if "priority" in rules.columns else ["field_name"]
     rows = (
-        rules.join(wanted, list(COMBINATION_COLUMNS), "left_semi")
+        rules.filter(
+            conjunction(
+                [F.col(c).isin(sorted({w[i] for w in wanted})) for i, c in enumerate(_KEYS)]
+            )
+        )
         .drop("created_date", "updated_date")
         .limit(MAX_DRIVER_RULES + 1)
         .collect()
@@ -135,8 +142,8 @@ def collect_rules(
 
     grouped: dict[Combination, list[Row]] = defaultdict(list)
     for row in rows:
-        grouped[Combination(row["source"], row["lob"], row["domain"])].append(row)
-    return {c: sorted(grouped.get(c, []), key=lambda r: _sort_key(r, order)) for c in combinations}
+        grouped[Combination(*[row[c] for c in _KEYS])].append(row)
+    return {c: sorted(grouped[c], key=lambda r: _sort_key(r, order)) for c in combinations}
 
 
 def _sort_key(row: Row, order: Sequence[str]) -> tuple:
@@ -156,10 +163,8 @@ def combinations(config: DataFrame) -> DataFrame:
 
 
 def config_frame(spark: SparkSession, settings: Settings) -> DataFrame:
-    return spark.createDataFrame(
-        [(s.name, list(s.lobs), list(s.domains)) for s in settings.sources],
-        "name string, lobs array<string>, domains array<string>",
-    )
+    rows = [(s.name, list(s.lobs), list(s.domains)) for s in settings.sources]
+    return local_frame(spark, rows, CONFIG)
 
 
 def dedup_keys(
@@ -224,3 +229,17 @@ def lint_rules(
         "occurrences",
         F.explode(F.array_compact(F.array(*findings))).alias("finding"),
     )
+
+
+def schema_rule_list(rows: Iterable[Sequence]) -> list[dict]:
+    """Schema rules known at plan time: (field_name, data_type, is_required), in lookup order."""
+    names = ("field_name", "data_type", "is_required")
+    return sorted((dict(zip(names, r)) for r in rows), key=lambda r: r["field_name"])
+
+
+def transform_rule_list(rows: Iterable[Sequence]) -> list[dict]:
+    """Transform rules known at plan time: (field_name, transform, priority), in lookup order."""
+    names = ("field_name", "transform", "priority")
+    return sorted(
+        (dict(zip(names, r)) for r in rows), key=lambda r: (r["priority"], r["field_name"])
+    )

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreworks.functions.local import local_frame
 from oreworks.functions.types import column_types
 from oreworks.model import (
     DEFAULT_YEAR_MONTH,
@@ -22,15 +23,15 @@ from oreworks.model import (
 
 def placeholder(spark: SparkSession) -> DataFrame:
     """What a missing input becomes: no rows, one nullable string column."""
-    return spark.createDataFrame([], PLACEHOLDER)
+    return local_frame(spark, [], PLACEHOLDER)
 
 
 def empty_quality_metrics(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], QUALITY_METRICS)
+    return local_frame(spark, [], QUALITY_METRICS)
 
 
 def empty_error_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], ERROR_LOG)
+    return local_frame(spark, [], ERROR_LOG)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -81,7 +82,7 @@ def table_columns(frames: Mapping[Combination, DataFrame]) -> DataFrame:
         for combination, df in frames.items()
         for name, kind in column_types(df).items()
     ]
-    return spark.createDataFrame(rows, TABLE_COLUMNS)
+    return local_frame(spark, rows, TABLE_COLUMNS)
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -114,17 +115,15 @@ def inventory(frames: Mapping[str, DataFrame | None]) -> DataFrame:
         count_row(df, table_name=n, exists=True, column_count=len(df.columns))
         for n, df in present.items()
     )
-    absent = [n for n in frames if n not in present]
+    absent = [(n, False, 0, 0) for n in frames if n not in present]
     if not absent:
         return counted
-    spark = next(iter(present.values())).sparkSession
-    missing = spark.createDataFrame([(n,) for n in absent], "table_name string").select(
-        "table_name",
-        F.lit(False).alias("exists"),
-        F.lit(0).alias("column_count"),
-        F.lit(0).cast("bigint").alias("row_count"),
-    )
-    return counted.unionByName(missing)
+    return counted.unionByName(local_frame(counted.sparkSession, absent, counted.schema))
+
+
+def sample_rows(df: DataFrame, n: int, *order) -> DataFrame:
+    """The first ``n`` rows by ``order``; without one, any ``n`` rows."""
+    return (df.orderBy(*order) if order else df).limit(n)
 
 
 def catalog_inventory(spark: SparkSession, names: Iterable[str]) -> DataFrame:
