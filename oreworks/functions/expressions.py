@@ -20,6 +20,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_string(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column(name: str) -> Column:
     """The column of exactly this name, dots and spaces included."""
     return F.col(quoted(name))

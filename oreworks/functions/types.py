@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The Spark types a rule type name accepts.
@@ -27,33 +26,27 @@ TYPE_SYNONYMS = {
 }
 
 
-def type_matches(expected: Column, actual: Column) -> Column:
-    """Does an actual type (``simpleString`` form) satisfy a rule's type name?
+def _sql_map(pairs: dict[str, str]) -> str:
+    return "map(" + ", ".join(f"'{k}', {v}" for k, v in pairs.items()) + ")"
+
+
+def type_matches(expected: str, actual: str) -> str:
+    """SQL condition: does the type in column ``actual`` (``simpleString`` form) satisfy
+    the rule type name in column ``expected``?
 
     The six rule names accept a family; any other name must be the same Spark type.
     """
-    name = F.upper(F.trim(expected))
-    families = F.create_map(
-        *[
-            part
-            for rule, accepted in TYPE_FAMILIES.items()
-            for part in (F.lit(rule), F.array(*map(F.lit, accepted)))
-        ]
-    )
-    compact = F.regexp_replace(F.lower(expected), r"\s", "")
-    base = F.regexp_extract(compact, r"^([a-z_]+)", 1)
-    synonyms = F.create_map(*[F.lit(p) for pair in TYPE_SYNONYMS.items() for p in pair])
-    spelled = F.concat(
-        F.coalesce(F.element_at(synonyms, base), base),
-        F.regexp_replace(compact, r"^[a-z_]+", ""),
+    families = _sql_map({k: f"array{v}".replace(",)", ")") for k, v in TYPE_FAMILIES.items()})
+    synonyms = _sql_map({k: f"'{v}'" for k, v in TYPE_SYNONYMS.items()})
+    compact = f"regexp_replace(lower({expected}), '[ \\t\\n]', '')"
+    base = f"regexp_extract({compact}, '^([a-z_]+)', 1)"
+    spelled = (
+        f"concat(coalesce({synonyms}[{base}], {base}), regexp_replace({compact}, '^[a-z_]+', ''))"
     )
-    spelled = F.when(spelled == "decimal", F.lit("decimal(10,0)")).otherwise(spelled)
-    family = F.element_at(families, name)
-    return F.coalesce(
-        F.when(family.isNotNull(), F.array_contains(family, F.lower(actual))).otherwise(
-            spelled == F.lower(actual)
-        ),
-        F.lit(False),
+    family = f"{families}[upper(trim({expected}))]"
+    return (
+        f"coalesce(if({family} IS NOT NULL, array_contains({family}, lower({actual})), "
+        f"replace({spelled} || ';', 'decimal;', 'decimal(10,0);') = lower({actual}) || ';'), false)"
     )
 
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.functions.expressions import balanced_sum, column, combination_literals
+from oreworks.functions.expressions import combination_literals, quoted, sql_string
 from oreworks.functions.types import type_matches
 from oreworks.model import (
     COMBINATION_COLUMNS,
@@ -29,58 +29,53 @@ def _matched(rules: DataFrame, columns: DataFrame) -> DataFrame:
     A union counted per field does the work of a full outer join in one shuffle, takes
     duplicate rules in its stride, and combines map-side.
     """
-    ruled = rules.select(
+    ruled = rules.selectExpr(
         *COMBINATION_COLUMNS,
         "field_name",
-        F.lit(True).alias("ruled"),
-        F.coalesce("is_required", F.lit(False)).alias("required"),
-        F.lit(False).alias("present"),
-        F.col("data_type").alias("expected_type"),
-        F.lit(None).cast("string").alias("actual_type"),
+        "true AS ruled",
+        "coalesce(is_required, false) AS required",
+        "false AS present",
+        "data_type AS expected_type",
+        "CAST(NULL AS STRING) AS actual_type",
     )
-    found = columns.select(
+    found = columns.selectExpr(
         *COMBINATION_COLUMNS,
         "field_name",
-        F.lit(False).alias("ruled"),
-        F.lit(False).alias("required"),
-        F.lit(True).alias("present"),
-        F.lit(None).cast("string").alias("expected_type"),
+        "false AS ruled",
+        "false AS required",
+        "true AS present",
+        "CAST(NULL AS STRING) AS expected_type",
         "actual_type",
     )
     return (
         ruled.unionByName(found)
         .groupBy(*COMBINATION_COLUMNS, "field_name")
         .agg(
-            F.bool_or("ruled").alias("ruled"),
-            F.bool_or("required").alias("required"),
-            F.bool_or("present").alias("present"),
-            F.min("expected_type").alias("expected_type"),
-            F.min("actual_type").alias("actual_type"),
+            F.expr("bool_or(ruled) AS ruled"),
+            F.expr("bool_or(required) AS required"),
+            F.expr("bool_or(present) AS present"),
+            F.expr("min(expected_type) AS expected_type"),
+            F.expr("min(actual_type) AS actual_type"),
         )
     )
 
 
-def _missing() -> Column:
-    return F.col("required") & ~F.col("present")
-
-
-def _extra() -> Column:
-    return ~F.col("ruled")
+_MISSING = "(required AND NOT present)"
+_EXTRA = "(NOT ruled)"
 
 
 def schema_findings(rules: DataFrame, columns: DataFrame) -> DataFrame:
     """Missing required fields (FAIL) and columns no rule names (WARN)."""
     return (
         _matched(rules, columns)
-        .filter(_missing() | _extra())
-        .select(
+        .filter(f"{_MISSING} OR {_EXTRA}")
+        .selectExpr(
             *COMBINATION_COLUMNS,
-            F.when(_missing(), "missing_required_field").otherwise("extra_field").alias("check_type"),
+            f"if({_MISSING}, 'missing_required_field', 'extra_field') AS check_type",
             "field_name",
-            F.when(_missing(), "FAIL").otherwise("WARN").alias("status"),
-            F.when(_missing(), F.format_string("Required field %s is missing", "field_name"))
-            .otherwise(F.format_string("Unexpected field %s found", "field_name"))
-            .alias("message"),
+            f"if({_MISSING}, 'FAIL', 'WARN') AS status",
+            f"if({_MISSING}, 'Required field ' || field_name || ' is missing', "
+            "'Unexpected field ' || field_name || ' found') AS message",
         )
     )
 
@@ -92,32 +87,30 @@ def schema_compliance(rules: DataFrame, columns: DataFrame) -> DataFrame:
         _matched(rules, columns)
         .groupBy(*COMBINATION_COLUMNS)
         .agg(
-            F.count_if(_missing()).alias("missing_required"),
-            F.count_if(_extra()).alias("extra_fields"),
+            F.expr(f"count_if({_MISSING}) AS missing_required"),
+            F.expr(f"count_if({_EXTRA}) AS extra_fields"),
         )
-        .withColumn(
-            "overall_status",
-            F.when(F.col("missing_required") > 0, "FAIL")
-            .when(F.col("extra_fields") > 0, "WARN")
-            .otherwise("PASS"),
+        .selectExpr(
+            "*",
+            "CASE WHEN missing_required > 0 THEN 'FAIL' WHEN extra_fields > 0 THEN 'WARN' "
+            "ELSE 'PASS' END AS overall_status",
         )
     )
 
 
 def type_checks(rules: DataFrame, columns: DataFrame) -> DataFrame:
     """Rule type against column type, for the fields that have both."""
-    matches = type_matches(F.col("expected_type"), F.col("actual_type"))
     return (
         _matched(rules, columns)
-        .filter(F.col("ruled") & F.col("present"))
-        .select(
+        .filter("ruled AND present")
+        .selectExpr(
             *COMBINATION_COLUMNS,
             "field_name",
             "expected_type",
             "actual_type",
-            matches.alias("matches"),
+            f"{type_matches('expected_type', 'actual_type')} AS matches",
         )
-        .withColumn("status", F.when(F.col("matches"), "PASS").otherwise("FAIL"))
+        .selectExpr("*", "if(matches, 'PASS', 'FAIL') AS status")
     )
 
 
@@ -139,48 +132,49 @@ def completeness(
     ``missing_fields`` names them. An empty table has only the overall row: 0.0, WARN.
     """
     required = list(dict.fromkeys(required))
-    present = [f for f in required if f in df.columns]
-    missing = [f for f in required if f not in df.columns]
-    nulls = [F.count_if(column(f).isNull()).alias(f"_n{i}") for i, f in enumerate(present)]
-    totals = df.agg(F.count(F.lit(1)).alias("total_records"), *nulls)
-
-    total = F.col("total_records")
-    floor = F.lit(float(100 - tolerance_percent))
-
-    def percent(whole: Column, gaps: Column) -> Column:
-        return F.when(whole > 0, (whole - gaps) / whole * F.lit(100.0))
-
-    def row(level: str, name: str | None, gaps: Column, share: Column, status: Column) -> Column:
-        return F.struct(
-            F.lit(level).alias("level"),
-            F.lit(name).cast("string").alias("field_name"),
-            gaps.alias("null_count"),
-            share.alias("completeness_percent"),
-            status.alias("status"),
-        )
-
-    gaps = [F.col(f"_n{i}") for i in range(len(present))]
-    shares = [percent(total, g) for g in gaps]
-    fields = [
-        row("field", f, g, s, F.when(s >= floor, "PASS").otherwise("FAIL"))
-        for f, g, s in zip(present, gaps, shares)
+    have = set(df.columns)
+    present = [f for f in required if f in have]
+    missing = [f for f in required if f not in have]
+    totals = df.agg(
+        F.expr("count(1) AS total_records"),
+        *[F.expr(f"count_if({quoted(f)} IS NULL) AS _n{i}") for i, f in enumerate(present)],
+    )
+    gaps = [f"_n{i}" for i in range(len(present))]
+    every = f"array({', '.join(gaps)})"
+    rows = [
+        f"struct('field' AS level, {sql_string(f)} AS field_name, {n} AS null_count, "
+        f"total_records AS cells, {n} AS worst)"
+        for f, n in zip(present, gaps)
     ]
-    all_gaps = balanced_sum(gaps) if gaps else F.lit(0).cast("bigint")
-    whole = total * F.lit(len(required)).cast("bigint")
-    any_failed = F.exists(F.array(*shares), lambda s: s < floor) if shares else F.lit(False)
-    overall = row(
-        "overall",
-        None,
-        all_gaps,
-        F.when(total == 0, F.lit(0.0)).otherwise(F.coalesce(percent(whole, all_gaps), F.lit(100.0))),
-        F.when(total == 0, "WARN").when(any_failed, "FAIL").otherwise("PASS"),
+    rows.append(
+        "struct('overall' AS level, CAST(NULL AS STRING) AS field_name, "
+        + (f"aggregate({every}, 0L, (a, n) -> a + n)" if gaps else "0L")
+        + f" AS null_count, total_records * {len(required)}L AS cells, "
+        + (f"array_max({every})" if gaps else "0L")
+        + " AS worst)"
     )
-    rows = F.array(*fields, overall)
     return (
-        totals.select(*combination_literals(combination), "total_records", F.inline(rows))
-        .filter((F.col("level") == "overall") | (total > 0))
-        .withColumn(
-            "missing_fields", F.array(*map(F.lit, missing)).cast("array<string>")
+        totals.select("total_records", F.expr(f"inline(array({', '.join(rows)}))"))
+        .filter("level = 'overall' OR total_records > 0")
+        .select(
+            *combination_literals(combination),
+            "total_records",
+            "level",
+            "field_name",
+            "null_count",
+            F.expr(
+                "CASE WHEN total_records = 0 THEN 0D WHEN cells = 0 THEN 100D "
+                "ELSE (cells - null_count) / cells * 100D END AS completeness_percent"
+            ),
+            F.expr(
+                "CASE WHEN total_records = 0 THEN 'WARN' WHEN (total_records - worst) / "
+                f"total_records * 100D >= {float(100 - tolerance_percent)}D THEN 'PASS' "
+                "ELSE 'FAIL' END AS status"
+            ),
+            F.expr(
+                f"CAST(array({', '.join(map(sql_string, missing))}) AS ARRAY<STRING>) "
+                "AS missing_fields"
+            ),
         )
     )
 
@@ -192,31 +186,29 @@ def completeness(
 
 def duplicates(df: DataFrame, combination: Combination, keys: Sequence[str]) -> DataFrame:
     """One row of duplicate numbers over the key columns the table has."""
-    present = [k for k in dict.fromkeys(keys) if k in df.columns]
+    have = set(df.columns)
+    present = [k for k in dict.fromkeys(keys) if k in have]
     if present:
         profile = key_profile(df, present)
     else:
-        profile = df.agg(F.count(F.lit(1)).alias("total_records")).select(
-            "total_records",
-            F.col("total_records").alias("unique_records"),
-            F.lit(0).cast("bigint").alias("duplicate_groups"),
+        profile = df.agg(F.expr("count(1) AS total_records")).selectExpr(
+            "total_records", "total_records AS unique_records", "0L AS duplicate_groups"
         )
-    total = F.col("total_records")
-    extra = total - F.col("unique_records")
-    no_key = bool(keys) and not present
-    status = F.when((extra == 0) & (F.lit(not no_key) | (total == 0)), "PASS").otherwise("WARN")
-    message = F.when(F.lit(no_key) & (total > 0), "No key columns found for duplicate detection")
+    no_key = "total_records > 0" if keys and not present else "false"
     return profile.select(
         *combination_literals(combination),
-        total,
+        "total_records",
         "unique_records",
-        extra.alias("duplicate_count"),
-        F.when(total > 0, extra / total * F.lit(100.0)).otherwise(F.lit(0.0)).alias(
-            "duplicate_percentage"
+        F.expr("total_records - unique_records AS duplicate_count"),
+        F.expr(
+            "if(total_records > 0, (total_records - unique_records) / total_records * 100D, 0D) "
+            "AS duplicate_percentage"
         ),
         "duplicate_groups",
-        status.alias("status"),
-        message.alias("message"),
+        F.expr(
+            f"if(total_records = unique_records AND NOT ({no_key}), 'PASS', 'WARN') AS status"
+        ),
+        F.expr(f"if({no_key}, 'No key columns found for duplicate detection', NULL) AS message"),
     )
 
 
@@ -229,16 +221,14 @@ def _stage_check(
     df: DataFrame, combination: Combination, stage: str, name: str, needed: Sequence[str]
 ) -> DataFrame:
     have = set(df.columns)
-    complete = all(f in have for f in needed)
-    counted = df.agg(F.count(F.lit(1)).alias("record_count"))
-    passed = F.lit(complete) & (F.col("record_count") > 0)
-    return counted.select(
+    passed = "record_count > 0" if all(f in have for f in needed) else "false"
+    return df.agg(F.expr("count(1) AS record_count")).select(
         *combination_literals(combination),
         F.lit(stage).alias("stage"),
         F.lit(name).alias("metric_name"),
-        passed.cast("double").alias("metric_value"),
+        F.expr(f"CAST({passed} AS DOUBLE) AS metric_value"),
         F.lit(1.0).alias("threshold"),
-        F.when(passed, "PASS").otherwise("WARN").alias("status"),
+        F.expr(f"if({passed}, 'PASS', 'WARN') AS status"),
         "record_count",
     )
 

@@ -73,11 +73,11 @@ def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Counting per key first gives all three in one pass. Map-side partial counts carry
     hot keys, and the key columns alone are shuffled. NULL is a key value like any other.
     """
-    counted = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias("_n"))
+    counted = df.groupBy(*map(column, keys)).agg(F.expr("count(1) AS _n"))
     return counted.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total_records"),
-        F.count(F.lit(1)).alias("unique_records"),
-        F.count_if(F.col("_n") > 1).alias("duplicate_groups"),
+        F.expr("coalesce(sum(_n), 0L) AS total_records"),
+        F.expr("count(1) AS unique_records"),
+        F.expr("count_if(_n > 1) AS duplicate_groups"),
     )
 
 

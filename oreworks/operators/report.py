@@ -5,50 +5,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.model import COMBINATION_COLUMNS, NULL_TOLERANCE_PERCENT, QUALITY_METRICS
+from oreworks.model import COMBINATION_COLUMNS, NULL_TOLERANCE_PERCENT
 from oreworks.sources.tables import union_all
 
 
 def _metrics(
     findings: DataFrame,
-    stage: str | Column,
-    metric_name: Column,
-    metric_value: Column,
-    threshold: float | Column,
-    status: Column,
-    record_count: Column,
     now: Column | None,
+    stage: str,
+    metric_name: str,
+    metric_value: str,
+    threshold: str,
+    record_count: str,
 ) -> DataFrame:
-    """Project findings onto the metrics schema; the types never depend on the data."""
-    values = {
-        "stage": F.lit(stage) if isinstance(stage, str) else stage,
-        "table_name": F.concat_ws("_", *COMBINATION_COLUMNS),
-        "metric_name": metric_name,
-        "metric_value": metric_value,
-        "threshold": threshold if isinstance(threshold, Column) else F.lit(float(threshold)),
-        "status": status,
-        "record_count": record_count,
-        "created_timestamp": F.current_timestamp() if now is None else now,
-    }
-    return findings.select(
+    """Project findings onto the metrics schema; the types never depend on the data.
+
+    The last five arguments are SQL over the findings' columns.
+    """
+    projected = findings.selectExpr(
         *COMBINATION_COLUMNS,
-        *[
-            values[f.name].cast(f.dataType).alias(f.name)
-            for f in QUALITY_METRICS.fields
-            if f.name in values
-        ],
+        f"{stage} AS stage",
+        f"concat_ws('_', {', '.join(COMBINATION_COLUMNS)}) AS table_name",
+        f"{metric_name} AS metric_name",
+        f"CAST({metric_value} AS DOUBLE) AS metric_value",
+        f"CAST({threshold} AS DOUBLE) AS threshold",
+        "status",
+        f"CAST({record_count} AS BIGINT) AS record_count",
+    )
+    return projected.withColumn(
+        "created_timestamp", F.current_timestamp() if now is None else now
     )
 
 
-def _flag() -> Column:
-    return F.when(F.col("status") == "PASS", 1.0).otherwise(0.0)
+_FLAG = "if(status = 'PASS', 1, 0)"
 
 
 def schema_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
-    return _metrics(
-        findings, "schema_validation", F.col("check_type"), _flag(), 1.0,
-        F.col("status"), F.lit(None), now,
-    )
+    return _metrics(findings, now, "'schema_validation'", "check_type", _FLAG, "1", "NULL")
 
 
 def completeness_metrics(
@@ -57,36 +50,29 @@ def completeness_metrics(
     now: Column | None = None,
 ) -> DataFrame:
     return _metrics(
-        findings.filter(F.col("level") == "field"),
-        "completeness_validation",
-        F.concat(F.lit("completeness_"), "field_name"),
-        F.col("completeness_percent"),
-        100 - tolerance_percent,
-        F.col("status"),
-        F.col("total_records"),
+        findings.filter("level = 'field'"),
         now,
+        "'completeness_validation'",
+        "'completeness_' || field_name",
+        "completeness_percent",
+        str(float(100 - tolerance_percent)),
+        "total_records",
     )
 
 
 def duplicate_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
-    return _metrics(
-        findings, "duplicate_detection", F.lit("duplicate_percentage"),
-        F.col("duplicate_percentage"), 0.0, F.col("status"), F.col("total_records"), now,
-    )
+    value = "duplicate_percentage"
+    return _metrics(findings, now, "'duplicate_detection'", f"'{value}'", value, "0", "total_records")
 
 
 def type_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
-    return _metrics(
-        findings, "type_validation", F.concat(F.lit("type_"), "field_name"), _flag(), 1.0,
-        F.col("status"), F.lit(None), now,
-    )
+    return _metrics(findings, now, "'type_validation'", "'type_' || field_name", _FLAG, "1", "NULL")
 
 
 def stage_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
     return _metrics(
-        findings, F.col("stage"), F.col("metric_name"), F.col("metric_value"),
-        F.col("threshold"), F.col("status"), F.col("record_count"), now,
-    )
+        findings, now, "stage", "metric_name", "metric_value", "threshold", "record_count"
+    )
 
 
 def quality_report(

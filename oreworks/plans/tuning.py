@@ -21,6 +21,8 @@ def session_conf(
     shuffle = min(shuffle, MAX_SHUFFLE_PARTITIONS)
     split = min(max(input_bytes // MAX_SHUFFLE_PARTITIONS, 128 * MIB), 1024 * MIB)
     return {
+        # Skip capturing a Python stack trace per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
