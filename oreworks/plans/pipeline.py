@@ -21,7 +21,7 @@ from oreworks.operators.transform import transform_with_outcomes
 from oreworks.plans.silver import Rules, silver_a, silver_b, silver_c
 from oreworks.sources import tables
 from oreworks.sources.rules import collect_rules
-from oreworks.sources.sinks import ROWS_OUT, ensure_schemas, stage_properties, write_measured
+from oreworks.sources.sinks import ROWS_OUT, ensure_schema, stage_properties, write_measured
 
 log = logging.getLogger(__name__)
 
@@ -198,7 +198,7 @@ def run(
         transform_rules = spark.table(settings.transform_rules_table)
     selecting = collect_rules(schema_rules, combos)
     rewriting = collect_rules(transform_rules, combos)
-    ensure_schemas(spark, [settings.silver_schema])
+    ensure_schema(spark, settings.silver_schema)
     options = {
         "month": tables.year_month(spark, month),
         "materialize": tuple(materialize),

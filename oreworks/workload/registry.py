@@ -57,6 +57,6 @@ def query(sql: str | None = None):
 
 
 def registered() -> dict[str, Query]:
-    from oreworks.workload import catalog, checks, stages  # noqa: F401  (they register)
+    from oreworks.workload import catalog, checks, runs, stages  # noqa: F401  (they register)
 
     return dict(_QUERIES)

@@ -18,7 +18,7 @@ ABSENT = Combination("source9", "lob9", "pharmacy")
 @pytest.fixture(scope="module")
 def settings(spark):
     s = Settings(bronze_schema="raw", silver_schema="clean")
-    sinks.ensure_schemas(spark, ["raw", "clean"])
+    sinks.ensure_schema(spark, "raw")
     for c, (ddl, rows) in BRONZE.items():
         name = tables.bronze_table(s, c, "202407")
         spark.createDataFrame(rows, ddl).write.mode("overwrite").saveAsTable(name)
