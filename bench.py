@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from oreworks.plans.tuning import STATIC_CONF, session_conf  # noqa: E402
 from oreworks.workload import registered  # noqa: E402
 
 HEADLINE = (
@@ -42,23 +43,27 @@ HEADLINE = (
     "throughput_metrics",
     "rule_lint",
     "table_inventory",
+    "full_run",
 )
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
-def session(cpus: str) -> SparkSession:
+def session(cpus: str, folder: str) -> SparkSession:
     warehouse = tempfile.mkdtemp(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config(map=STATIC_CONF)
         .config("spark.sql.warehouse.dir", warehouse)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
+    input_bytes = sum(f.stat().st_size for f in os.scandir(folder))
+    for key, value in session_conf(input_bytes, int(cpus)).items():
+        spark.conf.set(key, value)
     return spark
 
 
@@ -73,7 +78,7 @@ def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = sys.argv[1:]
-    spark = session(cpus)
+    spark = session(cpus, folder)
     known = registered()
     seconds = {}
     for name in only or HEADLINE:

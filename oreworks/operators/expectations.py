@@ -103,7 +103,8 @@ def expect(
 
     ``warn`` keeps every row, ``drop`` drops rows that break any check, ``fail`` makes
     the job that reads the result fail at the first such row, without a pass of its own.
-    With an ``observation`` the violation counts are gathered by that same job.
+    With an ``observation`` the violation counts are gathered by that same job; they are
+    exact if no shuffle comes after, as map stages may count retried tasks again.
     """
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}")

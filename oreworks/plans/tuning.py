@@ -6,6 +6,11 @@ MIB = 1 << 20
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
+# For the session builder. Planning many combinations builds many column expressions, and
+# by default each of them captures a Python stack trace.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def session_conf(
     input_bytes: int, total_cores: int, partition_bytes: int = 256 * MIB
 ) -> dict[str, str]:
@@ -21,8 +26,6 @@ def session_conf(
     shuffle = min(shuffle, MAX_SHUFFLE_PARTITIONS)
     split = min(max(input_bytes // MAX_SHUFFLE_PARTITIONS, 128 * MIB), 1024 * MIB)
     return {
-        # Skip capturing a Python stack trace per column expression.
-        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
