@@ -89,7 +89,7 @@ def valid_data_types(df: DataFrame, rules: Sequence[Mapping]) -> dict[str, Colum
 # --------------------------------------------------------------------------
 
 
-def _violations(checks: Mapping[str, Column]) -> list[Column]:
+def violation_counts(checks: Mapping[str, Column]) -> list[Column]:
     return [F.count_if(~holds(p)).alias(name) for name, p in checks.items()]
 
 
@@ -109,7 +109,7 @@ def expect(
     if action not in ACTIONS:
         raise ValueError(f"unknown action {action!r}")
     if observation is not None:
-        df = df.observe(observation, *_violations(checks))
+        df = df.observe(observation, *violation_counts(checks))
     if action == "warn":
         return df
     if action == "drop":
@@ -133,7 +133,7 @@ def expectation_counts(
     table-level check ``valid_record_count``.
     """
     names = list(checks)
-    totals = df.agg(F.count(F.lit(1)).alias("_total"), *_violations(checks))
+    totals = df.agg(F.count(F.lit(1)).alias("_total"), *violation_counts(checks))
     rows = [
         F.struct(F.lit(n).alias("expectation"), column(n).alias("violations")) for n in names
     ]

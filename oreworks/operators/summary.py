@@ -14,17 +14,16 @@ from oreworks.sources.tables import count_row, union_all
 
 LATEST_ERRORS = 5
 
+SCORE_MEASURES = ("avg_quality", "min_quality", "max_quality")
+
 
 def score_measures() -> list[Column]:
     """Average, lowest and highest score. The sum is widened: a plain decimal(3,2) average
     overflows past 10^11 rows."""
     score = F.col(SCORE_COLUMN)
     average = F.sum(score.cast("decimal(18,2)")).cast("double") / F.count(score)
-    return [
-        average.alias("avg_quality"),
-        F.min(score).cast("double").alias("min_quality"),
-        F.max(score).cast("double").alias("max_quality"),
-    ]
+    values = (average, F.min(score).cast("double"), F.max(score).cast("double"))
+    return [value.alias(name) for value, name in zip(values, SCORE_MEASURES)]
 
 
 def quality_stats(df: DataFrame) -> DataFrame:

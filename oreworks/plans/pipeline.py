@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import traceback
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -15,8 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.functions.local import local_frame
-from oreworks.model import ERROR_LOG, RUN_LOG, STAGES, Combination, Settings
+from oreworks.model import ERROR_LOG, QUALITY_METRICS, RUN_LOG, STAGES, Combination, Settings
+from oreworks.operators.expectations import violation_counts
 from oreworks.operators.selection import rule_fields
+from oreworks.operators.summary import SCORE_MEASURES
 from oreworks.operators.transform import transform_with_outcomes
 from oreworks.plans.silver import Rules, silver_a, silver_b, silver_c
 from oreworks.sources import tables
@@ -25,6 +27,8 @@ from oreworks.sources.sinks import ROWS_OUT, ensure_schema, stage_properties, wr
 
 log = logging.getLogger(__name__)
 
+CHECK_NAMES = {"silver_b": "transformation_success", "silver_c": "silver_c_completeness"}
+
 STAGE_COMMENTS = {
     "silver_a": "columns selected by schema rules",
     "silver_b": "columns rewritten by transform rules",
@@ -50,6 +54,7 @@ class RunResult:
     error_rows: list[tuple] = field(default_factory=list)
     score_rows: dict[Combination, dict] = field(default_factory=dict)
     checks: dict[tuple[Combination, str], bool] = field(default_factory=dict)
+    violations: dict[tuple[Combination, str], dict[str, int]] = field(default_factory=dict)
     failed: list[Combination] = field(default_factory=list)
 
     @property
@@ -60,6 +65,26 @@ class RunResult:
     def errors(self) -> DataFrame:
         return local_frame(self.spark, self.error_rows, ERROR_LOG)
 
+    @property
+    def metrics(self) -> DataFrame:
+        """The run in the long metrics format: throughput, stage checks, scores and
+        expectation violations of every written table."""
+        now = datetime.now(timezone.utc)
+        rows = []
+        for *c, stage, _, count, seconds in self.log_rows:
+            key = Combination(*c)
+            rate = count / seconds if seconds > 0 else 0.0
+            found = [("records_per_second", rate, None, "PASS")]
+            if stage in CHECK_NAMES:
+                passed = self.checks[key, stage]
+                found.append((CHECK_NAMES[stage], float(passed), 1.0, "PASS" if passed else "WARN"))
+            if stage == "silver_c":
+                found += [(n, v, None, "PASS") for n, v in self.score_rows.get(key, {}).items()]
+            for name, broken in self.violations.get((key, stage), {}).items():
+                found.append((name, float(broken), 0.0, "WARN" if broken else "PASS"))
+            rows += [(*c, stage, key.label, *metric, count, now) for metric in found]
+        return local_frame(self.spark, rows, QUALITY_METRICS)
+
     def table(self, combination: Combination, stage: str) -> DataFrame:
         return self.spark.table(self.written[combination, stage])
 
@@ -123,13 +148,18 @@ class _CombinationRun:
         c, stage = self.combination, self.stage
         name = tables.silver_table(self.settings, c, stage)
         comment = f"{c.source}/{c.lob}/{c.domain}: {STAGE_COMMENTS[stage]}"
-        measured = write_measured(df, name, comment, stage_properties(self.settings, c, stage))
+        expected = self.options["expectations"].get(stage)
+        counted = violation_counts(expected(df)) if expected else []
+        properties = stage_properties(self.settings, c, stage)
+        measured = write_measured(df, name, comment, properties, counted)
         rows = measured[ROWS_OUT]
         self.result.written[c, stage] = name
         self.result.log_rows.append((*c, stage, name, rows, measured["seconds"]))
-        scores = {k: v for k, v in measured.items() if k.endswith("_quality")}
+        scores = {n: measured[n] for n in SCORE_MEASURES if n in measured}
         if scores:
             self.result.score_rows[c] = scores
+        if expected:
+            self.result.violations[c, stage] = {n: measured[n] for n in expected(df)}
         written = self.spark.table(name)
         self.result.checks[c, stage] = rows > 0 and set(needed) <= set(written.columns)
         return written
@@ -178,6 +208,7 @@ def run(
     on_error: str = "raise",
     raise_failures: bool = True,
     now: Column | None = None,
+    expectations: Mapping[str, Callable[[DataFrame], Mapping[str, Column]]] | None = None,
 ) -> RunResult:
     """Refine every combination and write its stage tables.
 
@@ -186,7 +217,9 @@ def run(
     another's scan; results never depend on it. A combination that fails is logged and
     the others go on; at the end ``RunFailed`` is raised unless ``raise_failures`` is
     off. ``materialize`` names the stages to write: the full list gives exact counts and
-    restart points, ``("silver_c",)`` runs the three stages as one plan.
+    restart points, ``("silver_c",)`` runs the three stages as one plan. ``expectations``
+    maps a stage to a function from its DataFrame to named predicates; their violations
+    are counted by the write, and the rows kept.
     """
     combos = list(combinations if combinations is not None else settings.combinations())
     result = RunResult(spark)
@@ -205,6 +238,7 @@ def run(
         "finalize": finalize,
         "on_error": on_error,
         "now": now,
+        "expectations": expectations or {},
     }
 
     def one(combination: Combination) -> RunResult:
@@ -221,6 +255,7 @@ def run(
         result.error_rows += part.error_rows
         result.score_rows.update(part.score_rows)
         result.checks.update(part.checks)
+        result.violations.update(part.violations)
         result.failed += part.failed
     if result.failed and raise_failures:
         raise RunFailed(result)

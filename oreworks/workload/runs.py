@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from oreworks.model import Combination, Settings
@@ -22,7 +24,6 @@ INPUTS = {SALES: "orders", LINES: "lineitem", CLICKS: "events", TEXTS: "document
 
 SETTINGS = Settings(
     bronze_schema="global_temp",
-    silver_schema="oreworks_refined",
     dedup_keys={
         "sales": ("o_custkey", "o_orderstatus"),
         "lines": ("l_orderkey", "l_linenumber"),
@@ -55,16 +56,17 @@ TRANSFORM_RULES = [
 ]
 
 
-def refine(t, combinations) -> RunResult:
-    """Run the combinations over views of the test tables."""
+def refine(t, combinations, schema: str) -> RunResult:
+    """Run the combinations over views of the test tables, into tables of ``schema``."""
     spark = t.spark
+    settings = replace(SETTINGS, silver_schema=schema)
     for combination, name in INPUTS.items():
         getattr(t, name).createOrReplaceGlobalTempView(f"{combination.label}_202407_bronze")
     app = spark.conf.get("spark.app.id")
-    ensure_schema(spark, SETTINGS.silver_schema, f"{shared_folder(spark)}/refined-{app}")
+    ensure_schema(spark, schema, f"{shared_folder(spark)}/{schema}-{app}")
     return run(
         spark,
-        SETTINGS,
+        settings,
         "202407",
         combinations,
         rules.schema_rules(spark, SCHEMA_RULES),
@@ -101,7 +103,7 @@ UNION ALL SELECT source, lob, domain, 'silver_c', c FROM counts"""
 )
 def full_run(t):
     """Five combinations, one without an input, through all stages into written tables."""
-    result = refine(t, [*INPUTS, ABSENT])
+    result = refine(t, [*INPUTS, ABSENT], "oreworks_full_run")
     return run_summary({key: result.table(*key) for key in result.written})
 
 
@@ -130,7 +132,7 @@ FROM counts, metadata WHERE domain <> 'absent'"""
 )
 def full_run_quality(t):
     """The quality run over the final tables: no gaps, no duplicates, three added columns."""
-    result = refine(t, list(INPUTS))
+    result = refine(t, list(INPUTS), "oreworks_quality_run")
     finals = {c: result.table(c, "silver_c") for c in INPUTS}
     metrics = quality_run(finals, rules.schema_rules(t.spark, SCHEMA_RULES), SETTINGS)
     return metrics.drop("created_timestamp")

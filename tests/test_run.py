@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from samples import BRONZE, MEDICAL1, MEMBER1, MEMBER2, PHARMACY1, PHARMACY2
 
-from oreworks.model import Combination, Settings
-from oreworks.operators import summary
+from oreworks.model import QUALITY_METRICS, Combination, Settings
+from oreworks.operators import expectations, summary
 from oreworks.plans.pipeline import RunFailed, run
 from oreworks.plans.quality import quality_run
 from oreworks.sources import rules, sinks, tables
@@ -106,6 +106,44 @@ def test_logs_feed_the_summaries(result, as_rows):
     assert counted == logged
 
 
+def test_expectations_are_counted_by_the_write(spark, sample_rules, as_rows):
+    s = Settings(bronze_schema="raw", silver_schema="expected")
+    out = run(
+        spark, s, "202407", [PHARMACY1, MEMBER2], *sample_rules,
+        expectations={
+            "silver_b": lambda df: expectations.not_null(df.columns[1]),
+            "silver_c": lambda df: {
+                **expectations.acceptable_quality_scores(df, 0.9),
+                **expectations.correct_pipeline_stage(df),
+                **expectations.recent_processing_timestamp(df),
+            },
+        },
+    )
+    assert out.violations[PHARMACY1, "silver_b"] == {"patient_id_not_null": 0}
+    assert out.violations[MEMBER2, "silver_c"] == {
+        "acceptable_quality_scores": 3,
+        "correct_pipeline_stage": 0,
+        "recent_processing_timestamp": 0,
+    }
+    metrics = out.metrics
+    assert metrics.schema == QUALITY_METRICS
+    found = as_rows(
+        metrics.filter("domain = 'member' AND stage = 'silver_c'"),
+        "metric_name", "metric_value", "status", "record_count",
+    )
+    assert ("acceptable_quality_scores", 3.0, "WARN", 3) in found
+    assert ("silver_c_completeness", 1.0, "PASS", 3) in found
+    assert ("avg_quality", 0.88, "PASS", 3) in found
+    assert metrics.filter("metric_name = 'records_per_second'").count() == 6
+
+
+def test_a_run_without_input_still_has_metrics(result):
+    absent = result.metrics.filter("domain = 'pharmacy' AND source = 'source9'").collect()
+    got = {r["metric_name"]: r for r in absent if r["stage"] == "silver_c"}
+    assert got["silver_c_completeness"]["status"] == "WARN"
+    assert got["avg_quality"]["metric_value"] is None
+
+
 def test_quality_run_on_the_final_tables(spark, result, sample_rules):
     finals = {c: result.table(c, "silver_c") for c in BRONZE}
     metrics = quality_run(finals, sample_rules[0])
