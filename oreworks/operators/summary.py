@@ -84,8 +84,15 @@ def throughput(run_log: DataFrame) -> DataFrame:
 
 
 def error_summary(errors: DataFrame) -> DataFrame:
-    """Errors per type, and a row of the type ``NULL`` with the total over all types."""
-    return errors.rollup("error_type").agg(F.count(F.lit(1)).alias("error_count"))
+    """Errors per type, and a row of the type ``NULL`` with the total, 0 for an empty log.
+
+    The total is summed from the counts, so both rows share one scan and one shuffle.
+    """
+    by_type = errors.groupBy("error_type").agg(F.count(F.lit(1)).alias("error_count"))
+    total = by_type.agg(F.coalesce(F.sum("error_count"), F.lit(0)).alias("error_count"))
+    return by_type.unionByName(
+        total.select(F.lit(None).cast("string").alias("error_type"), "error_count")
+    )
 
 
 def latest_errors(errors: DataFrame, n: int = LATEST_ERRORS) -> DataFrame:

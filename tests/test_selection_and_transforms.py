@@ -1,4 +1,7 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from samples import PHARMACY1
 
@@ -180,6 +183,31 @@ def test_many_rules_stay_in_few_projections(spark):
     assert transform_by_rules(df, rules).first()["c299"] == 299
 
 
+EXPRESSIONS = ["a + 1", "a + b", "B * 2", "coalesce(c, `a`)", "A - C", "hash(*)", "nope + 1", "b +",
+               "nullif(c, 3)", "sum(a)"]
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from("abcd"), st.sampled_from(EXPRESSIONS), st.integers(1, 3)),
+        max_size=8,
+    )
+)
+def test_batching_equals_one_rule_at_a_time(spark, rows):
+    df = spark.createDataFrame([(1, 2, 3), (4, None, 3)], "a int, b int, c int")
+    rules = transform_rule_list(rows)
+    one_by_one = df
+    for rule in field_major(rules):
+        if rule["field_name"] in df.columns:
+            try:
+                one_by_one = one_by_one.withColumn(rule["field_name"], F.expr(rule["transform"]))
+            except PySparkException:
+                pass
+    want = sorted(map(repr, one_by_one.collect()))
+    assert sorted(map(repr, transform_by_rules(df, rules).collect())) == want
+
+
 def test_stateless_stages_accept_a_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([("a", 1), (None, 2)], "k string, v int").write.parquet(source)
