@@ -168,7 +168,6 @@ class Settings:
     bronze_suffix: str = "_bronze"
     dedup_keys: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(DEDUP_KEYS))
     default_dedup_keys: Sequence[str] = DEFAULT_DEDUP_KEYS
-    allowed_domains: Sequence[str] = ALLOWED_DOMAINS
 
     @classmethod
     def from_mapping(cls, raw: Mapping) -> Settings:

@@ -12,7 +12,6 @@ from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from oreworks.functions.local import local_frame
 from oreworks.model import ERROR_LOG, QUALITY_METRICS, RUN_LOG, STAGES, Combination, Settings
@@ -20,7 +19,7 @@ from oreworks.operators.expectations import violation_counts
 from oreworks.operators.selection import rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
 from oreworks.operators.transform import transform_with_outcomes
-from oreworks.plans.silver import Rules, silver_a, silver_b, silver_c
+from oreworks.plans.silver import silver_a, silver_b, silver_c
 from oreworks.sources import tables
 from oreworks.sources.rules import collect_rules
 from oreworks.sources.sinks import ROWS_OUT, ensure_schema, stage_properties, write_measured
@@ -149,17 +148,16 @@ class _CombinationRun:
         name = tables.silver_table(self.settings, c, stage)
         comment = f"{c.source}/{c.lob}/{c.domain}: {STAGE_COMMENTS[stage]}"
         expected = self.options["expectations"].get(stage)
-        counted = violation_counts(expected(df)) if expected else []
+        predicates = expected(df) if expected else {}
         properties = stage_properties(self.settings, c, stage)
-        measured = write_measured(df, name, comment, properties, counted)
+        measured = write_measured(df, name, comment, properties, violation_counts(predicates))
         rows = measured[ROWS_OUT]
         self.result.written[c, stage] = name
         self.result.log_rows.append((*c, stage, name, rows, measured["seconds"]))
         scores = {n: measured[n] for n in SCORE_MEASURES if n in measured}
         if scores:
             self.result.score_rows[c] = scores
-        if expected:
-            self.result.violations[c, stage] = {n: measured[n] for n in expected(df)}
+        self.result.violations[c, stage] = {n: measured[n] for n in predicates}
         written = self.spark.table(name)
         self.result.checks[c, stage] = rows > 0 and set(needed) <= set(written.columns)
         return written

@@ -22,7 +22,6 @@ from oreworks.workload.catalog import (
 from oreworks.workload.registry import query
 from oreworks.workload.stages import (
     LINE_KEYS,
-    NOW_SQL,
     ORDER_FIELDS,
     ORDER_GAPS_SQL,
     ORDER_SCORE_SQL,
