@@ -30,6 +30,7 @@ HEADLINE = (
     "silver_c_lineitem",
     "silver_c_pages",
     "completeness_orders",
+    "completeness_lineitem",
     "duplicates_lineitem",
     "schema_compliance",
     "quality_report",

@@ -14,7 +14,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from oreworks.functions.local import local_frame
-from oreworks.model import ERROR_LOG, QUALITY_METRICS, RUN_LOG, STAGES, Combination, Settings
+from oreworks.model import (
+    ERROR_LOG,
+    PROCESSED_COLUMN,
+    QUALITY_METRICS,
+    RUN_LOG,
+    STAGE_COLUMN,
+    STAGES,
+    Combination,
+    Settings,
+)
 from oreworks.operators.expectations import violation_counts
 from oreworks.operators.selection import rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
@@ -137,6 +146,7 @@ class _CombinationRun:
         self.transform_rules = transform_rules
         self.options = options
         self.stage: str | None = None
+        self.found = True
         self.result = RunResult(spark)
 
     def _sink(self, df: DataFrame, needed: Sequence[str]) -> DataFrame:
@@ -162,37 +172,63 @@ class _CombinationRun:
         self.result.checks[c, stage] = rows > 0 and set(needed) <= set(written.columns)
         return written
 
+    def _input(self, stage: str) -> DataFrame:
+        """What the run's first stage reads: Bronze, or the table of the stage before."""
+        if stage == STAGES[0]:
+            name = tables.bronze_table(self.settings, self.combination, self.options["month"])
+        else:
+            before = STAGES[STAGES.index(stage) - 1]
+            name = tables.silver_table(self.settings, self.combination, before)
+        self.found = tables.table_exists(self.spark, name)
+        if not self.found:
+            log.warning("no input table %s", name)
+        return tables.read_table(self.spark, name)
+
+    def _silver_a(self, bronze: DataFrame) -> DataFrame:
+        validate, on_error = self.settings.validation_enabled, self.options["on_error"]
+        rules = self.schema_rules if self.found else ()
+        return self._sink(silver_a(bronze, rules, validate, on_error), ())
+
+    def _silver_b(self, stage_a: DataFrame) -> DataFrame:
+        rewritten, outcomes = transform_with_outcomes(stage_a, self.transform_rules)
+        self.result.error_rows += _rule_errors(outcomes, self.combination)
+        b = silver_b(rewritten, (), self.schema_rules, self.settings.validation_enabled)
+        return self._sink(b, rule_fields(self.schema_rules))
+
+    def _silver_c(self, stage_b: DataFrame) -> DataFrame:
+        settings = self.settings
+        final = silver_c(
+            stage_b,
+            settings.keys_for(self.combination.domain),
+            self.schema_rules,
+            settings.validation_enabled,
+            finalize=self.options["finalize"],
+            min_score=settings.min_quality_score,
+            now=self.options["now"],
+        )
+        return self._sink(final, (PROCESSED_COLUMN, STAGE_COLUMN))
+
     def execute(self) -> RunResult:
-        s, c, o = self.settings, self.combination, self.options
+        steps = dict(zip(STAGES, (self._silver_a, self._silver_b, self._silver_c)))
         try:
-            self.stage = "silver_a"
-            name = tables.bronze_table(s, c, o["month"])
-            exists = tables.table_exists(self.spark, name)
-            if not exists:
-                log.warning("no input table %s", name)
-            bronze = self.spark.table(name) if exists else None
-            a = silver_a(bronze, self.schema_rules, s.validation_enabled, o["on_error"], self.spark)
-            a = self._sink(a, ())
-
-            self.stage = "silver_b"
-            rewritten, outcomes = transform_with_outcomes(a, self.transform_rules)
-            self.result.error_rows += _rule_errors(outcomes, c)
-            b = silver_b(rewritten, (), self.schema_rules, s.validation_enabled)
-            b = self._sink(b, rule_fields(self.schema_rules))
-
-            self.stage = "silver_c"
-            final = silver_c(
-                b, s.keys_for(c.domain), self.schema_rules, s.validation_enabled,
-                finalize=o["finalize"], min_score=s.min_quality_score, now=o["now"],
-            )
-            self._sink(final, ("processed_timestamp", "pipeline_stage"))
+            df = self._input(self.options["stages"][0])
+            for self.stage in self.options["stages"]:
+                df = steps[self.stage](df)
         except Exception as error:
-            log.exception("%s failed in %s", c.label, self.stage)
-            self.result.error_rows.append(error_row(error, c, self.stage))
-            self.result.failed.append(c)
+            log.exception("%s failed in %s", self.combination.label, self.stage)
+            self.result.error_rows.append(error_row(error, self.combination, self.stage))
+            self.result.failed.append(self.combination)
         return self.result
 
 
+def _consecutive(stages: Sequence[str]) -> tuple[str, ...]:
+    found = tuple(stages)
+    start = STAGES.index(found[0]) if found and found[0] in STAGES else 0
+    if not found or found != STAGES[start : start + len(found)]:
+        raise ValueError(f"stages must be consecutive ones of {STAGES}, not {found}")
+    return found
+
+
 def run(
     spark: SparkSession,
     settings: Settings,
@@ -200,6 +236,7 @@ def run(
     combinations: Sequence[Combination] | None = None,
     schema_rules: DataFrame | None = None,
     transform_rules: DataFrame | None = None,
+    stages: Sequence[str] = STAGES,
     materialize: Sequence[str] = STAGES,
     parallel: int = 4,
     finalize: bool = True,
@@ -215,9 +252,10 @@ def run(
     another's scan; results never depend on it. A combination that fails is logged and
     the others go on; at the end ``RunFailed`` is raised unless ``raise_failures`` is
     off. ``materialize`` names the stages to write: the full list gives exact counts and
-    restart points, ``("silver_c",)`` runs the three stages as one plan. ``expectations``
-    maps a stage to a function from its DataFrame to named predicates; their violations
-    are counted by the write, and the rows kept.
+    restart points, ``("silver_c",)`` runs the three stages as one plan. ``stages`` runs
+    some stages only, from the table of the stage before. ``expectations`` maps a stage to
+    a function from its DataFrame to named predicates; their violations are counted by the
+    write, and the rows kept.
     """
     combos = list(combinations if combinations is not None else settings.combinations())
     result = RunResult(spark)
@@ -232,6 +270,7 @@ def run(
     ensure_schema(spark, settings.silver_schema)
     options = {
         "month": tables.year_month(spark, month),
+        "stages": _consecutive(stages),
         "materialize": tuple(materialize),
         "finalize": finalize,
         "on_error": on_error,

@@ -29,7 +29,7 @@ def silver_a(
     later stages.
     """
     if bronze is None:
-        return placeholder(spark or SparkSession.getActiveSession())
+        return placeholder(spark or SparkSession.active())
     selected = select_by_rules(bronze, schema_rules, on_error)
     return drop_incomplete(selected, required_fields(schema_rules), validate)
 

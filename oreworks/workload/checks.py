@@ -125,6 +125,31 @@ def completeness_orders(t):
     return found.withColumn("missing_fields", F.array_join("missing_fields", ","))
 
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+
+@query(
+    f"""WITH n AS (SELECT count(*) AS total, unnest(['{"', '".join(_LINE_COLUMNS)}']) AS f,
+  unnest([{", ".join(f"count(*) - count({c})" for c in _LINE_COLUMNS)}]) AS gaps FROM lineitem)
+SELECT 'tpch' AS source, 'retail' AS lob, 'lines' AS domain, total AS total_records,
+       'field' AS level, f AS field_name, gaps AS null_count,
+       (total - gaps) / total * 100 AS completeness_percent,
+       CASE WHEN (total - gaps) / total * 100 >= 95 THEN 'PASS' ELSE 'FAIL' END AS status,
+       '' AS missing_fields FROM n
+UNION ALL
+SELECT 'tpch', 'retail', 'lines', max(total), 'overall', NULL, CAST(sum(gaps) AS BIGINT),
+       (max(total) * 11 - sum(gaps)) / (max(total) * 11) * 100,
+       CASE WHEN min((total - gaps) / total * 100) >= 95 THEN 'PASS' ELSE 'FAIL' END, '' FROM n"""
+)
+def completeness_lineitem(t):
+    """Every column of the widest table in one aggregate."""
+    found = checks.completeness(t.lineitem, LINES, _LINE_COLUMNS)
+    return found.withColumn("missing_fields", F.array_join("missing_fields", ","))
+
+
 _KEY_COUNTS = (
     "SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem "
     "GROUP BY l_orderkey, l_linenumber"

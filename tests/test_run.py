@@ -165,6 +165,23 @@ def test_one_plan_for_the_last_stage_only(spark, settings, sample_rules):
     assert out.table(PHARMACY1, "silver_c").count() == 6
 
 
+def test_stages_one_by_one(spark, sample_rules, as_rows, result):
+    s = Settings(bronze_schema="raw", silver_schema="steps")
+    for stage in ("silver_a", "silver_b", "silver_c"):
+        out = run(spark, s, "202407", [PHARMACY1], *sample_rules, stages=[stage])
+        assert list(out.written) == [(PHARMACY1, stage)]
+    columns = ["patient_id", "drug_name", "quantity", "quality_score"]
+    whole = result.table(PHARMACY1, "silver_c")
+    assert as_rows(out.table(PHARMACY1, "silver_c"), *columns) == as_rows(whole, *columns)
+    fresh = Settings(bronze_schema="raw", silver_schema="steps_absent")
+    late = run(spark, fresh, "202407", [PHARMACY1], *sample_rules, stages=["silver_b", "silver_c"])
+    assert late.table(PHARMACY1, "silver_b").columns == ["placeholder"]
+    assert late.checks[PHARMACY1, "silver_b"] is False
+    for wrong in ([], ["silver_a", "silver_c"], ["gold"]):
+        with pytest.raises(ValueError, match="consecutive"):
+            run(spark, s, "202407", [PHARMACY1], *sample_rules, stages=wrong)
+
+
 def test_pass_through_and_disabled_validation(spark, sample_rules):
     loose = Settings(bronze_schema="raw", silver_schema="loose", validation_enabled=False)
     out = run(spark, loose, "202407", [PHARMACY1], *sample_rules, finalize=False)
