@@ -12,6 +12,7 @@ from oreworks.operators.checks import completeness, duplicates, schema_findings,
 from oreworks.operators.report import quality_report
 from oreworks.operators.selection import required_fields
 from oreworks.sources.rules import collect_rules
+from oreworks.sources.sinks import append_rows
 from oreworks.sources.tables import table_columns
 
 
@@ -54,3 +55,22 @@ def quality_run(
         tolerance_percent=tolerance,
         now=now,
     )
+
+
+def write_quality(
+    frames: Mapping[Combination, DataFrame],
+    schema_rules: DataFrame,
+    table: str,
+    settings: Settings | None = None,
+    batch: int = 32,
+    **options,
+) -> None:
+    """`quality_run` over any number of tables, appended to ``table``.
+
+    Each job covers ``batch`` tables: enough to keep a cluster busy, few enough that the
+    plan stays small.
+    """
+    items = list(frames.items())
+    for start in range(0, len(items), batch):
+        part = dict(items[start : start + batch])
+        append_rows(quality_run(part, schema_rules, settings, **options), table)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from samples import BRONZE, MEDICAL1, MEMBER1, MEMBER2, PHARMACY1, PHARMACY2
 
 from oreworks.model import QUALITY_METRICS, Combination, Settings
-from oreworks.operators import expectations, summary
+from oreworks.operators import expectations, report, summary
 from oreworks.plans.pipeline import RunFailed, run
-from oreworks.plans.quality import quality_run
+from oreworks.plans.quality import quality_run, write_quality
 from oreworks.sources import rules, sinks, tables
 
 ABSENT = Combination("source9", "lob9", "pharmacy")
@@ -144,13 +144,17 @@ def test_a_run_without_input_still_has_metrics(result):
     assert got["avg_quality"]["metric_value"] is None
 
 
-def test_quality_run_on_the_final_tables(spark, result, sample_rules):
+def test_quality_run_on_the_final_tables(spark, result, sample_rules, as_rows):
     finals = {c: result.table(c, "silver_c") for c in BRONZE}
     metrics = quality_run(finals, sample_rules[0])
     assert metrics.filter("stage = 'duplicate_detection' AND status <> 'PASS'").count() == 0
     sinks.append_rows(metrics, "clean.data_quality_metrics")
-    sinks.append_rows(metrics, "clean.data_quality_metrics")
-    assert spark.table("clean.data_quality_metrics").count() == 2 * metrics.count()
+    write_quality(finals, sample_rules[0], "clean.data_quality_metrics", batch=2)
+    stored = spark.table("clean.data_quality_metrics")
+    assert stored.count() == 2 * metrics.count()
+    names = ["table_name", "stage", "metric_name", "metric_value", "status", "record_count"]
+    assert as_rows(stored.select(*names).distinct()) == as_rows(metrics.select(*names).distinct())
+    assert report.quality_history(stored, "source1", "pharmacy").count() > 0
 
 
 def test_rerun_overwrites(spark, settings, sample_rules, result):
