@@ -197,8 +197,8 @@ def lint_rules(
     A rule is a duplicate if another has the same combination and field (and, for
     transform rules, the same expression and priority). ``table_columns`` rows of
     (source, lob, domain, field_name) turn on the check for fields that match a column
-    in all but letter case. Every check reads one pre-aggregated group, so the whole
-    lint is one shuffle (two with columns).
+    in all but letter case. Every check reads one pre-aggregated group, so the lint of a
+    rule table is one shuffle; columns are joined in distinct.
     """
     identity = [*COMBINATION_COLUMNS, "field_name"]
     detail = [c for c in ("transform", "priority") if c in rules.columns]
@@ -212,18 +212,16 @@ def lint_rules(
         F.when(F.col("occurrences") > 1, F.lit("duplicate_rule")),
     ]
     if table_columns is not None:
-        folded = (
-            table_columns.groupBy(*COMBINATION_COLUMNS, F.lower("field_name").alias("_folded"))
-            .agg(F.collect_set("field_name").alias("_spellings"))
-        )
-        grouped = grouped.withColumn("_folded", F.lower("field_name")).join(
-            folded, [*COMBINATION_COLUMNS, "_folded"], "left"
-        )
-        findings.append(
-            F.when(
-                ~F.array_contains("_spellings", F.col("field_name")), F.lit("case_mismatch")
-            )
+        exact = table_columns.select(*identity).distinct().withColumn("_exact", F.lit(True))
+        folded = table_columns.select(*COMBINATION_COLUMNS, F.lower("field_name").alias("_folded"))
+        near = folded.distinct().withColumn("_near", F.lit(True))
+        grouped = (
+            grouped.withColumn("_folded", F.lower("field_name"))
+            .join(exact, identity, "left")
+            .join(near, [*COMBINATION_COLUMNS, "_folded"], "left")
         )
+        mismatch = F.col("_near") & F.col("_exact").isNull()
+        findings.append(F.when(mismatch, F.lit("case_mismatch")))
     return grouped.select(
         *identity,
         "occurrences",
