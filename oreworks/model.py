@@ -129,6 +129,10 @@ TABLE_COLUMNS = _table(
     source="string", lob="string", domain="string", field_name="string", actual_type="string"
 )
 
+INVENTORY = _table(
+    table_name="string", exists="boolean", column_count="int", row_count="bigint"
+)
+
 CONFIG = _table(name="string", lobs="array<string>", domains="array<string>")
 
 PLACEHOLDER = _table(placeholder="string")

@@ -133,6 +133,8 @@ def expectation_counts(
     table-level check ``valid_record_count``.
     """
     names = list(checks)
+    if not names and min_records is None:
+        raise ValueError("no expectations given")
     totals = df.agg(F.count(F.lit(1)).alias("_total"), *violation_counts(checks))
     rows = [
         F.struct(F.lit(n).alias("expectation"), column(n).alias("violations")) for n in names

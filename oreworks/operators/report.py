@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.model import COMBINATION_COLUMNS, NULL_TOLERANCE_PERCENT
-from oreworks.sources.tables import union_all
+from oreworks.sources.tables import empty_quality_metrics, union_all
 
 
 def _metrics(
@@ -83,14 +83,15 @@ def quality_report(
     tolerance_percent: float = NULL_TOLERANCE_PERCENT,
     now: Column | None = None,
 ) -> DataFrame:
-    """All given findings as one metrics DataFrame. Type findings are opt-in."""
+    """All given findings as one metrics DataFrame, empty if there are none. Type findings
+    are opt-in."""
     parts = [completeness_metrics(c, tolerance_percent, now) for c in completeness]
     parts += [duplicate_metrics(d, now) for d in duplicates]
     if schema is not None:
         parts.insert(0, schema_metrics(schema, now))
     if types is not None:
         parts.append(type_metrics(types, now))
-    return union_all(parts)
+    return union_all(parts) if parts else empty_quality_metrics(SparkSession.active())
 
 
 def quality_history(

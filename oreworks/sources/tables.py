@@ -12,6 +12,7 @@ from oreworks.functions.types import column_types
 from oreworks.model import (
     DEFAULT_YEAR_MONTH,
     ERROR_LOG,
+    INVENTORY,
     PLACEHOLDER,
     QUALITY_METRICS,
     TABLE_COLUMNS,
@@ -108,17 +109,15 @@ def inventory(frames: Mapping[str, DataFrame | None]) -> DataFrame:
 
     All counts run as one job; on Parquet each reads row-group metadata, no columns.
     """
-    present = {n: df for n, df in frames.items() if df is not None}
-    if not present:
-        raise ValueError("none of the expected tables exists")
-    counted = union_all(
+    counted = [
         count_row(df, table_name=n, exists=True, column_count=len(df.columns))
-        for n, df in present.items()
-    )
-    absent = [(n, False, 0, 0) for n in frames if n not in present]
-    if not absent:
-        return counted
-    return counted.unionByName(local_frame(counted.sparkSession, absent, counted.schema))
+        for n, df in frames.items()
+        if df is not None
+    ]
+    absent = [(n, False, 0, 0) for n, df in frames.items() if df is None]
+    if absent or not counted:
+        counted.append(local_frame(SparkSession.active(), absent, INVENTORY))
+    return union_all(counted)
 
 
 def sample_rows(df: DataFrame, n: int, *order) -> DataFrame:

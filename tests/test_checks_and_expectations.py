@@ -152,6 +152,11 @@ def test_report_has_the_metrics_schema_even_without_counts(bronze, sample_rules)
     assert only_schema.unionByName(empty_quality_metrics(only_schema.sparkSession)).count() > 0
 
 
+def test_report_of_nothing_is_empty(spark):
+    assert report.quality_report().schema == QUALITY_METRICS
+    assert report.quality_report().count() == 0
+
+
 def test_history_is_filtered_and_newest_first(spark):
     metrics = spark.createDataFrame(
         [("s", "d", 1), ("s", "d", 3), ("s", "e", 2), ("t", "d", 2)],
@@ -204,6 +209,8 @@ def test_minimum_records(spark):
     assert expectations.expectation_counts(df, {}, 1).first()["status"] == "PASS"
     assert expectations.expectation_counts(df, {}, 4).first()["violations"] == 1
     assert expectations.expectation_counts(df.limit(0), {}, 1).first()["status"] == "WARN"
+    with pytest.raises(ValueError):
+        expectations.expectation_counts(df, {})
 
 
 def test_date_format_works_on_dates_and_strings(spark):

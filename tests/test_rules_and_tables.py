@@ -138,10 +138,11 @@ def test_inventory_lists_missing_tables(spark, bronze, as_rows):
     found = tables.inventory({**frames, "not_there": None})
     assert as_rows(found)[0] == ("not_there", False, 0, 0)
     assert as_rows(found.filter("exists"), "row_count") == [(4,), (4,), (7,), (7,), (8,)]
-    with pytest.raises(ValueError):
-        tables.inventory({"x": None})
-    with pytest.raises(ValueError):
-        tables.catalog_inventory(spark, ["no_such_table"])
+    assert as_rows(tables.inventory({"x": None})) == [("x", False, 0, 0)]
+    assert as_rows(tables.catalog_inventory(spark, ["no_such_table"])) == [
+        ("no_such_table", False, 0, 0)
+    ]
+    assert tables.inventory({}).count() == 0
 
 
 def test_sample_rows(spark):
