@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, models
+from tokenizers import models
 
 from oreworks.llm.arrow import extended, slices, strings
 
@@ -62,10 +62,9 @@ class ByteBPE:
                 unclear.append(token)
             merges += halves
         name = self._characters
-        self.model = Tokenizer(
-            models.BPE(vocab={name(t): r for t, r in ranks.items()}, merges=[(name(a), name(b)) for a, b in merges], ignore_merges=True)
-        )
-        self.unclear = regex.compile(b"|".join(map(regex.escape, unclear))) if unclear else None
+        self.model = models.BPE(vocab={name(t): r for t, r in ranks.items()}, merges=[(name(a), name(b)) for a, b in merges])
+        # Such tokens repeat one string three times or more; these are their first three bytes.
+        self.unclear = {token[:3] for token in unclear}
         self.cache: dict[str, bytes] = {}
 
     def _characters(self, data: bytes) -> str:
@@ -97,27 +96,27 @@ class ByteBPE:
                 heapq.heappush(heap, (r, left, stop))
         return [self.ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Encode pieces that are not in the cache."""
-        if len(self.cache) + len(pieces) > CACHE_ENTRIES:
-            self.cache.clear()
-        data = [p.encode() for p in pieces]
-        encoded = self.model.encode_batch_fast([self._characters(d) for d in data], add_special_tokens=False)
-        for piece, raw, result in zip(pieces, data, encoded):
-            ids = self._merge(raw) if self.unclear and len(raw) > 2 and raw not in self.ranks and self.unclear.search(raw) else result.ids
-            self.cache[piece] = np.array(ids, "<u4").tobytes()
+    def _piece(self, piece: str) -> bytes:
+        raw = piece.encode()
+        if raw in self.ranks:
+            ids = [self.ranks[raw]]
+        elif len(set(raw)) <= len(raw) - 2 and any(raw[i : i + 3] in self.unclear for i in range(len(raw) - 2)):
+            ids = self._merge(raw)
+        else:
+            ids = [t.id for t in self.model.tokenize(self._characters(raw))]
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text, its ids as little-endian unsigned 32-bit integers."""
         out = []
         for text in texts:
             pieces = self.split.findall(text)
-            new = [p for p in dict.fromkeys(pieces) if p not in self.cache]
-            if new:
-                self._learn(new)
-                if any(p not in self.cache for p in pieces):  # the cache was emptied
-                    self._learn([p for p in dict.fromkeys(pieces) if p not in self.cache])
-            out.append(b"".join(map(self.cache.__getitem__, pieces)))
+            if len(self.cache) >= CACHE_ENTRIES:
+                self.cache.clear()
+            known = self.cache
+            for piece in set(pieces).difference(known):
+                known[piece] = self._piece(piece)
+            out.append(b"".join(map(known.__getitem__, pieces)))
         return out
 
     def decode(self, ids: np.ndarray) -> bytes:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, chat, packing, sketch, topk
+from oreworks.llm import bpe, chat, language, lm, packing, secret_scan, sketch, topk
 from oreworks.llm.shipping import ship
 
 CAPACITY = 4096
@@ -18,6 +18,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_secret_scan(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = secret_scan.joined
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op2_language_id(spark, folder):
+    docs = table(spark, folder, "documents")
+    held_out = language.remainder("doc_id", 4) == 2
+    profiles = language.learn(docs.where(~held_out))
+    named = language.predict(docs, profiles)
+    return named.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_byte_bpe(spark, folder):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
@@ -46,6 +62,10 @@ def op6_chat_formatting(spark, folder):
     )
 
 
+def op7_lm_scoring(spark, folder):
+    return lm.score(table(spark, folder, "documents"), language.remainder("doc_id", 7) == 2)
+
+
 def op9_top_k_search(spark, folder):
     vectors = topk.quantized(table(spark, folder, "embeddings"), 256, "vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -56,5 +76,5 @@ def op10_fingerprints(spark, folder):
     return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op5_best_fit_packing, op6_chat_formatting, op9_top_k_search, op10_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_byte_bpe, op5_best_fit_packing, op6_chat_formatting, op7_lm_scoring, op9_top_k_search, op10_fingerprints)}
 SQL: dict[str, str] = {}

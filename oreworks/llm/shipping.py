@@ -1,4 +1,4 @@
-"""Sending this package to executors that do not have it installed."""
+"""What a session needs for these operators: the package on its executors, and bounded batches."""
 
 from __future__ import annotations
 
@@ -10,12 +10,15 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 PACKAGE = Path(__file__).resolve().parents[1]
+BATCH_BYTES = 16 << 20
 _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Spark's own file server hand the package to the Python workers, once per application.
-    The archive is read by the driver alone."""
+    """Let Spark's own file server hand the package to the Python workers, once per application
+    (the archive is read by the driver alone), and bound the bytes of an Arrow batch, not only its
+    rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return

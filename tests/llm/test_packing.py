@@ -41,6 +41,14 @@ def test_best_fit_takes_the_fullest_bin(lengths):
         rooms[[i for r, i in fits if r == room][0]] -= n
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(), st.text("aZé'sÀßÿ×÷.,-19 \n_\x1c\x85\xa0µªΣ", max_size=40)))
+def test_ids_are_those_of_the_library(text):
+    coder = packing.word_tokenizer(PATH)
+    want = coder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(coder.encode(text), "<u4").tolist() == want
+
+
 def test_pieces_are_the_ids_of_the_library(spark):
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
