@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, chat, language, lm, packing, secret_scan, sketch, topk
+from oreworks.llm import bpe, chat, language, lm, neardup, packing, secret_scan, sketch, suffix, topk
 from oreworks.llm.shipping import ship
 
 CAPACITY = 4096
@@ -40,6 +40,11 @@ def op3_byte_bpe(spark, folder):
     return bpe.digests(bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
 
 
+def op4_suffix_dedup(spark, folder):
+    found = suffix.removals(table(spark, folder, "documents").select("doc_id", "text"), keep_first=False)
+    return suffix.reported(found).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_best_fit_packing(spark, folder):
     pieces = packing.token_pieces(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), CAPACITY, END_ID)
     return packing.pack(pieces, CAPACITY)
@@ -66,6 +71,11 @@ def op7_lm_scoring(spark, folder):
     return lm.score(table(spark, folder, "documents"), language.remainder("doc_id", 7) == 2)
 
 
+def op8_near_duplicates(spark, folder):
+    found = neardup.near_duplicates(table(spark, folder, "documents"), length=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_top_k_search(spark, folder):
     vectors = topk.quantized(table(spark, folder, "embeddings"), 256, "vec_id", "embedding")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
@@ -76,5 +86,20 @@ def op10_fingerprints(spark, folder):
     return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_byte_bpe, op5_best_fit_packing, op6_chat_formatting, op7_lm_scoring, op9_top_k_search, op10_fingerprints)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_language_id,
+        op3_byte_bpe,
+        op4_suffix_dedup,
+        op5_best_fit_packing,
+        op6_chat_formatting,
+        op7_lm_scoring,
+        op8_near_duplicates,
+        op9_top_k_search,
+        op10_fingerprints,
+    )
+}
+#: None of these has a form that SQL runs on whole tables.
 SQL: dict[str, str] = {}

@@ -15,9 +15,10 @@ _GAP = np.zeros(256, bool)
 _GAP[list(GAPS)] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_BYTE = np.random.default_rng(77).integers(1, 2**63, 256).astype(np.uint64)[_LOWER]
-_BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 1 << 64)
+BYTE_CODES = np.random.default_rng(77).integers(1, 2**63, 256).astype(np.uint64)
+_BYTE = BYTE_CODES[_LOWER]
+BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(BASE, -1, 1 << 64)
 CHUNK = 1 << 21
 
 
@@ -39,7 +40,7 @@ _tables: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
 def _tables_for(n: int) -> list[np.ndarray]:
     if len(_tables[0]) < n:
         size = max(n, CHUNK + (CHUNK >> 2))
-        made = [_powers(_BASE, size), _powers(_INVERSE, size)]
+        made = [_powers(BASE, size), _powers(_INVERSE, size)]
         if size > 4 * CHUNK:
             return made
         _tables[:] = made
