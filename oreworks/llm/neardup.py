@@ -41,6 +41,7 @@ LEAST = 32
 CHUNK = 256
 CLASS_BLOCK = 8_192
 PAIRS_AT_ONCE = 200_000
+BITS = 26  # of the bitmap: 8 MB
 
 _RANDOM = np.random.default_rng(4242)
 _FACTORS = _RANDOM.integers(1, 2**63, COORDINATES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -114,10 +115,10 @@ def documents_of(docs: DataFrame, length: int, id_column: str, text_column: str)
 def near_duplicates(docs: DataFrame, length: int = 5, numerator: int = 80, denominator: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per row: doc_id, copy, n_shingles, component_id and kept."""
     own = cut(documents_of(docs, length, id_column, text_column))
-    classes = own.where("n_shingles > 0").groupBy("set_code").agg(F.min("doc_id").alias("smallest"), F.min("copy").alias("copy"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
+    classes = own.where("n_shingles > 0").groupBy("set_code").agg(F.min("doc_id").alias("smallest"), F.min(F.struct("copy", "doc_id")).alias("one"), F.first("n_shingles").alias("n"), F.first("signature").alias("signature"))
     classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
-    posts = cut(_posts(classes))
-    links = _links(docs, classes, posts, length, numerator, denominator, text_column)
+    texts = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text")).withColumn("copy", F.xxhash64("text"))
+    links = _links(texts, classes, _posts(classes), length, numerator, denominator)
     labels = components(links)
     named = classes.select("node", "set_code", "smallest").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("smallest").alias("component_id"))
@@ -161,27 +162,76 @@ def _posts(classes: DataFrame) -> DataFrame:
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(choose, "key long, node long, n long")
 
 
-def _links(docs, classes, posts, length, numerator, denominator, text_column) -> DataFrame:
+def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
     """Confirmed links (a, b) that connect all linked classes."""
     alike = lambda x, y: F.least(x, y) * denominator >= F.greatest(x, y) * numerator
+    confirmed = lambda pairs: cut(_confirmed(cut(pairs), texts, classes, length, numerator, denominator))
+    posts = cut(posts)
     lists = posts.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    posts = cut(posts.join(lists, "key"))
-    sets = cut(_sets(docs, classes.join(posts.select("node").distinct(), "node"), length, text_column))
+    posts = cut(posts.join(lists, "key").select("key", "node", "n", "head", "size"))
     star = posts.where((F.col("node") != F.col("head.node")) & alike(F.col("n"), F.col("head.n")))
     star = star.groupBy(F.col("node").alias("b"), F.col("head.node").alias("a")).agg(F.count("*").alias("collisions"))
     star = star.groupBy("b").agg(F.max_by("a", F.struct("collisions", -F.col("a"))).alias("a"))
-    links = cut(_confirmed(star.select("a", "b"), sets, numerator, denominator))
+    links = confirmed(_agreeing(star, classes))
     labels = components(links)
     split = posts.select("key", "node", "n", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = split.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     pairs = _compared(split.join(open_, "key").join(classes.select("node", "signature"), "node"), numerator, denominator)
-    return links.union(cut(_confirmed(pairs.distinct(), sets, numerator, denominator)))
+    return links.union(confirmed(pairs.distinct()))
 
 
-def _sets(docs: DataFrame, classes: DataFrame, length: int, text_column: str) -> DataFrame:
-    """node and shingles of the classes, from one text of each."""
-    texts = docs.select(F.col(text_column).cast("string").alias("text")).withColumn("copy", F.xxhash64("text"))
-    rows = texts.join(classes.select("copy", "node", "set_code"), "copy")
+def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that agree in enough coordinates."""
+    own = lambda name, sign: classes.select(F.col("node").alias(name), F.col("signature").alias(sign))
+    rows = pairs.join(own("a", "left"), "a").join(own("b", "right"), "b").select("a", "b", "left", "right")
+
+    def run(batches):
+        for batch in batches:
+            left, right = (_matrix(batch.column(c), np.uint32, COORDINATES) for c in (2, 3))
+            good = pa.array((left == right).sum(1) >= LEAST)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _bitmap(values: DataFrame) -> np.ndarray:
+    """A bit for each value of the only column, by its lower `BITS` bits. The size is fixed."""
+    part = 1 << 16  # bytes
+
+    def mark(batches):
+        bits = np.zeros(1 << (BITS - 3), np.uint8)
+        for batch in batches:
+            at = batch.column(0).to_numpy().view(np.uint64) & np.uint64((1 << BITS) - 1)
+            np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        pieces = bits.reshape(-1, part)
+        some = np.flatnonzero(pieces.any(1))
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array([pieces[i].tobytes() for i in some], pa.binary())], names=["at", "bits"])
+
+    def join(table: pa.Table) -> pa.Table:
+        bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
+        return pa.table({"at": table.column("at").slice(0, 1), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    out = np.zeros((1 << (BITS - 3)) // part * part, np.uint8).reshape(-1, part)
+    for row in values.mapInArrow(mark, "at long, bits binary").groupBy("at").applyInArrow(join, "at long, bits binary").collect():
+        out[row["at"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
+def _sets(texts: DataFrame, classes: DataFrame, length: int) -> DataFrame:
+    """node and shingles of the classes, from one text of each.
+
+    Only texts that may be wanted are shuffled: a bitmap of fixed size lets all of them and, the
+    more there are, some others pass."""
+    bits = texts.sparkSession.sparkContext.broadcast(_bitmap(classes.select("one.copy")))
+
+    def wanted(batches):
+        for batch in batches:
+            at = batch.column(2).to_numpy().view(np.uint64) & np.uint64((1 << BITS) - 1)
+            yield batch.filter(pa.array((bits.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1) > 0))
+
+    few = texts.mapInArrow(wanted, texts.schema)
+    ones = classes.select("node", "set_code", F.col("one.copy").alias("_copy"), F.col("one.doc_id").alias("_doc"))
+    rows = few.join(ones, (F.col("copy") == F.col("_copy")) & F.col("doc_id").eqNullSafe(F.col("_doc")))
 
     def run(batches):
         for part in slices(batches, "text", 1 << 20):
@@ -193,11 +243,13 @@ def _sets(docs: DataFrame, classes: DataFrame, length: int, text_column: str) ->
                     packed.append(w.pack(codes[a:b], True))
             yield pa.RecordBatch.from_arrays([part.column(1).take(pa.array(kept, pa.int64())), pa.array(packed, pa.binary())], names=["node", "shingles"])
 
-    return rows.select("text", "node", "set_code").mapInArrow(run, "node long, shingles binary").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return rows.select("text", "node", "set_code").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: int, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = cut(_sets(texts, cut(classes.join(nodes, "node")), length))
     rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
 
     def run(batches):
