@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The Spark types a rule type name accepts.
@@ -50,6 +51,31 @@ def type_matches(expected: str, actual: str) -> str:
     )
 
 
+# Spark SQL type names without parameters.
+PLAIN_TYPES = (
+    "string", "int", "integer", "bigint", "long", "smallint", "short", "tinyint", "byte", "double",
+    "float", "real", "decimal", "dec", "numeric", "date", "timestamp", "timestamp_ntz",
+    "timestamp_ltz", "boolean", "binary", "variant", "void",
+)
+_TYPE_NAME = (
+    rf"(?i)^\s*({'|'.join(PLAIN_TYPES)}|(decimal|dec|numeric)\s*\(\s*\d+\s*(,\s*\d+\s*)?\)"
+    r"|(var)?char\s*\(\s*\d+\s*\)|(array|map|struct)\s*<.*>|interval\b.*)\s*$"
+)
+
+
+def unknown_type(name: Column) -> Column:
+    """Is this no type name that Spark knows? What nested types hold is not looked into."""
+    return ~name.rlike(_TYPE_NAME)
+
+
+def compares_fast(data_type: T.DataType) -> bool:
+    """Has values of a fixed, small width."""
+    return not isinstance(
+        data_type,
+        (T.StringType, T.CharType, T.VarcharType, T.BinaryType, T.ArrayType, T.StructType, T.MapType),
+    )
+
+
 def orderable(data_type: T.DataType) -> bool:
     """Can Spark sort by this type? Maps and variants cannot, at any depth."""
     if isinstance(data_type, T.ArrayType):

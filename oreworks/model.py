@@ -172,13 +172,19 @@ class Settings:
     bronze_suffix: str = "_bronze"
     dedup_keys: Mapping[str, Sequence[str]] = field(default_factory=lambda: dict(DEDUP_KEYS))
     default_dedup_keys: Sequence[str] = DEFAULT_DEDUP_KEYS
+    # Which row of a key survives, per domain: column names, "name DESC" for the largest first.
+    dedup_order: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    on_missing_keys: str = "available"
+    allowed_domains: Sequence[str] = ALLOWED_DOMAINS
 
     @classmethod
     def from_mapping(cls, raw: Mapping) -> Settings:
         """Build settings from a nested mapping, such as a parsed configuration file.
 
         Missing sections and keys, an empty source list and unknown domains raise
-        ``ValueError`` naming every problem at once.
+        ``ValueError`` naming every problem at once. Which domains are known is data, too
+        (``allowed_domains``). A section ``deduplication`` may hold keys, default_keys,
+        order and on_missing_keys.
         """
         required = {
             "pipeline": ("bronze_schema", "silver_schema"),
@@ -192,13 +198,14 @@ class Settings:
                 continue
             problems += [f"missing {section}.{k}" for k in keys if k not in raw[section]]
 
+        allowed = tuple(raw.get("allowed_domains", ALLOWED_DOMAINS))
         specs = []
         for entry in raw.get("sources") or ():
             absent = [k for k in ("name", "lobs", "domains") if k not in entry]
             if absent:
                 problems.append(f"source entry lacks {', '.join(absent)}")
                 continue
-            unknown = sorted(set(entry["domains"]) - set(ALLOWED_DOMAINS))
+            unknown = sorted(set(entry["domains"]) - set(allowed))
             if unknown:
                 problems.append(f"source {entry['name']!r} has unknown domains {unknown}")
             specs.append(SourceSpec(entry["name"], tuple(entry["lobs"]), tuple(entry["domains"])))
@@ -208,7 +215,16 @@ class Settings:
             raise ValueError("invalid settings: " + "; ".join(problems))
 
         quality = raw.get("data_quality", {})
+        dedup = raw.get("deduplication", {})
+        keys = dedup.get("keys", DEDUP_KEYS)
         return cls(
+            allowed_domains=allowed,
+            bronze_suffix=raw["pipeline"].get("bronze_suffix", "_bronze"),
+            min_quality_score=quality.get("min_quality_score"),
+            dedup_keys={domain: tuple(names) for domain, names in keys.items()},
+            default_dedup_keys=tuple(dedup.get("default_keys", DEFAULT_DEDUP_KEYS)),
+            dedup_order={domain: tuple(names) for domain, names in dedup.get("order", {}).items()},
+            on_missing_keys=dedup.get("on_missing_keys", "available"),
             bronze_schema=raw["pipeline"]["bronze_schema"],
             silver_schema=raw["pipeline"]["silver_schema"],
             schema_rules_table=raw["tables"]["schema_rules"],

@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreworks.functions.expressions import column
-from oreworks.functions.types import orderable
+from oreworks.functions.types import compares_fast, orderable
 
 log = logging.getLogger(__name__)
 
-_RANK = "_key_rank"
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column has, in any letter case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def present_keys(df: DataFrame, keys: Sequence[str], on_missing: str = "available") -> list[str]:
@@ -47,8 +54,10 @@ def deduplicate(
 
     The survivor is the first row by ``order`` (column names or sort columns). By
     default that is every other column that can be ordered, ascending with NULLs first,
-    so the result does not depend on partitioning. Columns that cannot be ordered
-    (maps) take no part in the tie-break.
+    so the result does not depend on partitioning. Numbers, dates and the like go before
+    strings, arrays and structs, which are compared only if all of those are equal.
+    Columns that cannot be ordered (maps) take no part in the tie-break; rows that differ
+    in nothing else are told apart by partitioning.
 
     ``row_number = 1`` over a window lets Spark keep one row per key in each map task
     before the shuffle and again after it, so a hot key costs the reducer one row per
@@ -62,9 +71,15 @@ def deduplicate(
         rest = [f for f in df.schema.fields if f.name not in used]
         if not rest:
             return df.distinct()
+        rest = sorted(rest, key=lambda f: not compares_fast(f.dataType))
         order = [column(f.name).asc_nulls_first() for f in rest if orderable(f.dataType)]
-    window = Window.partitionBy(*map(column, used)).orderBy(*(order or [F.lit(1)]))
-    return df.withColumn(_RANK, F.row_number().over(window)).filter(F.col(_RANK) == 1).drop(_RANK)
+    parts = [*map(column, used)]
+    if not all(compares_fast(df.schema[k].dataType) for k in used):
+        # Long keys are sorted by their hash; the keys themselves only settle equal hashes.
+        parts.insert(0, F.xxhash64(*parts))
+    window = Window.partitionBy(*parts).orderBy(*(order or [F.lit(1)]))
+    rank = free_name(df, "key_rank")
+    return df.withColumn(rank, F.row_number().over(window)).filter(column(rank) == 1).drop(rank)
 
 
 def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -73,18 +88,18 @@ def key_profile(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     Counting per key first gives all three in one pass. Map-side partial counts carry
     hot keys, and the key columns alone are shuffled. NULL is a key value like any other.
     """
-    counted = df.groupBy(*map(column, keys)).agg(F.expr("count(1) AS _n"))
+    n = free_name(df, "key_count")
+    counted = df.groupBy(*map(column, keys)).agg(F.expr(f"count(1) AS {n}"))
     return counted.agg(
-        F.expr("coalesce(sum(_n), 0L) AS total_records"),
+        F.expr(f"coalesce(sum({n}), 0L) AS total_records"),
         F.expr("count(1) AS unique_records"),
-        F.expr("count_if(_n > 1) AS duplicate_groups"),
+        F.expr(f"count_if({n} > 1) AS duplicate_groups"),
     )
 
 
 def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys that occur more than once, with their row counts."""
-    return (
-        df.groupBy(*map(column, keys))
-        .agg(F.count(F.lit(1)).alias("row_count"))
-        .filter(F.col("row_count") > 1)
-    )
+    """The keys that occur more than once, with their row counts (``row_count``, behind
+    underscores if a column has that name)."""
+    n = free_name(df, "row_count")
+    counted = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias(n))
+    return counted.filter(column(n) > 1)

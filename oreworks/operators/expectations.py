@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -20,6 +22,32 @@ AMOUNT_RANGE = (0, 999999.99)
 ACCEPTABLE_SCORE = 0.5
 
 
+class Expectation(NamedTuple):
+    """A predicate, and what becomes of rows that break it."""
+
+    predicate: Column
+    action: str = "warn"
+
+
+class TableExpectation(NamedTuple):
+    """What a written table as a whole should be: at least so many rows, and no business
+    key twice."""
+
+    min_records: int | None = None
+    unique_keys: bool = False
+
+
+def by_action(checks: Mapping[str, Column | Expectation]) -> dict[str, dict[str, Column]]:
+    """The predicates of each action; a bare predicate warns."""
+    found: dict[str, dict[str, Column]] = {action: {} for action in ACTIONS}
+    for name, check in checks.items():
+        check = check if isinstance(check, Expectation) else Expectation(check)
+        if check.action not in ACTIONS:
+            raise ValueError(f"unknown action {check.action!r}")
+        found[check.action][name] = check.predicate
+    return found
+
+
 # --------------------------------------------------------------------------
 # Predicates
 # --------------------------------------------------------------------------
@@ -68,7 +96,9 @@ def correct_pipeline_stage(df: DataFrame, stage: str = "silver_c") -> dict[str,
 def valid_data_types(df: DataFrame, rules: Sequence[Mapping]) -> dict[str, Column]:
     """Per rule field: every value is NULL or converts to the rule's type.
 
-    A column that already has a type of the rule's family holds no other values.
+    A column that already has a type of the rule's family holds no other values. Where
+    Spark can't convert between the types at all, or does not know the rule's type name,
+    every value that is not NULL breaks the rule.
     """
     actual = column_types(df)
     checks = {}
@@ -80,7 +110,13 @@ def valid_data_types(df: DataFrame, rules: Sequence[Mapping]) -> dict[str, Colum
             checks[f"valid_data_types_{name}"] = F.lit(True)
         else:
             value = column(name)
-            checks[f"valid_data_types_{name}"] = value.isNull() | value.try_cast(kind).isNotNull()
+            try:
+                converted = value.try_cast(kind)
+                df.select(converted).schema
+            except PySparkException:
+                checks[f"valid_data_types_{name}"] = value.isNull()
+            else:
+                checks[f"valid_data_types_{name}"] = value.isNull() | converted.isNotNull()
     return checks
 
 

@@ -59,22 +59,41 @@ def _spellings(rule: Mapping) -> list[str]:
     return both if is_plain_name(name) else both[::-1]
 
 
+class NotScalar(ValueError):
+    """An expression that makes rows, or looks at others than its own."""
+
+
+def _is_projection(df: DataFrame, out: DataFrame) -> bool:
+    """Is ``out`` no more than a projection of ``df``? Generators, aggregates and window
+    functions put other operators between them, subqueries hang off the projection."""
+    plan, source = (x._jdf.queryExecution().analyzed() for x in (out, df))
+    return (
+        plan.nodeName() == "Project"
+        and plan.subqueries().isEmpty()
+        and plan.child().fastEquals(source)
+    )
+
+
 def _resolved(df: DataFrame, rewrites: Mapping[str, str]) -> DataFrame:
-    """Apply the rewrites and force analysis, which Spark Connect would put off."""
+    """Apply the rewrites and force analysis, which Spark Connect would put off. Only
+    scalar expressions are taken, so the rows stay as many as they are."""
     out = df.withColumns({name: F.expr(text) for name, text in rewrites.items()})
     out.schema
+    if not _is_projection(df, out):
+        raise NotScalar(", ".join(rewrites))
     return out
 
 
 def _apply_one(df: DataFrame, rule: Mapping) -> tuple[DataFrame, RuleOutcome]:
     name, text = rule["field_name"], rule["transform"]
-    failure: PySparkException | None = None
+    failure: Exception | None = None
     for spelling in _spellings(rule):
         try:
             return _resolved(df, {name: spelling}), RuleOutcome(name, text, "applied")
-        except PySparkException as error:
+        except (PySparkException, NotScalar) as error:
             failure = failure or error
-    reason = failure.getCondition() or type(failure).__name__
+    condition = failure.getCondition() if isinstance(failure, PySparkException) else None
+    reason = condition or type(failure).__name__
     log.error("rule for %s rejected (%s): %s", name, reason, text)
     return df, RuleOutcome(name, text, "rejected", reason)
 
@@ -105,7 +124,7 @@ def transform_with_outcomes(
         try:
             df = _resolved(df, {r["field_name"]: _spellings(r)[0] for r in batch})
             outcomes += [RuleOutcome(r["field_name"], r["transform"], "applied") for r in batch]
-        except PySparkException:
+        except (PySparkException, NotScalar):
             for rule in batch:
                 df, outcome = _apply_one(df, rule)
                 outcomes.append(outcome)

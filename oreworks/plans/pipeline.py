@@ -11,8 +11,9 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+from oreworks.functions.expressions import column
 from oreworks.functions.local import local_frame
 from oreworks.model import (
     ERROR_LOG,
@@ -24,14 +25,27 @@ from oreworks.model import (
     Combination,
     Settings,
 )
-from oreworks.operators.expectations import violation_counts
+from oreworks.operators.dedup import key_profile, present_keys
+from oreworks.operators.expectations import (
+    Expectation,
+    TableExpectation,
+    by_action,
+    expect,
+    violation_counts,
+)
 from oreworks.operators.selection import rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
 from oreworks.operators.transform import transform_with_outcomes
 from oreworks.plans.silver import silver_a, silver_b, silver_c
 from oreworks.sources import tables
-from oreworks.sources.rules import collect_rules
-from oreworks.sources.sinks import ROWS_OUT, ensure_schema, stage_properties, write_measured
+from oreworks.sources.rules import collect_rules, in_groups
+from oreworks.sources.sinks import (
+    ROWS_OUT,
+    ensure_schema,
+    stage_properties,
+    store_rows,
+    write_measured,
+)
 
 log = logging.getLogger(__name__)
 
@@ -79,6 +93,7 @@ class RunResult:
         expectation violations of every written table."""
         now = datetime.now(timezone.utc)
         rows = []
+        counts = {(Combination(*c), stage): n for *c, stage, _, n, _ in self.log_rows}
         for *c, stage, _, count, seconds in self.log_rows:
             key = Combination(*c)
             rate = count / seconds if seconds > 0 else 0.0
@@ -88,11 +103,19 @@ class RunResult:
                 found.append((CHECK_NAMES[stage], float(passed), 1.0, "PASS" if passed else "WARN"))
             if stage == "silver_c":
                 found += [(n, v, None, "PASS") for n, v in self.score_rows.get(key, {}).items()]
+                if (key, "silver_b") in counts:
+                    removed = counts[key, "silver_b"] - count
+                    found.append(("rows_removed", float(removed), None, "PASS"))
             for name, broken in self.violations.get((key, stage), {}).items():
                 found.append((name, float(broken), 0.0, "WARN" if broken else "PASS"))
             rows += [(*c, stage, key.label, *metric, count, now) for metric in found]
         return local_frame(self.spark, rows, QUALITY_METRICS)
 
+    def store(self, metrics_table: str, errors_table: str, run: str) -> None:
+        """Keep metrics and errors; storing the same run again replaces its rows."""
+        store_rows(self.metrics, metrics_table, run)
+        store_rows(self.errors, errors_table, run)
+
     def table(self, combination: Combination, stage: str) -> DataFrame:
         return self.spark.table(self.written[combination, stage])
 
@@ -158,17 +181,32 @@ class _CombinationRun:
         name = tables.silver_table(self.settings, c, stage)
         comment = f"{c.source}/{c.lob}/{c.domain}: {STAGE_COMMENTS[stage]}"
         expected = self.options["expectations"].get(stage)
-        predicates = expected(df) if expected else {}
+        checks = by_action(expected(df) if expected else {})
+        dropped = Observation()
+        if checks["fail"]:
+            df = expect(df, checks["fail"], "fail")
+        if checks["drop"]:
+            df = expect(df, checks["drop"], "drop", dropped)
         properties = stage_properties(self.settings, c, stage)
-        measured = write_measured(df, name, comment, properties, violation_counts(predicates))
+        measured = write_measured(df, name, comment, properties, violation_counts(checks["warn"]))
         rows = measured[ROWS_OUT]
+        broken = {n: measured[n] for n in checks["warn"]} | dict.fromkeys(checks["fail"], 0)
+        if checks["drop"]:
+            broken |= {n: dropped.get[n] for n in checks["drop"]}
         self.result.written[c, stage] = name
         self.result.log_rows.append((*c, stage, name, rows, measured["seconds"]))
         scores = {n: measured[n] for n in SCORE_MEASURES if n in measured}
         if scores:
             self.result.score_rows[c] = scores
-        self.result.violations[c, stage] = {n: measured[n] for n in predicates}
         written = self.spark.table(name)
+        whole = self.options["table_expectations"].get(stage, TableExpectation())
+        if whole.min_records is not None:
+            broken["valid_record_count"] = int(rows < whole.min_records)
+        if whole.unique_keys:
+            keys = present_keys(written, self.settings.keys_for(c.domain))
+            repeated = key_profile(written, keys).first()["duplicate_groups"] if keys else 0
+            broken["no_duplicates_on_business_keys"] = repeated
+        self.result.violations[c, stage] = broken
         self.result.checks[c, stage] = rows > 0 and set(needed) <= set(written.columns)
         return written
 
@@ -204,14 +242,21 @@ class _CombinationRun:
             settings.validation_enabled,
             finalize=self.options["finalize"],
             min_score=settings.min_quality_score,
+            order=_order(settings.dedup_order.get(self.combination.domain)),
+            on_missing_keys=settings.on_missing_keys,
             now=self.options["now"],
         )
-        return self._sink(final, (PROCESSED_COLUMN, STAGE_COLUMN))
+        stamped = (PROCESSED_COLUMN, STAGE_COLUMN) if self.options["finalize"] else ()
+        return self._sink(final, stamped)
 
     def execute(self) -> RunResult:
         steps = dict(zip(STAGES, (self._silver_a, self._silver_b, self._silver_c)))
         try:
             df = self._input(self.options["stages"][0])
+            if not self.found and self.options["on_missing_input"] == "fail":
+                raise FileNotFoundError(f"no input table for {self.combination.label}")
+            if not self.found and self.options["on_missing_input"] == "skip":
+                return self.result
             for self.stage in self.options["stages"]:
                 df = steps[self.stage](df)
         except Exception as error:
@@ -221,6 +266,19 @@ class _CombinationRun:
         return self.result
 
 
+def _order(names: Sequence[str] | None) -> list[Column] | None:
+    """Sort columns from "name" or "name DESC"; NULLs come last in either."""
+    if not names:
+        return None
+    last = " DESC"
+    return [
+        column(n[: -len(last)]).desc_nulls_last()
+        if n.upper().endswith(last)
+        else column(n).asc_nulls_last()
+        for n in names
+    ]
+
+
 def _consecutive(stages: Sequence[str]) -> tuple[str, ...]:
     found = tuple(stages)
     start = STAGES.index(found[0]) if found and found[0] in STAGES else 0
@@ -243,20 +301,31 @@ def run(
     on_error: str = "raise",
     raise_failures: bool = True,
     now: Column | None = None,
-    expectations: Mapping[str, Callable[[DataFrame], Mapping[str, Column]]] | None = None,
+    expectations: Mapping[str, Callable[[DataFrame], Mapping[str, Column | Expectation]]]
+    | None = None,
+    table_expectations: Mapping[str, TableExpectation] | None = None,
+    on_missing_input: str = "placeholder",
+    store: tuple[str, str] | None = None,
+    group: int = 256,
 ) -> RunResult:
     """Refine every combination and write its stage tables.
 
-    Rules for all combinations are read in one job per rule table. ``parallel``
+    Rules are read for ``group`` combinations at a time, in one job per rule table. ``parallel``
     combinations are in flight at a time, so one combination's shuffle tail overlaps
     another's scan; results never depend on it. A combination that fails is logged and
     the others go on; at the end ``RunFailed`` is raised unless ``raise_failures`` is
     off. ``materialize`` names the stages to write: the full list gives exact counts and
     restart points, ``("silver_c",)`` runs the three stages as one plan. ``stages`` runs
     some stages only, from the table of the stage before. ``expectations`` maps a stage to
-    a function from its DataFrame to named predicates; their violations are counted by the
-    write, and the rows kept.
+    a function from its DataFrame to named predicates or `Expectation`s; violations are
+    counted by the write, and the rows kept, dropped, or the combination failed, as the
+    action says. ``table_expectations`` are checked on the written table of a stage.
+    A missing input becomes a placeholder table unless ``on_missing_input`` says ``skip``
+    (good tables stay as they are) or ``fail``. ``store`` names two tables that keep the
+    run's metrics and errors, by month.
     """
+    if on_missing_input not in ("placeholder", "skip", "fail"):
+        raise ValueError(f"unknown on_missing_input {on_missing_input!r}")
     combos = list(combinations if combinations is not None else settings.combinations())
     result = RunResult(spark)
     if not combos:
@@ -265,8 +334,6 @@ def run(
         schema_rules = spark.table(settings.schema_rules_table)
     if transform_rules is None:
         transform_rules = spark.table(settings.transform_rules_table)
-    selecting = collect_rules(schema_rules, combos)
-    rewriting = collect_rules(transform_rules, combos)
     ensure_schema(spark, settings.silver_schema)
     options = {
         "month": tables.year_month(spark, month),
@@ -276,15 +343,20 @@ def run(
         "on_error": on_error,
         "now": now,
         "expectations": expectations or {},
+        "table_expectations": table_expectations or {},
+        "on_missing_input": on_missing_input,
     }
+    parts: list[RunResult] = []
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        for some in in_groups(combos, group):
+            selecting = collect_rules(schema_rules, some)
+            rewriting = collect_rules(transform_rules, some)
 
-    def one(combination: Combination) -> RunResult:
-        return _CombinationRun(
-            spark, settings, combination, selecting[combination], rewriting[combination], options
-        ).execute()
+            def one(c: Combination, selecting=selecting, rewriting=rewriting) -> RunResult:
+                steps = _CombinationRun(spark, settings, c, selecting[c], rewriting[c], options)
+                return steps.execute()
 
-    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        parts = list(pool.map(inheritable_thread_target(spark)(one), combos))
+            parts += pool.map(inheritable_thread_target(spark)(one), some)
 
     for part in parts:
         result.written.update(part.written)
@@ -294,6 +366,8 @@ def run(
         result.checks.update(part.checks)
         result.violations.update(part.violations)
         result.failed += part.failed
+    if store:
+        result.store(*store, run=options["month"])
     if result.failed and raise_failures:
         raise RunFailed(result)
     return result

@@ -6,15 +6,16 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from oreworks.functions.local import local_frame
-from oreworks.model import SCHEMA_RULES, Combination, Settings
+from oreworks.model import COMBINATION_COLUMNS, Combination, Settings
 from oreworks.operators.checks import completeness, duplicates, schema_findings, type_checks
 from oreworks.operators.report import quality_report
 from oreworks.operators.selection import required_fields
-from oreworks.sources.rules import collect_rules
+from oreworks.sources.rules import collect_rules, in_groups
 from oreworks.sources.sinks import append_rows
 from oreworks.sources.tables import table_columns
 
+RULE_GROUP = 256
+
 
 def quality_run(
     frames: Mapping[Combination, DataFrame],
@@ -30,22 +31,20 @@ def quality_run(
     otherwise.
     """
     settings = settings or Settings()
-    rules = collect_rules(schema_rules, list(frames))
     columns = table_columns(frames)
-    in_run = local_frame(
-        columns.sparkSession,
-        [
-            (*c, r["field_name"], r["data_type"], r["is_required"], None, None)
-            for c, found in rules.items()
-            for r in found
-        ],
-        SCHEMA_RULES,
-    )
+    # The rules themselves stay rows; the driver reads field names, a group of tables at a time.
+    keys_ = columns.select(*COMBINATION_COLUMNS).distinct()
+    in_run = schema_rules.join(keys_, [*COMBINATION_COLUMNS], "left_semi")
+    required = {
+        c: required_fields(found)
+        for some in in_groups(list(frames), RULE_GROUP)
+        for c, found in collect_rules(schema_rules, some).items()
+    }
     tolerance = settings.null_tolerance_percent
     return quality_report(
         schema=schema_findings(in_run, columns),
         completeness=[
-            completeness(df, c, required_fields(rules[c]), tolerance) for c, df in frames.items()
+            completeness(df, c, required[c], tolerance) for c, df in frames.items()
         ],
         duplicates=[
             duplicates(df, c, (keys or {}).get(c, settings.keys_for(c.domain)))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from oreworks.functions.expressions import conjunction
 from oreworks.functions.local import local_frame
+from oreworks.functions.types import unknown_type
 from oreworks.model import (
     ALLOWED_DOMAINS,
     COMBINATION_COLUMNS,
@@ -46,9 +47,6 @@ SAMPLE_TRANSFORM_RULES = (
 
 _KEYS = COMBINATION_COLUMNS
 
-# Rules are control data: combinations x fields. More than this is a mistake, not a rule set.
-MAX_DRIVER_RULES = 200_000
-
 
 def _rule_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
     """Rows without the two date columns get the current time for both."""
@@ -122,8 +120,8 @@ def collect_rules(
     """All rules of the given combinations in one job, grouped on the driver.
 
     The filter reaches the scan of the rule table; exact triples are matched here. Rules
-    are ordered as by the lookups. The size is checked: a rule table that outgrows
-    ``MAX_DRIVER_RULES`` raises instead of filling the driver.
+    are ordered as by the lookups. Callers with many combinations go through them in
+    groups (`in_groups`), so that the driver holds the rules of one group at a time.
     """
     wanted = set(combinations)
     order = ["priority", "field_name"] if "priority" in rules.columns else ["field_name"]
@@ -134,11 +132,8 @@ def collect_rules(
             )
         )
         .drop("created_date", "updated_date")
-        .limit(MAX_DRIVER_RULES + 1)
         .collect()
     )
-    if len(rows) > MAX_DRIVER_RULES:
-        raise ValueError(f"more than {MAX_DRIVER_RULES} rules for {len(combinations)} combinations")
 
     grouped: dict[Combination, list[Row]] = defaultdict(list)
     for row in rows:
@@ -146,6 +141,12 @@ def collect_rules(
     return {c: sorted(grouped[c], key=lambda r: _sort_key(r, order)) for c in combinations}
 
 
+def in_groups(combinations: Sequence[Combination], size: int) -> Iterator[Sequence[Combination]]:
+    """The combinations, ``size`` at a time."""
+    for start in range(0, len(combinations), size):
+        yield combinations[start : start + size]
+
+
 def _sort_key(row: Row, order: Sequence[str]) -> tuple:
     """NULLs first, then ascending; the remaining columns settle ties."""
     rest = [c for c in row.asDict() if c not in order]
@@ -192,7 +193,8 @@ def lint_rules(
     allowed_domains: Sequence[str] = ALLOWED_DOMAINS,
     table_columns: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per finding: invalid_domain, null_key, duplicate_rule, case_mismatch.
+    """One row per finding: invalid_domain, null_key, duplicate_rule, unknown_type,
+    case_mismatch.
 
     A rule is a duplicate if another has the same combination and field (and, for
     transform rules, the same expression and priority). ``table_columns`` rows of
@@ -201,8 +203,13 @@ def lint_rules(
     rule table is one shuffle; columns are joined in distinct.
     """
     identity = [*COMBINATION_COLUMNS, "field_name"]
-    detail = [c for c in ("transform", "priority") if c in rules.columns]
-    grouped = rules.groupBy(*identity, *detail).agg(F.count(F.lit(1)).alias("occurrences"))
+    detail = [c for c in ("transform", "priority", "data_type") if c in rules.columns]
+    if "data_type" in detail:  # schema rules: one rule per field, whatever its type
+        rules, detail = rules.withColumn("data_type", unknown_type(F.col("data_type"))), []
+    bad = F.bool_or("data_type") if "data_type" in rules.columns else F.bool_or(F.lit(False))
+    grouped = rules.groupBy(*identity, *detail).agg(
+        F.count(F.lit(1)).alias("occurrences"), F.coalesce(bad, F.lit(False)).alias("_bad_type")
+    )
 
     domain_ok = F.col("domain").isin(*allowed_domains)
     any_null = F.greatest(*[F.col(c).isNull() for c in identity])
@@ -210,6 +217,7 @@ def lint_rules(
         F.when(~domain_ok, F.lit("invalid_domain")),
         F.when(any_null, F.lit("null_key")),
         F.when(F.col("occurrences") > 1, F.lit("duplicate_rule")),
+        F.when(F.col("_bad_type"), F.lit("unknown_type")),
     ]
     if table_columns is not None:
         exact = table_columns.select(*identity).distinct().withColumn("_exact", F.lit(True))

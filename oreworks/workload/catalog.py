@@ -224,6 +224,6 @@ def table_inventory(t):
     return tables.inventory({name: getattr(t, name) for name in TABLES})
 
 
-@query("SELECT doc_id, lang, source, n_chars FROM documents ORDER BY doc_id LIMIT 5")
+@query("SELECT * FROM documents ORDER BY doc_id LIMIT 5")
 def sample_documents(t):
-    return tables.sample_rows(t.documents.drop("text"), 5, "doc_id")
+    return tables.sample_rows(t.documents, 5, "doc_id")

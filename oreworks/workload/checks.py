@@ -417,24 +417,30 @@ def expect_recent(t):
 
 @query(
     """WITH v AS (SELECT doc_id, source, replace(source, 'src', '') AS code,
-               nullif(lang, 'en') AS lang FROM documents)
+               nullif(lang, 'en') AS lang, nullif(source, 'src1') AS kind,
+               CASE WHEN n_chars > 500 THEN n_chars::DOUBLE END AS size FROM documents)
 SELECT 'valid_data_types_' || f AS expectation, n AS total_records, bad AS violations,
        CASE WHEN bad = 0 THEN 'PASS' ELSE 'WARN' END AS status
-FROM (SELECT unnest(['doc_id', 'source', 'code', 'lang']) AS f,
+FROM (SELECT unnest(['doc_id', 'source', 'code', 'lang', 'size', 'kind']) AS f,
              unnest([0, 0, count(*) FILTER (WHERE TRY_CAST(code AS INTEGER) IS NULL),
-                     count(*) FILTER (WHERE lang IS NOT NULL)]) AS bad, count(*) AS n FROM v)"""
+                     count(*) FILTER (WHERE lang IS NOT NULL), count(size), count(kind)]) AS bad,
+             count(*) AS n FROM v)"""
 )
 def expect_valid_types(t):
-    """Values that do not convert to their rule's type; ``lang`` is declared a date."""
+    """Values that do not convert to their rule's type; ``lang`` is declared a date, and so is
+    the number ``size``, which Spark never converts; the type of ``kind`` is none."""
     df = t.documents.select(
         "doc_id",
         "source",
         F.replace("source", F.lit("src"), F.lit("")).alias("code"),
         F.nullif("lang", F.lit("en")).alias("lang"),
+        F.when(F.col("n_chars") > 500, F.col("n_chars").cast("double")).alias("size"),
+        F.nullif("source", F.lit("src1")).alias("kind"),
     )
     fields = schema_rule_list(
         [("doc_id", "INTEGER", True), ("source", "STRING", True), ("code", "INTEGER", False),
-         ("lang", "DATE", False), ("not_there", "DATE", False)]
+         ("lang", "DATE", False), ("size", "DATE", False), ("kind", "VARCHR", False),
+         ("not_there", "DATE", False)]
     )
     return expectations.expectation_counts(df, expectations.valid_data_types(df, fields))
 

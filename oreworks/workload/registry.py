@@ -4,7 +4,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -12,14 +11,8 @@ TABLES = (
 )
 
 
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 class Tables:
-    """The test tables of one scale factor, read on demand.
-
-    A file's schema is inferred once per process, as a catalog would remember it.
-    """
+    """The test tables of one scale factor, read on demand."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
@@ -28,10 +21,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
 @dataclass(frozen=True)

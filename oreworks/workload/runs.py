@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from oreworks.model import Combination, Settings
+from oreworks.operators.expectations import Expectation, TableExpectation
 from oreworks.operators.summary import run_summary
 from oreworks.plans.pipeline import RunResult, run
 from oreworks.plans.quality import quality_run
 from oreworks.sources import rules
-from oreworks.sources.sinks import ensure_schema, shared_folder
+from oreworks.sources.sinks import ensure_schema, require_shared_warehouse
 from oreworks.workload.registry import query
 
 SALES = Combination("tpch", "retail", "sales")
@@ -56,23 +58,31 @@ TRANSFORM_RULES = [
 ]
 
 
-def refine(t, combinations, schema: str) -> RunResult:
-    """Run the combinations over views of the test tables, into tables of ``schema``."""
+def refine(t, combinations, schema: str, rule_tables: bool = False, **options) -> RunResult:
+    """Run the combinations over views of the test tables, into tables of ``schema``, by rules
+    given inline or kept in rule tables."""
     spark = t.spark
-    settings = replace(SETTINGS, silver_schema=schema)
+    require_shared_warehouse(spark)
+    # Applications that share a metastore, and runs in one application, have names of their own.
+    app = re.sub(r"\W", "_", spark.sparkContext.applicationId)
+    settings = replace(SETTINGS, silver_schema=f"{schema}_{app}", bronze_suffix=f"_{schema}")
     for combination, name in INPUTS.items():
-        getattr(t, name).createOrReplaceGlobalTempView(f"{combination.label}_202407_bronze")
-    app = spark.conf.get("spark.app.id")
-    ensure_schema(spark, schema, f"{shared_folder(spark)}/{schema}-{app}")
-    return run(
-        spark,
-        settings,
-        "202407",
-        combinations,
-        rules.schema_rules(spark, SCHEMA_RULES),
-        rules.transform_rules(spark, TRANSFORM_RULES),
-        now=F.to_timestamp_ntz(F.lit("2024-08-01 00:00:00")),
-    )
+        view = f"{combination.label}_202407{settings.bronze_suffix}"
+        getattr(t, name).createOrReplaceGlobalTempView(view)
+    ensure_schema(spark, settings.silver_schema)
+    inline = [rules.schema_rules(spark, SCHEMA_RULES), rules.transform_rules(spark, TRANSFORM_RULES)]
+    if rule_tables:
+        settings = replace(
+            settings,
+            schema_rules_table=f"{settings.silver_schema}.schema_rules",
+            transform_rules_table=f"{settings.silver_schema}.transform_rules",
+        )
+        rules.create_rule_tables(spark, settings)
+        for frame, table in zip(inline, (settings.schema_rules_table, settings.transform_rules_table)):
+            frame.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        inline = [None, None]
+    now = F.to_timestamp_ntz(F.lit("2024-08-01 00:00:00"))
+    return run(spark, settings, "202407", combinations, *inline, now=now, **options)
 
 
 _STAGE_COUNTS = """counts AS (
@@ -136,3 +146,67 @@ def full_run_quality(t):
     finals = {c: result.table(c, "silver_c") for c in INPUTS}
     metrics = quality_run(finals, rules.schema_rules(t.spark, SCHEMA_RULES), SETTINGS)
     return metrics.drop("created_timestamp")
+
+
+_PROPERTIES = ("layer", "source", "lob", "domain", "deduplication_keys")
+
+
+@query(
+    f"""WITH {_STAGE_COUNTS},
+stages(stage, keyed) AS (VALUES ('silver_a', false), ('silver_b', false), ('silver_c', true)),
+keys(domain, k) AS (VALUES ('sales', 'o_custkey,o_orderstatus'), ('lines', 'l_orderkey,l_linenumber'),
+                           ('clicks', 'user_id,event_type'), ('texts', 'text')),
+tables AS (SELECT *, CASE stage WHEN 'silver_a' THEN a WHEN 'silver_b' THEN b ELSE c END AS row_count
+           FROM counts JOIN keys USING (domain) CROSS JOIN stages)
+SELECT source, lob, domain, stage, row_count, p AS property,
+       CASE p WHEN 'layer' THEN stage WHEN 'source' THEN source WHEN 'lob' THEN lob
+              WHEN 'domain' THEN domain ELSE k END AS value
+FROM tables, (SELECT unnest(['layer', 'source', 'lob', 'domain', 'deduplication_keys']) AS p)
+WHERE p <> 'deduplication_keys' OR keyed"""
+)
+def full_run_rule_tables(t):
+    """From stored rules to labelled tables: rows of each table, and its properties."""
+    result = refine(t, list(INPUTS), "oreworks_stored_rules", rule_tables=True)
+    counts = run_summary({key: result.table(*key) for key in result.written})
+    labels = None
+    for (c, stage), table in result.written.items():
+        shown = t.spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key").isin(*_PROPERTIES))
+        key = [F.lit(v).alias(n) for n, v in zip(("source", "lob", "domain", "stage"), (*c, stage))]
+        own = shown.select(*key, F.col("key").alias("property"), "value")
+        labels = own if labels is None else labels.unionAll(own)
+    return counts.join(labels, ["source", "lob", "domain", "stage"])
+
+
+@query(
+    """WITH b AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+kept AS (SELECT * FROM b WHERE o_totalprice < 200000)
+SELECT 'silver_b' AS stage, 'price_in_range' AS metric_name,
+       (SELECT count(*) FROM b WHERE NOT o_totalprice < 200000)::DOUBLE AS metric_value,
+       'WARN' AS status, (SELECT count(*) FROM kept) AS record_count
+UNION ALL
+SELECT 'silver_b', 'not_open', (SELECT count(*) FROM kept WHERE o_orderstatus = 'O')::DOUBLE, 'WARN',
+       (SELECT count(*) FROM kept)
+UNION ALL
+SELECT 'silver_b', 'o_custkey_not_null', 0.0, 'PASS', (SELECT count(*) FROM kept)
+UNION ALL
+SELECT 'silver_c', 'valid_record_count', 1.0, 'WARN',
+       (SELECT count(DISTINCT (o_custkey, o_orderstatus)) FROM kept)
+UNION ALL
+SELECT 'silver_c', 'no_duplicates_on_business_keys', 0.0, 'PASS',
+       (SELECT count(DISTINCT (o_custkey, o_orderstatus)) FROM kept)"""
+)
+def full_run_expectations(t):
+    """Expectations that drop, warn and guard in a run, and checks of a written table."""
+    expected = {
+        "silver_b": lambda df: {
+            "price_in_range": Expectation(F.col("o_totalprice") < 200000, "drop"),
+            "o_custkey_not_null": Expectation(F.col("o_custkey").isNotNull(), "fail"),
+            "not_open": F.col("o_orderstatus") != "O",
+        }
+    }
+    whole = {"silver_c": TableExpectation(min_records=10**12, unique_keys=True)}
+    options = {"expectations": expected, "table_expectations": whole}
+    result = refine(t, [SALES], "oreworks_expectations", **options)
+    names = [*expected["silver_b"](None), "valid_record_count", "no_duplicates_on_business_keys"]
+    found = result.metrics.where(F.col("metric_name").isin(*names))
+    return found.select("stage", "metric_name", "metric_value", "status", "record_count")

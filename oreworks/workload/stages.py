@@ -161,6 +161,22 @@ def silver_b_documents(t):
     return silver_b(t.documents, rules, schema_rule_list([("lang", "STRING", True)]))
 
 
+@query("SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def silver_b_rejected_rules(t):
+    """Rules that would make, drop or mix rows are rejected; the scalar one runs."""
+    rules = transform_rule_list(
+        [
+            ("c_acctbal", "EXPLODE(ARRAY(c_acctbal, c_acctbal))", 1),
+            ("c_custkey", "MAX(c_custkey)", 1),
+            ("c_mktsegment", "EXPLODE(FILTER(ARRAY(c_mktsegment), x -> false))", 1),
+            ("c_nationkey", "ROW_NUMBER() OVER (ORDER BY c_nationkey)", 1),
+            ("c_nationkey", "(SELECT MAX(id) FROM RANGE(9))", 2),
+            ("c_name", "UPPER(c_name)", 2),
+        ]
+    )
+    return silver_b(t.customer, rules)
+
+
 # --------------------------------------------------------------------------
 # Stage C and its parts
 # --------------------------------------------------------------------------
@@ -201,7 +217,7 @@ def dedup_keep_latest(t):
     return deduplicate(t.events, ["user_id", "event_type"], [F.desc("ts"), F.desc("event_id")])
 
 
-@query(survivors_sql("documents", ["text"], ["doc_id", "lang", "source", "n_chars"]))
+@query(survivors_sql("documents", ["text"], ["doc_id", "n_chars", "lang", "source"]))
 def dedup_documents(t):
     return deduplicate(t.documents, ["text"])
 
@@ -229,10 +245,10 @@ def dedup_partial_keys(t):
     return deduplicate(t.orders, ["o_custkey", "o_not_there"])
 
 
-@query("SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders")
+@query("SELECT DISTINCT * FROM orders")
 def dedup_whole_rows(t):
-    keys = ["o_custkey", "o_orderstatus", "o_orderpriority"]
-    return deduplicate(t.orders.select(*keys), keys)
+    """Every order twice; the key is the whole row."""
+    return deduplicate(t.orders.unionAll(t.orders), t.orders.columns)
 
 
 @query(f"WITH {ORDER_GAPS_SQL} SELECT *, {ORDER_SCORE_SQL} AS quality_score FROM gaps")
@@ -289,7 +305,7 @@ c AS (
   SELECT * FROM b QUALIFY row_number() OVER (
     PARTITION BY l_orderkey, l_linenumber
     ORDER BY l_discount NULLS FIRST, l_extendedprice NULLS FIRST, l_partkey NULLS FIRST,
-             l_quantity NULLS FIRST, l_returnflag NULLS FIRST, l_shipdate NULLS FIRST) = 1)
+             l_quantity NULLS FIRST, l_shipdate NULLS FIRST, l_returnflag NULLS FIRST) = 1)
 SELECT *,
   CAST(({non_null_terms('l_discount', 'l_extendedprice', 'l_linenumber', 'l_orderkey',
                         'l_partkey', 'l_quantity', 'l_returnflag', 'l_shipdate')})
@@ -328,7 +344,9 @@ def silver_c_min_score(t):
 @query(
     f"""WITH c AS ({survivors_sql('embeddings', ['label'], ['vec_id'])})
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS dimensions,
-       CAST(embedding[1] AS DOUBLE) AS head, CAST(1 AS DECIMAL(3,2)) AS quality_score,
+       CAST(list_sum(list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 1048576) AS BIGINT)))
+            AS BIGINT) AS component_sum,
+       CAST(1 AS DECIMAL(3,2)) AS quality_score,
        {NOW_SQL} AS processed_timestamp, 'silver_c' AS pipeline_stage
 FROM c"""
 )
@@ -338,7 +356,11 @@ def silver_c_embeddings(t):
         "vec_id",
         "label",
         F.size("embedding").alias("dimensions"),
-        F.element_at("embedding", 1).cast("double").alias("head"),
+        F.aggregate(
+            F.transform("embedding", lambda x: F.floor(x.cast("double") * 1048576)),
+            F.lit(0).cast("long"),
+            lambda total, x: total + x,
+        ).alias("component_sum"),
         "quality_score",
         "processed_timestamp",
         "pipeline_stage",
@@ -348,7 +370,7 @@ def silver_c_embeddings(t):
 @query(
     f"""WITH a AS (
   SELECT conv_id, nullif(role, 'system') AS role, trim(text) AS text, turn FROM conversations),
-c AS ({survivors_sql('a', ['conv_id', 'role'], ['text', 'turn'])})
+c AS ({survivors_sql('a', ['conv_id', 'role'], ['turn', 'text'])})
 SELECT *, CAST(({non_null_terms('conv_id', 'role', 'text', 'turn')}) / 4.0::DOUBLE
                AS DECIMAL(3,2)) AS quality_score,
        {NOW_SQL} AS processed_timestamp, 'silver_c' AS pipeline_stage FROM c"""
@@ -365,8 +387,8 @@ def silver_c_conversations(t):
 
 
 @query(
-    f"""WITH a AS (SELECT html, page_id, lower(split_part(url, '?', 1)) AS url FROM pages),
-c AS ({survivors_sql('a', ['url'], ['html', 'page_id'])})
+    f"""WITH a AS (SELECT html, page_id, lower(trim(url)) AS url FROM pages),
+c AS ({survivors_sql('a', ['url'], ['page_id', 'html'])})
 SELECT *, CAST(1 AS DECIMAL(3,2)) AS quality_score,
        {NOW_SQL} AS processed_timestamp, 'silver_c' AS pipeline_stage FROM c"""
 )
@@ -374,7 +396,7 @@ def silver_c_pages(t):
     fields = schema_rule_list(
         [("page_id", "INTEGER", True), ("url", "STRING", True), ("html", "STRING", True)]
     )
-    rules = transform_rule_list([("url", "LOWER(SPLIT_PART(url, '?', 1))", 1)])
+    rules = transform_rule_list([("url", "LOWER(TRIM(url))", 1)])
     return silver(t.pages, ["url"], fields, rules, now=fixed_now())
 
 

@@ -2,7 +2,7 @@ import pytest
 from samples import BRONZE, MEMBER1, PHARMACY1
 
 from oreworks.model import Combination, Settings, SourceSpec
-from oreworks.plans.tuning import MAX_SHUFFLE_PARTITIONS, session_conf
+from oreworks.plans.tuning import session_conf
 from oreworks.sources import rules, tables
 
 SETTINGS = Settings(
@@ -97,11 +97,17 @@ def test_collect_rules_matches_the_lookups(spark):
     assert [len(v) for v in got.values()] == [3, 1, 0]
 
 
-def test_collect_rules_checks_its_size(spark, monkeypatch):
-    monkeypatch.setattr(rules, "MAX_DRIVER_RULES", 3)
-    frame = rules.schema_rules(spark, rules.SAMPLE_SCHEMA_RULES)
-    with pytest.raises(ValueError, match="more than 3"):
-        rules.collect_rules(frame, [PHARMACY1])
+def test_groups_of_combinations_hold_all():
+    combos = SETTINGS.combinations()
+    for size in (1, 2, len(combos), 100):
+        assert [c for some in rules.in_groups(combos, size) for c in some] == combos
+
+
+def test_unknown_type_names_are_a_finding(spark):
+    kinds = ["STRING", "decimal(10, 2)", "array<int>", "VARCHR", None, "timestamp_ntz"]
+    frame = rules.schema_rules(spark, [(*PHARMACY1, f"f{i}", k, False) for i, k in enumerate(kinds)])
+    found = rules.lint_rules(frame).collect()
+    assert [(r["field_name"], r["finding"]) for r in found] == [("f3", "unknown_type")]
 
 
 def test_combinations_frame_matches_the_settings(spark, as_rows):
@@ -156,7 +162,8 @@ def test_session_conf_scales_with_the_input():
     middle = session_conf(100 << 30, 64)
     assert middle["spark.sql.shuffle.partitions"] == "400"
     huge = session_conf(100 << 40, 4000)
-    assert huge["spark.sql.shuffle.partitions"] == str(MAX_SHUFFLE_PARTITIONS)
-    assert int(huge["spark.sql.files.maxPartitionBytes"]) > int(
+    assert huge["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
+    wide = session_conf(100 << 40, 4000, split_bytes=1 << 30)
+    assert int(wide["spark.sql.files.maxPartitionBytes"]) > int(
         small["spark.sql.files.maxPartitionBytes"]
     )

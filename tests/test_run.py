@@ -60,7 +60,8 @@ def test_expected_tables(result, bronze, combination, a_columns, counts):
 def test_expected_values(result):
     c = result.table(PHARMACY1, "silver_c")
     survivor = c.filter("patient_id = 'PAT001'").collect()
-    assert [r["drug_name"] for r in survivor] == ["Insulin"]
+    # Numbers and dates settle the tie before strings do.
+    assert [r["drug_name"] for r in survivor] == ["Metformin"]
     assert c.filter("drug_name = 'Metoprolol'").count() == 1
     assert {r[0] for r in c.select("quality_score").collect()} == {Decimal("1.00")}
     assert {r[0] for r in c.select("pipeline_stage").collect()} == {"silver_c"}

@@ -161,10 +161,13 @@ def test_may_read_has_no_false_negatives():
     assert not may_read("a * 2", {"b"})
 
 
-def test_generators_and_windows_run_rule_by_rule(spark):
-    df = spark.createDataFrame([([1, 2], [3, 4])], "a array<int>, b array<int>")
-    rules = transform_rule_list([("a", "EXPLODE(a)", 1), ("b", "EXPLODE(b)", 1)])
-    assert transform_by_rules(df, rules).count() == 4
+def test_only_scalar_rules_run(spark):
+    df = spark.createDataFrame([([1, 2], 3), ([], 4)], "a array<int>, b int")
+    bad = ["EXPLODE(a)", "MAX(b)", "ROW_NUMBER() OVER (ORDER BY b)", "(SELECT 1)", "b IN (SELECT 1)"]
+    rules = transform_rule_list([("b", text, 1) for text in bad] + [("b", "b + 1", 2)])
+    out, outcomes = transform_with_outcomes(df, rules)
+    assert [o.status for o in outcomes] == ["rejected"] * len(bad) + ["applied"]
+    assert sorted(r["b"] for r in out.collect()) == [4, 5]
 
 
 def test_transform_to_null_drops_a_required_row(spark):
