@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.functions.expressions import combination_literals, quoted, sql_string
@@ -134,11 +134,38 @@ def completeness(
     required = list(dict.fromkeys(required))
     have = set(df.columns)
     present = [f for f in required if f in have]
-    missing = [f for f in required if f not in have]
     totals = df.agg(
         F.expr("count(1) AS total_records"),
         *[F.expr(f"count_if({quoted(f)} IS NULL) AS _n{i}") for i, f in enumerate(present)],
     )
+    return _completeness(totals, combination, required, present, tolerance_percent)
+
+
+def completeness_of_counts(
+    spark: SparkSession,
+    combination: Combination,
+    required: Sequence[str],
+    total: int,
+    nulls: Mapping[str, int],
+    tolerance_percent: float = NULL_TOLERANCE_PERCENT,
+) -> DataFrame:
+    """`completeness` from counts that a write has gathered; ``nulls`` holds the required
+    fields that the table has."""
+    counts = [F.lit(n).cast("bigint").alias(f"_n{i}") for i, n in enumerate(nulls.values())]
+    totals = spark.range(1).select(F.lit(total).cast("bigint").alias("total_records"), *counts)
+    fields = list(dict.fromkeys(required))
+    return _completeness(totals, combination, fields, list(nulls), tolerance_percent)
+
+
+def _completeness(
+    totals: DataFrame,
+    combination: Combination,
+    required: Sequence[str],
+    present: Sequence[str],
+    tolerance_percent: float,
+) -> DataFrame:
+    """Findings from one row of total_records and the NULLs of each present field (_n0 ...)."""
+    missing = [f for f in required if f not in present]
     gaps = [f"_n{i}" for i in range(len(present))]
     every = f"array({', '.join(gaps)})"
     rows = [

@@ -12,11 +12,13 @@ from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from oreworks.functions.expressions import column
 from oreworks.functions.local import local_frame
 from oreworks.model import (
     ERROR_LOG,
+    NULL_TOLERANCE_PERCENT,
     PROCESSED_COLUMN,
     QUALITY_METRICS,
     RUN_LOG,
@@ -25,6 +27,7 @@ from oreworks.model import (
     Combination,
     Settings,
 )
+from oreworks.operators.checks import completeness_of_counts
 from oreworks.operators.dedup import key_profile, present_keys
 from oreworks.operators.expectations import (
     Expectation,
@@ -33,7 +36,7 @@ from oreworks.operators.expectations import (
     expect,
     violation_counts,
 )
-from oreworks.operators.selection import rule_fields
+from oreworks.operators.selection import required_fields, rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
 from oreworks.operators.transform import transform_with_outcomes
 from oreworks.plans.silver import silver_a, silver_b, silver_c
@@ -78,6 +81,15 @@ class RunResult:
     checks: dict[tuple[Combination, str], bool] = field(default_factory=dict)
     violations: dict[tuple[Combination, str], dict[str, int]] = field(default_factory=dict)
     failed: list[Combination] = field(default_factory=list)
+    nulls: dict[Combination, tuple[list[str], int, dict[str, int]]] = field(default_factory=dict)
+
+    def completeness(self, tolerance_percent: float = NULL_TOLERANCE_PERCENT) -> list[DataFrame]:
+        """The completeness findings of every final table, from counts that its write has
+        gathered: no further scan."""
+        return [
+            completeness_of_counts(self.spark, c, required, rows, gaps, tolerance_percent)
+            for c, (required, rows, gaps) in self.nulls.items()
+        ]
 
     @property
     def run_log(self) -> DataFrame:
@@ -188,8 +200,17 @@ class _CombinationRun:
         if checks["drop"]:
             df = expect(df, checks["drop"], "drop", dropped)
         properties = stage_properties(self.settings, c, stage)
-        measured = write_measured(df, name, comment, properties, violation_counts(checks["warn"]))
+        measures = violation_counts(checks["warn"])
+        wanted = required_fields(self.schema_rules) if stage == STAGES[-1] else []
+        present = [f for f in dict.fromkeys(wanted) if f in df.columns]
+        measures += [
+            F.count_if(column(f).isNull()).alias(f"_nulls_{i}") for i, f in enumerate(present)
+        ]
+        measured = write_measured(df, name, comment, properties, measures)
         rows = measured[ROWS_OUT]
+        if stage == STAGES[-1]:
+            gaps = {f: measured[f"_nulls_{i}"] for i, f in enumerate(present)}
+            self.result.nulls[c] = (wanted, rows, gaps)
         broken = {n: measured[n] for n in checks["warn"]} | dict.fromkeys(checks["fail"], 0)
         if checks["drop"]:
             broken |= {n: dropped.get[n] for n in checks["drop"]}
@@ -364,6 +385,7 @@ def run(
         result.error_rows += part.error_rows
         result.score_rows.update(part.score_rows)
         result.checks.update(part.checks)
+        result.nulls.update(part.nulls)
         result.violations.update(part.violations)
         result.failed += part.failed
     if store:

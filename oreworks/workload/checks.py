@@ -9,10 +9,10 @@ from oreworks.operators import checks, expectations, report, summary
 from oreworks.operators.dedup import duplicate_groups as groups_of_duplicates
 from oreworks.operators.score import add_metadata, add_quality_score
 from oreworks.operators.selection import rule_fields
+from oreworks.operators.transform import transform_by_rules
 from oreworks.plans.quality import quality_run
-from oreworks.plans.silver import silver_c
 from oreworks.sources import rules
-from oreworks.sources.rules import schema_rule_list
+from oreworks.sources.rules import schema_rule_list, transform_rule_list
 from oreworks.workload.catalog import (
     COLUMN_CATALOG,
     SCHEMA_CATALOG,
@@ -20,14 +20,13 @@ from oreworks.workload.catalog import (
     schema_catalog,
 )
 from oreworks.workload.registry import query
+from oreworks.workload.runs import refine
 from oreworks.workload.stages import (
     LINE_KEYS,
     ORDER_FIELDS,
     ORDER_GAPS_SQL,
     ORDER_SCORE_SQL,
-    ORDER_STAGES_SQL,
     fixed_now,
-    order_stages,
     orders_with_gaps,
 )
 
@@ -133,7 +132,9 @@ _LINE_COLUMNS = (
 
 @query(
     f"""WITH n AS (SELECT count(*) AS total, unnest(['{"', '".join(_LINE_COLUMNS)}']) AS f,
-  unnest([{", ".join(f"count(*) - count({c})" for c in _LINE_COLUMNS)}]) AS gaps FROM lineitem)
+  unnest([{", ".join(f"count(*) - count({c})" for c in _LINE_COLUMNS)}]) AS gaps
+  FROM (SELECT * REPLACE (nullif(l_quantity, 50) AS l_quantity,
+                          nullif(l_returnflag, 'N') AS l_returnflag) FROM lineitem))
 SELECT 'tpch' AS source, 'retail' AS lob, 'lines' AS domain, total AS total_records,
        'field' AS level, f AS field_name, gaps AS null_count,
        (total - gaps) / total * 100 AS completeness_percent,
@@ -145,8 +146,11 @@ SELECT 'tpch', 'retail', 'lines', max(total), 'overall', NULL, CAST(sum(gaps) AS
        CASE WHEN min((total - gaps) / total * 100) >= 95 THEN 'PASS' ELSE 'FAIL' END, '' FROM n"""
 )
 def completeness_lineitem(t):
-    """Every column of the widest table in one aggregate."""
-    found = checks.completeness(t.lineitem, LINES, _LINE_COLUMNS)
+    """Every column of the widest table in one aggregate; two have gaps."""
+    gaps = transform_rule_list(
+        [("l_quantity", "NULLIF(l_quantity, 50)", 1), ("l_returnflag", "NULLIF(l_returnflag, 'N')", 1)]
+    )
+    found = checks.completeness(transform_by_rules(t.lineitem, gaps), LINES, _LINE_COLUMNS)
     return found.withColumn("missing_fields", F.array_join("missing_fields", ","))
 
 
@@ -462,19 +466,20 @@ def expect_no_duplicates(t):
 
 
 @query(
-    f"""WITH {ORDER_GAPS_SQL}
+    f"""WITH b AS (SELECT * FROM orders WHERE o_orderstatus <> 'P')
 SELECT {LABEL_SQL}, 'silver_b' AS stage, 'transformation_success' AS metric_name,
        0.0::DOUBLE AS metric_value, 1.0::DOUBLE AS threshold, 'WARN' AS status,
-       count(*) AS record_count FROM gaps
+       count(*) AS record_count FROM b
 UNION ALL
 SELECT {LABEL_SQL}, 'silver_c', 'silver_c_completeness', 1.0, 1.0, 'PASS',
-       count(DISTINCT coalesce(o_custkey, -1)) FROM gaps"""
+       count(DISTINCT (o_custkey, o_orderstatus)) FROM b"""
 )
 def stage_checks(t):
-    gaps = orders_with_gaps(t)
-    final = silver_c(gaps, ["o_custkey"], now=fixed_now())
-    return checks.transformation_check(gaps, SALES, rule_fields(ORDER_FIELDS)).unionByName(
-        checks.completion_check(final, SALES)
+    """Over written tables; the rules name a field that no table has."""
+    written = written_stages(t, "oreworks_stage_checks")
+    b, c = written[SALES, "silver_b"], written[SALES, "silver_c"]
+    return checks.transformation_check(b, SALES, rule_fields(ORDER_FIELDS)).unionByName(
+        checks.completion_check(c, SALES)
     )
 
 
@@ -488,28 +493,38 @@ def quality_stats(t):
     return stats
 
 
+def written_stages(t, schema: str):
+    """The stage tables of the orders, as a run writes them."""
+    result = refine(t, [SALES], schema)
+    return {key: result.table(*key) for key in result.written}
+
+
+_WRITTEN_SQL = """stages AS (
+  SELECT 'silver_a' AS stage, o_totalprice, o_orderstatus FROM orders
+  UNION ALL
+  SELECT 'silver_b', o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+  UNION ALL
+  SELECT 'silver_c', min(o_totalprice), o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+  GROUP BY o_custkey, o_orderstatus)"""
 _SUMMARY_LABELS = "'tpch' AS source, 'retail' AS lob, 'sales' AS domain"
 
 
 @query(
-    f"WITH {ORDER_STAGES_SQL}\nSELECT {_SUMMARY_LABELS}, stage, count(*) AS row_count "
+    f"WITH {_WRITTEN_SQL}\nSELECT {_SUMMARY_LABELS}, stage, count(*) AS row_count "
     "FROM stages GROUP BY stage"
 )
 def run_summary(t):
-    stages, _ = order_stages(t)
-    return summary.run_summary({(SALES, stage): df for stage, df in stages.items()})
+    return summary.run_summary(written_stages(t, "oreworks_run_summary"))
 
 
 @query(
-    f"WITH {ORDER_STAGES_SQL}\nSELECT {_SUMMARY_LABELS}, stage, count(*) AS row_count FROM stages "
-    "WHERE o_orderkey IS NOT NULL AND o_custkey IS NOT NULL AND o_orderstatus IS NOT NULL "
-    "GROUP BY stage"
+    f"WITH {_WRITTEN_SQL}\nSELECT {_SUMMARY_LABELS}, stage, count(*) AS row_count FROM stages "
+    "WHERE o_totalprice > 0 AND o_orderstatus IS NOT NULL GROUP BY stage"
 )
 def validation_counts(t):
-    stages, required = order_stages(t)
-    return summary.validation_counts(
-        {(SALES, stage): df for stage, df in stages.items()}, {SALES: required}
-    )
+    """Rows of the written tables with no NULL in the fields asked for."""
+    written = written_stages(t, "oreworks_validation_counts")
+    return summary.validation_counts(written, {SALES: ["o_totalprice", "o_orderstatus"]})
 
 
 @query(
@@ -553,6 +568,14 @@ def error_summary(t):
     return summary.error_summary(error_log(t))
 
 
+@query(
+    """SELECT CAST(event_id AS VARCHAR) AS error_id,
+       CAST(to_json({'user_id': user_id}) AS VARCHAR) AS additional_context FROM events"""
+)
+def error_contexts(t):
+    return error_log(t).select("error_id", "additional_context")
+
+
 @query(
     """SELECT CAST(event_id AS VARCHAR) AS error_id, ts AS timestamp, event_type AS error_type,
        'value ' || json_extract_string(props, '$.k') AS error_message,

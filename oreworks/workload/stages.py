@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from oreworks.operators.dedup import deduplicate
 from oreworks.operators.required import drop_low_quality
 from oreworks.operators.score import add_quality_score
-from oreworks.operators.selection import required_fields
 from oreworks.operators.transform import transform_by_rules
 from oreworks.plans.silver import silver, silver_a, silver_b, silver_c
 from oreworks.sources.rules import schema_rule_list, transform_rule_list
@@ -398,25 +397,3 @@ def silver_c_pages(t):
     )
     rules = transform_rule_list([("url", "LOWER(TRIM(url))", 1)])
     return silver(t.pages, ["url"], fields, rules, now=fixed_now())
-
-
-def order_stages(t):
-    """Stages A, B and C of the orders combination, for the summaries."""
-    fields = schema_rule_list(
-        [(f["field_name"], f["data_type"], f["is_required"]) for f in ORDER_FIELDS]
-        + [("o_orderpriority", "STRING", False)]
-    )
-    a = silver_a(t.orders, fields)
-    b = silver_b(a, ORDER_GAPS)
-    c = silver_c(b, ["o_custkey", "o_orderstatus"], now=fixed_now())
-    return {"silver_a": a, "silver_b": b, "silver_c": c}, required_fields(fields)
-
-
-ORDER_STAGES_SQL = f"""{ORDER_GAPS_SQL},
-stages AS (
-  SELECT 'silver_a' AS stage, o_orderkey, o_custkey, o_orderstatus FROM orders
-  UNION ALL
-  SELECT 'silver_b', o_orderkey, o_custkey, o_orderstatus FROM gaps
-  UNION ALL
-  SELECT 'silver_c', min(o_orderkey), o_custkey, o_orderstatus FROM gaps
-  GROUP BY o_custkey, o_orderstatus)"""

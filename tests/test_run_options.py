@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreworks.model import Combination, Settings
+from oreworks.operators.checks import completeness
 from oreworks.operators.dedup import deduplicate, duplicate_groups, key_profile
 from oreworks.operators.expectations import Expectation, valid_data_types
 from oreworks.plans.pipeline import run
@@ -57,6 +58,17 @@ def test_missing_input_can_skip_or_fail(spark, inputs):
     assert inputs(combos=[GONE], on_missing_input="fail").failed == [GONE]
 
 
+def test_completeness_rides_on_the_write(spark, inputs):
+    wanted = ["k", "v", "not_there"]
+    fields = rules.schema_rules(spark, [(*GOOD, f, "STRING", True) for f in wanted])
+    off = replace(SETTINGS, validation_enabled=False)
+    none = rules.transform_rules(spark, [])
+    sinks.ensure_schema(spark, "opt_raw")
+    result = run(spark, off, "202407", [GOOD], fields, none, on_error="passthrough")
+    got, want = result.completeness()[0], completeness(result.table(GOOD, "silver_c"), GOOD, wanted)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_survivors_and_missing_keys_are_settings(inputs):
     latest = replace(SETTINGS, dedup_order={"good": ("at DESC",)}, on_missing_keys="error")
     result = inputs(settings=latest)
