@@ -12,8 +12,9 @@ from pyspark.sql.types import StructType
 SLICE_BYTES = 2 << 20
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each slice holds about ``limit`` bytes of ``column``, or one row."""
+def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each slice holds about ``limit`` bytes of ``column``, or one row, and at
+    most ``rows`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -22,7 +23,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+            stop = max(start + 1, min(start + rows, int(np.searchsorted(ends, before + limit, "right"))))
             yield batch.slice(start, stop - start)
             start = stop
 

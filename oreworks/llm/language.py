@@ -29,7 +29,7 @@ from oreworks.llm.arrow import extended, slices, strings
 DIMENSIONS = 1024
 SEED = 20_240_501
 UNDETERMINED = "und"
-SLICE = 1 << 20
+SLICE, ROWS = 1 << 20, 512  # bounds the matrix of counts
 LETTERS_KEPT = 20_000
 CODES = 0x110000
 
@@ -106,7 +106,7 @@ def learn(docs: DataFrame, text_column: str = "text", label_column: str = "lang"
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
-        for part in slices(batches, "text", SLICE):
+        for part in slices(batches, "text", SLICE, ROWS):
             labels = part.column(1).to_pylist()
             counts, grams = ngram_counts(strings(part))
             names = sorted(set(labels))
@@ -131,7 +131,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_column: str =
     schema = extended(rows.select(id_column).schema, "lang_pred string, score double")
 
     def run(batches):
-        for part in slices(batches, "text", SLICE):
+        for part in slices(batches, "text", SLICE, ROWS):
             names, scores = classify(strings(part), prototypes)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
@@ -143,7 +143,7 @@ def labelled(docs: DataFrame, prototypes: dict[str, np.ndarray], lang_column: st
     schema = extended(docs.schema, f"`{lang_column}` string, `{score_column}` double")
 
     def run(batches):
-        for part in slices(batches, text_column, SLICE):
+        for part in slices(batches, text_column, SLICE, ROWS):
             names, scores = classify(strings(part, text_column), prototypes)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 

@@ -3,7 +3,7 @@
 1. Every document's set of shingles (codes of consecutive words) gives a signature of
    `COORDINATES` minima. Documents with the same set form a class; the rest works on classes.
 2. Each signature is posted under its pairs of coordinate and value. Two sets of likeness 0.8 agree
-   in `LEAST` coordinates or more but for about one pair in ten million (the binomial tail), so they
+   in `LEAST` coordinates or more but for one pair in fifty million (the binomial tail), so they
    share one of any COORDINATES - LEAST + 1 coordinates of either. Posting only those under its
    rarest pairs (counted over all classes) keeps lists short; a class with fewer than LEAST pairs that
    any other has is skipped altogether.

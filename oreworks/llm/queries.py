@@ -101,5 +101,40 @@ QUERIES = {
         op10_fingerprints,
     )
 }
-#: None of these has a form that SQL runs on whole tables.
-SQL: dict[str, str] = {}
+_ESCAPED = "replace(replace(replace(replace({0}, '~', '~0'), '<', '~1'), '[', '~2'), ']', '~3')"
+
+#: The learned models, tokenizers, sketches and iterative joins have no form that SQL runs on whole
+#: tables; tests hold them against brute force.
+SQL = {
+    "op6_chat_formatting": f"""WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text)
+             FILTER (role = 'assistant'), '') AS loss,
+    bool_or(regexp_matches(role || ' ' || text, '</?s>|\\[/?INST\\]|<</?SYS>>')
+            OR contains(role, ']' || chr(10))) AS escaped,
+    sum(2 * length(role) + length(text) + 14) AS plain_size,
+    sum(2 * length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + 14) + 2
+      AS escaped_size
+  FROM said GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars,
+       sha256(loss) AS loss_sha256,
+       CAST(CASE WHEN escaped THEN escaped_size ELSE plain_size END AS BIGINT) AS formatted_chars
+FROM whole""",
+    "op9_top_k_search": """WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND vec_id IS NOT NULL),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+         AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
+}
