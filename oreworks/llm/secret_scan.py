@@ -36,11 +36,11 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # of a run of 24 or more, all
 KINDS = ("assign", "access", "hex", "crf")
 
 CREDENTIAL_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "credentials")
-SAMPLE_ROWS = 4_000
-WINDOWS_PER_ROW = 6
+SAMPLE_ROWS = 2_000
+WINDOWS_PER_ROW = 5
 WINDOW = 24
 LEAST = 8
-ROUNDS = 120
+ROUNDS = 100
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 SPAN = "array<struct<kind:string,start:int,end:int>>"
 
@@ -174,8 +174,7 @@ def windows(docs: DataFrame, text_column: str = "text") -> tuple[np.ndarray, np.
             for i in range(len(texts)):
                 lo, hi = bounds[i], bounds[i + 1]
                 marked = lo + np.flatnonzero(y[lo:hi])
-                spread = np.linspace(lo, max(lo, hi - WINDOW), 2).astype(int)
-                begins = [*(max(lo, m - WINDOW // 2) for m in marked[: WINDOWS_PER_ROW - 2]), *spread]
+                begins = [*(max(lo, m - WINDOW // 2) for m in marked[: WINDOWS_PER_ROW - 1]), max(lo, (lo + hi - WINDOW) // 2)]
                 for b in sorted(set(begins)) if hi > lo else []:
                     e = min(hi, b + WINDOW)
                     bits = np.zeros((WINDOW, N_FEATURES), bool)
@@ -201,7 +200,8 @@ def _sum_exp(x: np.ndarray, axis: int) -> np.ndarray:
 def gradient(weights, moves, x, y, valid):
     """Log-likelihood of the labels and its gradients. Sequences begin and end outside."""
     n, steps, _ = x.shape
-    scores = np.where(valid[:, :, None], x @ weights, np.array([0.0, -1e4, -1e4]))
+    flat = x.reshape(n * steps, -1)
+    scores = np.where(valid[:, :, None], (flat @ weights).reshape(n, steps, 3), np.array([0.0, -1e4, -1e4]))
     moved = np.repeat(moves[None], n, 0)
     ahead = [scores[:, 0] + moves[OUTSIDE]]
     for t in range(1, steps):
@@ -213,7 +213,7 @@ def gradient(weights, moves, x, y, valid):
     total = _sum_exp(ahead[-1] + behind[-1], 1)
     single = np.exp(np.stack(ahead, 1) + np.stack(behind, 1) - total[:, None, None])
     gold = np.eye(3)[y]
-    by_weight = np.einsum("nsf,nsy->fy", x, (gold - single) * valid[:, :, None])
+    by_weight = flat.T @ ((gold - single) * valid[:, :, None]).reshape(n * steps, 3)
     by_move = np.zeros((3, 3))
     like = (gold * scores).sum() - total.sum()
     previous = np.zeros(n, int)
@@ -237,6 +237,7 @@ def fit(x: np.ndarray, y: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np
     if not (y > 0).any():
         return None
     marked = (y > 0).any(1)
+    x = x.astype(float)
     bare = x[marked].copy()
     bare[:, :, CONTEXT:] = 0
     x, y, valid = np.concatenate([x, bare]), np.concatenate([y, y[marked]]), np.concatenate([valid, valid[marked]])
