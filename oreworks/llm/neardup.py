@@ -7,14 +7,18 @@
    share one of any COORDINATES - LEAST + 1 coordinates of either. Posting only those under its
    rarest pairs (counted over all classes) keeps lists short; a class with fewer than LEAST pairs that
    any other has is skipped altogether.
-3. In each list, every class counts its collisions with the list's first class. The first class a
-   class collides with most is checked on the full sets, and classes linked so far are merged.
+3. Each list has a few heads, in the first round the classes with most posts, then others. Every
+   class counts its collisions with heads that it is not merged with; those it collides with most are
+   checked on the full sets, and linked classes are merged. Rounds go on while they find links.
 4. Lists that still hold several components are compared pair by pair, on signatures, skipping pairs
-   that are merged already. Long lists are cut into chunks which meet two by two; only pairs with at
-   least LEAST agreeing coordinates come out, and are checked on the full sets.
+   that are merged or checked already. Long lists are cut into chunks which meet two by two; a pair
+   comes out of the first list that it shares only, and only if it agrees in LEAST coordinates. It is
+   checked on the full sets.
 5. Components of all confirmed links.
 
-So a group of n near copies costs n checks, not n * n, and no link between components is lost.
+So a group of n near copies costs some n checks, not n * n, and no link between components is lost.
+What stays quadratic is the comparison of signatures (no rows) among classes of a list that are not
+linked to each other at all.
 
 Defined cases: texts that are null or have no words have the empty set and no links. With fewer words
 than a shingle, all words together are the only shingle. A component's id is the smallest document id
@@ -27,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreworks.llm import counting
@@ -39,8 +43,9 @@ from oreworks.llm.storage import cut
 COORDINATES = 64
 LEAST = 32
 CHUNK = 256
+ROUNDS, HEADS, TRIES = 4, 8, 2
 CLASS_BLOCK = 8_192
-PAIRS_AT_ONCE = 200_000
+PAIRS_AT_ONCE = 100_000
 BITS = 26  # of the bitmap: 8 MB
 
 _RANDOM = np.random.default_rng(4242)
@@ -131,8 +136,8 @@ def near_duplicates(docs: DataFrame, length: int = 5, numerator: int = 80, denom
 
 
 def _posts(classes: DataFrame) -> DataFrame:
-    """Under each of a class's rarest pairs of coordinate and value that others have, too: key, node
-    and n."""
+    """Under each of a class's rarest pairs of coordinate and value that others have, too: key, node,
+    n, the coordinate, and as bits all coordinates under which the class is posted."""
     total = classes.count()
     blocks = ranges = max(1, -(-total // CLASS_BLOCK))
     dealt = classes.select("node", "n", "signature", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int").alias("block")).repartition(blocks, "block")
@@ -157,27 +162,53 @@ def _posts(classes: DataFrame) -> DataFrame:
         key, shared = np.take_along_axis(key, order, 1), np.take_along_axis(often, order, 1) > 1
         shared &= ((often > 1).sum(1) >= LEAST)[:, None]
         row, _ = np.nonzero(shared)
-        return pa.table([pa.array(key[shared].view(np.int64)), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], names=["key", "node", "n"])
+        posted = np.where(shared, np.uint64(1) << order.astype(np.uint64), np.uint64(0)).sum(1, dtype=np.uint64).view(np.int64)
+        take = pa.array(row)
+        columns = [pa.array(key[shared].view(np.int64)), batch.column(0).take(take), batch.column(1).take(take), pa.array(order[shared].astype(np.int32)), pa.array(posted[row])]
+        return pa.table(columns, names=["key", "node", "n", "coordinate", "posted"])
 
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(choose, "key long, node long, n long")
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(choose, "key long, node long, n long, coordinate int, posted long")
 
 
 def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
     """Confirmed links (a, b) that connect all linked classes."""
     alike = lambda x, y: F.least(x, y) * denominator >= F.greatest(x, y) * numerator
-    confirmed = lambda pairs: cut(_confirmed(cut(pairs), texts, classes, length, numerator, denominator))
+    confirmed = lambda pairs: cut(_confirmed(pairs, texts, classes, length, numerator, denominator))
     posts = cut(posts)
-    lists = posts.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    posts = cut(posts.join(lists, "key").select("key", "node", "n", "head", "size"))
-    star = posts.where((F.col("node") != F.col("head.node")) & alike(F.col("n"), F.col("head.n")))
-    star = star.groupBy(F.col("node").alias("b"), F.col("head.node").alias("a")).agg(F.count("*").alias("collisions"))
-    star = star.groupBy("b").agg(F.max_by("a", F.struct("collisions", -F.col("a"))).alias("a"))
-    links = confirmed(_agreeing(star, classes))
-    labels = components(links)
-    split = posts.select("key", "node", "n", "size").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = split.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    pairs = _compared(split.join(open_, "key").join(classes.select("node", "signature"), "node"), numerator, denominator)
-    return links.union(confirmed(pairs.distinct()))
+    lists = posts.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    degree = posts.groupBy("node").agg(F.count("*").alias("degree"))
+    posts = cut(posts.join(lists, "key").join(degree, "node"))
+    links, tested, labels = None, None, None
+
+    def open_posts() -> DataFrame:
+        """Posts in lists that hold several components."""
+        split = posts.withColumn("label", F.col("node"))
+        if labels is not None:
+            split = posts.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        several = split.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+        return split.join(several, "key")
+
+    fresh = lambda pairs: pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+    for round_ in range(ROUNDS):
+        rows = open_posts()
+        first = [F.col("degree").desc()] if round_ == 0 else []
+        place = F.row_number().over(Window.partitionBy("key").orderBy(*first, F.xxhash64("node", F.lit(round_)), "node"))
+        heads = rows.withColumn("place", place).where(F.col("place") <= HEADS)
+        heads = heads.select("key", F.col("node").alias("head"), F.col("n").alias("head_n"), F.col("label").alias("head_label"))
+        met = rows.join(heads, "key").where((F.col("label") != F.col("head_label")) & alike(F.col("n"), F.col("head_n")))
+        met = met.groupBy("node", "head").agg(F.count("*").alias("collisions"))
+        met = met.select("node", "collisions", F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
+        best = F.row_number().over(Window.partitionBy("node").orderBy(F.col("collisions").desc(), F.xxhash64("a", "b"), "a", "b"))
+        pairs = fresh(met).withColumn("place", best).where(F.col("place") <= (1 if round_ == 0 else TRIES)).select("a", "b").distinct()
+        pairs = cut(_agreeing(pairs, classes))
+        found = confirmed(pairs)
+        links = found if links is None else links.union(found)
+        tested = pairs if tested is None else tested.union(pairs)
+        labels = components(links)
+        if found.count() * 20 < pairs.count() or found.isEmpty():
+            break
+    rest = _compared(open_posts().join(classes.select("node", "signature"), "node"), numerator, denominator)
+    return links.union(confirmed(cut(fresh(rest))))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -273,13 +304,15 @@ def _compared(lists: DataFrame, numerator: int, denominator: int) -> DataFrame:
     chunks = F.ceil(F.col("size") / CHUNK).cast("int")
     chunk = F.pmod(F.xxhash64("node"), chunks).cast("int")
     other = F.explode(F.sequence(F.lit(0), chunks - 1))
-    rows = lists.withColumn("chunk", chunk).select("key", "node", "n", "label", "signature", "chunk", other.alias("other"))
-    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "node", "n", "label", "signature")
+    columns = ["chunk", "node", "n", "label", "coordinate", "posted", "signature"]
+    rows = lists.withColumn("chunk", chunk).select("key", *columns, other.alias("other"))
+    rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), *columns)
     rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def meet(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, i, j, chunk, node, n, label = (batch.column(c).to_numpy() for c in range(7))
-        small = _matrix(batch.column(7), np.uint32, COORDINATES)
+        key, i, j, chunk, node, n, label, coordinate, posted = (batch.column(c).to_numpy() for c in range(9))
+        small = _matrix(batch.column(9), np.uint32, COORDINATES)
+        bits = (posted.view(np.uint64)[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1)).astype(bool)
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         end = np.append(np.flatnonzero(new)[1:], len(key))[np.cumsum(new) - 1]  # of the row's unit
@@ -294,8 +327,10 @@ def _compared(lists: DataFrame, numerator: int, denominator: int) -> DataFrame:
             a, b = a[fit], b[fit]
             for at in range(0, len(a), PAIRS_AT_ONCE):
                 x, y = a[at : at + PAIRS_AT_ONCE], b[at : at + PAIRS_AT_ONCE]
-                match = (small[x] == small[y]).sum(1) >= LEAST
-                found.append(np.unique(np.stack([np.minimum(node[x], node[y])[match], np.maximum(node[x], node[y])[match]]), axis=1))
+                equal = small[x] == small[y]
+                first = (equal & bits[x] & bits[y]).argmax(1) == coordinate[x]  # their first list
+                match = (equal.sum(1) >= LEAST) & first
+                found.append(np.stack([np.minimum(node[x], node[y])[match], np.maximum(node[x], node[y])[match]]))
         out = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
         return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
 
