@@ -47,6 +47,8 @@ ROUNDS, HEADS, TRIES = 4, 8, 2
 CLASS_BLOCK = 8_192
 PAIRS_AT_ONCE = 100_000
 BITS = 26  # of the bitmap: 8 MB
+GROUP_BYTES, LEAST_GROUPS = 8 << 20, 8
+NOTHING = np.zeros(0, np.uint64)
 
 _RANDOM = np.random.default_rng(4242)
 _FACTORS = _RANDOM.integers(1, 2**63, COORDINATES).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -278,22 +280,29 @@ def _sets(texts: DataFrame, classes: DataFrame, length: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: int, numerator: int, denominator: int) -> DataFrame:
-    """The pairs (a, b) whose sets are alike."""
+    """The pairs (a, b) whose sets are alike.
+
+    Nodes fall into groups of about `GROUP_BYTES` of sets. The pairs between two groups are one unit
+    of work, to which every set goes once, however many of its pairs are in it."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = cut(_sets(texts, cut(classes.join(nodes, "node")), length))
-    rows = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b")
-
-    def run(batches):
-        for part in slices(batches, "left"):
-            good = []
-            for left, right in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                x, y = w.unpack(left, True), w.unpack(right, True)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(denominator * both >= numerator * (len(x) + len(y) - both))
-            mask = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"])
-
-    return rows.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    groups = max(LEAST_GROUPS, -(-(sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) // GROUP_BYTES))
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
+    low, high = F.least(group("a"), group("b")), F.greatest(group("a"), group("b"))
+    units = pairs.withColumn("unit", low * groups + high)
+    needed = units.select("unit", F.col("a").alias("node")).union(units.select("unit", F.col("b").alias("node"))).distinct()
+    needed = needed.select(F.col("unit").alias("of"), "node").join(sets, "node")
+
+    def check(left: pa.Table, right: pa.Table) -> pa.Table:
+        own = {k: w.unpack(x, True) for k, x in zip(right.column("node").to_pylist(), right.column("shingles").to_pylist())}
+        good = []
+        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist()):
+            x, y = own.get(a, NOTHING), own.get(b, NOTHING)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            good.append(both > 0 and denominator * both >= numerator * (len(x) + len(y) - both))
+        return left.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return units.groupBy("unit").cogroup(needed.groupBy("of")).applyInArrow(check, "a long, b long")
 
 
 def _compared(lists: DataFrame, numerator: int, denominator: int) -> DataFrame:
