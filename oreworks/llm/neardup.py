@@ -45,9 +45,9 @@ LEAST = 32
 CHUNK = 256
 ROUNDS, HEADS, TRIES = 4, 8, 2
 CLASS_BLOCK = 8_192
-PAIRS_AT_ONCE = 100_000
+PAIRS_AT_ONCE = 40_000
 BITS = 26  # of the bitmap: 8 MB
-GROUP_BYTES, LEAST_GROUPS = 8 << 20, 8
+GROUP_BYTES, LEAST_GROUPS = 4 << 20, 16
 NOTHING = np.zeros(0, np.uint64)
 
 _RANDOM = np.random.default_rng(4242)
@@ -250,12 +250,11 @@ def _bitmap(values: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _sets(texts: DataFrame, classes: DataFrame, length: int) -> DataFrame:
+def _sets(texts: DataFrame, classes: DataFrame, bits, length: int) -> DataFrame:
     """node and shingles of the classes, from one text of each.
 
     Only texts that may be wanted are shuffled: a bitmap of fixed size lets all of them and, the
     more there are, some others pass."""
-    bits = texts.sparkSession.sparkContext.broadcast(_bitmap(classes.select("one.copy")))
 
     def wanted(batches):
         for batch in batches:
@@ -285,7 +284,10 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: i
     Nodes fall into groups of about `GROUP_BYTES` of sets. The pairs between two groups are one unit
     of work, to which every set goes once, however many of its pairs are in it."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = cut(_sets(texts, cut(classes.join(nodes, "node")), length))
+    chosen = cut(classes.join(nodes, "node"))
+    bits = texts.sparkSession.sparkContext.broadcast(_bitmap(chosen.select("one.copy")))
+    sets = cut(_sets(texts, chosen, bits, length))
+    bits.unpersist()
     groups = max(LEAST_GROUPS, -(-(sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) // GROUP_BYTES))
     group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
     low, high = F.least(group("a"), group("b")), F.greatest(group("a"), group("b"))
