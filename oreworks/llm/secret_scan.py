@@ -3,23 +3,30 @@
 Tokens (runs of letters, digits and ``+/_.=-``, or single other signs) are tagged as beginning,
 continuing or outside a secret. Features are the token's shape, its neighbours (credential words,
 assignment signs, quotes) and the file (how dense signs and digits are in it, whether it names
-credentials at all). Decoding is Viterbi's: where a token's outside score leads by more than any
+credentials at all), and the unbroken stretch of text the token is part of, as a secret may hold signs
+that split it into several tokens. Decoding is Viterbi's: where a token's outside score leads by more than any
 transitions can make up for, the best path is outside for certain, which cuts the text into short
-stretches that are decoded side by side; the result is that of one pass over the whole text.
+stretches that are decoded side by side; the result is that of one pass over the whole text. A decoded span takes in the unbroken stretch of
+text it is in, but for the signs that end a clause.
 
 The field is trained by its likelihood, on windows of tokens from a bounded sample of rows
-(`SAMPLE_ROWS` in expectation, twice that at most) with the patterns' matches as labels. Each
-window with a secret is also shown without its context, so that shape alone counts, too.
+(`SAMPLE_ROWS` in expectation, twice that at most) with the patterns' matches as labels: their secrets,
+not the credential word before. All tokens of a secret are labelled, the first as its beginning, the
+others, signs too, as its inside. As the patterns' own secrets are single tokens, rows with a match are
+also shown with made-up secrets of several tokens in its place (`split_up`), and all rows with stretches
+that are none. Each window with a secret is also shown without its context, so that shape alone counts,
+too.
 
 Defined cases: null and empty texts have no spans. Spans are in code points, end exclusive, per row;
-repeated rows repeat them. A decoded span that touches a pattern's match is not added, one shorter
-than `LEAST` neither. Without a match in the sample nothing is learned and nothing added. Other
+repeated rows repeat them. A decoded span that touches a pattern's match is not added, one that is
+shorter than `LEAST` as a whole neither. Without a match in the sample nothing is learned and nothing added. Other
 columns are not carried over by `scan`; `redacted` keeps all columns as they are but the text and its
 length.
 """
 
 from __future__ import annotations
 
+import random
 import re
 
 import numpy as np
@@ -39,6 +46,8 @@ CREDENTIAL_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apik
 SAMPLE_ROWS = 2_000
 WINDOWS_PER_ROW = 5
 WINDOW = 24
+PLAIN_PER_ROW = 6
+VARIANTS = 8  # of a row with made-up secrets
 LEAST = 8
 ROUNDS = 100
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
@@ -114,8 +123,31 @@ class Tokens:
             has = short[length[short] > i]
             code[has] += lowered[self.start[has] + i] * _POWERS[i]
         credential = np.isin(code, _CREDENTIALS) & (length >= 3)
+        # A credential word, = and a value in one token.
+        equal = np.flatnonzero((self.codes == ord("=")) & (self.cls == 6))
+        holder = np.searchsorted(self.start, equal, "right") - 1
+        holder, at = np.unique(holder, return_index=True)
+        ahead = equal[at] - self.start[holder]
+        held, ahead = holder[(ahead >= 3) & (ahead <= 12)], ahead[(ahead >= 3) & (ahead <= 12)]
+        code = np.zeros(len(held), np.uint64)
+        for i in range(12):
+            has = np.flatnonzero(ahead > i)
+            code[has] += lowered[self.start[held[has]] + i] * _POWERS[i]
+        assigned = np.zeros(n, bool)
+        assigned[held[np.isin(code, _CREDENTIALS)]] = True
         equals = (length == 1) & ((ascii_ == ord("=")) | (ascii_ == ord(":")))
         quote = (length == 1) & ((ascii_ == ord('"')) | (ascii_ == ord("'")) | (ascii_ == ord("`")))
+        # The unbroken stretch around the token: no space, quote or bracket in it.
+        apart = quote | ((length == 1) & np.isin(ascii_, [ord(c) for c in "()[]{}<>"]))
+        glued = np.zeros(n, bool)
+        glued[1:] = (self.start[1:] == self.end[:-1]) & (self.text[1:] == self.text[:-1]) & ~apart[1:] & ~apart[:-1]
+        follows = np.concatenate([glued[1:], [False]])
+        stretch = np.cumsum(~glued) - 1
+        whole = lambda x: np.bincount(stretch, weights=x)[stretch]
+        long, parts = whole(length), whole(np.ones(n))
+        mixed = (whole(digit) > 0).astype(int) + (whole(letters) > 0) + (whole(upper) > 0)
+        marks, hard = whole((length == 1) & (self.cls[self.start] == 1)), whole((length == 1) & np.isin(ascii_, [ord(c) for c in "$!%&*#^~?|\\+"]))
+        turned = whole(turn)
         kinds = (digit > 0).astype(int) + (letters > 0) + (upper > 0) + (sign > 0)
         plain = foreign == 0
         texts = len(self.base) - 1
@@ -126,6 +158,7 @@ class Tokens:
         rows += [
             length < 2, ~plain, plain & (digit + hexes == length) & (length >= 16), plain & (digit == length), plain & (letters == length), plain & (upper == length) & (length > 1),
             plain & (digit > 0) & (letters + upper > 0), plain & (kinds >= 3), (turn * 4 > length) & (length >= 8), (turn * 2 > length) & (length >= 8), plain & (digit * 5 > length) & (digit < length) & (length >= 16), sign * 3 > length, equals, quote, credential,
+            assigned, glued, follows, glued & follows, apart, *((parts > 1) & x for x in (long >= 8, long >= 12, long >= 16, long >= 24, mixed >= 2, mixed >= 3, marks >= 2, marks * 3 > parts, hard > 0, turned * 4 > long, (mixed >= 3) & (hard > 0) & (long >= 8), (mixed >= 2) & (turned * 4 > long) & (long >= 12))),
         ]
 
         def near(x, by):
@@ -137,14 +170,21 @@ class Tokens:
                 out[-by:] = x[:by] & (self.text[:by] == self.text[-by:])
             return out
 
+        # From the credential word on, to the end of the stretch after it.
+        opened = credential | assigned
+        place = np.arange(n)
+        opens = np.maximum.accumulate(np.where(opened, place, -10))
+        first = np.maximum.accumulate(np.where(~glued, place, 0))
+        in_value = (place > opens) & (self.text == self.text[np.maximum(opens, 0)]) & (first - opens <= 4) & (opens >= 0)
+        rows += [in_value, in_value & (long >= 8) & (mixed >= 2), in_value & glued, assigned & follows]
         rows += [near(credential, -k) for k in (1, 2, 3, 4)] + [near(equals, -k) for k in (1, 2)] + [near(quote, k) for k in (-1, 1)] + [near(credential, 1)]
         density, digits = per_text(length == 1) / size, per_text(digit) / size
         rows += [(density > 0.04)[self.text], (density > 0.12)[self.text], (digits > 0.05)[self.text], (per_text(credential) > 0)[self.text], (size < 200)[self.text]]
         return np.stack(rows, axis=1).astype(np.float32)
 
 
-CONTEXT = 1 + len(LENGTHS) + 15
-N_FEATURES = CONTEXT + 9 + 5
+CONTEXT = 1 + len(LENGTHS) + 32
+N_FEATURES = CONTEXT + 4 + 9 + 5
 
 
 def tags(tokens: Tokens, spans: list[list[tuple[str, int, int]]]) -> np.ndarray:
@@ -155,10 +195,57 @@ def tags(tokens: Tokens, spans: list[list[tuple[str, int, int]]]) -> np.ndarray:
             lo, hi = np.searchsorted(tokens.end, tokens.base[text] + a, "right"), np.searchsorted(tokens.start, tokens.base[text] + b)
             values = [i for i in range(lo, hi) if tokens.end[i] - tokens.start[i] >= 6]  # not the credential word's signs
             if values:
-                out[values[-1]] = BEGIN  # the value comes last
+                out[values[-1]] = BEGIN  # the value comes last, as one token
     return out
 
 
+def split_up(text: str, variant: int = 0) -> tuple[str, list[tuple[int, int]]]:
+    """The text with made-up secrets of several tokens for those of the patterns, and where they are."""
+    r = random.Random(f"{variant} {text}")
+    letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    out, at, found = [], 0, []
+    for m in re.finditer(f"{ASSIGN.pattern}|{ACCESS.pattern}|{HEX.pattern}", text, re.IGNORECASE | re.ASCII):
+        kind = r.randrange(5)
+        if kind == 0:  # groups
+            sign, size = r.choice(":~|*"), r.choice((4, 6, 8, 12))
+            value = sign.join("".join(r.choice(r.choice((letters[:6], digits, letters.upper()))) for _ in range(size)) for _ in range(r.randrange(2, 6)))
+        elif kind == 1:  # words with signs
+            value = "".join(r.choice(letters) for _ in range(r.randrange(2, 6))) + r.choice("$!@#&%") * r.randrange(1, 3) + "".join(r.choice(letters + digits) for _ in range(r.randrange(4, 9)))
+        else:
+            some = r.choice(("$!", "!@#$%^&*", "~:", "#?!*", "$%&"))
+            value = "".join(r.choice(some if i % 7 in (3, 6) or r.random() < 0.1 else r.choice((letters, letters.upper(), digits))) for i in range(r.randrange(9, 33)))
+            value += r.choice(("", "", r.choice(letters + digits)))
+        bare = r.random() < (0.25 if kind == 1 else 0.4)
+        before = r.choice(("", "", "user:", '"')) if bare else r.choice(CREDENTIAL_WORDS) + r.choice((": ", ":", "=", " = ", '="', "': '"))
+        quote = before[-1:] if before[-1:] in ("'", '"') else ""
+        start = len("".join(out)) + m.start() - at + len(before)
+        begin = start - len(before) if before.endswith("=") and " " not in before else start
+        word = lambda: "".join(r.choice(letters) for _ in range(r.randrange(3, 12)))
+        none = ("", f" {word()}.{word()}@{word()}.com", f" https://www.{word()}.com/{word()}?{word()}={r.randrange(99)}&{word()}=1", f" {word()}/{word()}", f" {word().title()}{word()}{r.choice('%$#&!*') * 3}", f" {word().title()}{word()}, {r.randrange(24)}:{r.randrange(60)}")
+        out += [text[at : m.start()], before, value, quote, r.choice(none), "" if not text[m.end() : m.end() + 1].strip() else " "]
+        found.append((begin, start + len(value)))
+        at = m.end()
+    return "".join([*out, text[at:]]), found
+
+
+def all_tags(tokens: Tokens, spans: list[list[tuple[int, int]]]) -> np.ndarray:
+    """The labels where spans are secrets from end to end."""
+    out = np.zeros(len(tokens.start), np.int8)
+    for text, found in enumerate(spans):
+        for a, b in found:
+            lo, hi = np.searchsorted(tokens.end, tokens.base[text] + a, "right"), np.searchsorted(tokens.start, tokens.base[text] + b)
+            out[lo : lo + 1], out[lo + 1 : hi] = BEGIN, INSIDE
+    return out
+
+
+def stretches(tokens: Tokens) -> np.ndarray:
+    """First tokens of what is unbroken, of several tokens and 8 characters at least (of two: 12)."""
+    glued = np.concatenate([[False], (tokens.start[1:] == tokens.end[:-1]) & (tokens.text[1:] == tokens.text[:-1])])[: len(tokens.start)]
+    first = np.flatnonzero(~glued)
+    last = np.concatenate([first[1:], [len(glued)]])[: len(first)] - 1
+    return first[(last > first) & (tokens.end[last] - tokens.start[first] >= np.where(last - first >= 2, LEAST, 12))]
+
+
 def windows(docs: DataFrame, text_column: str = "text") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features, labels and validity of the training windows, from the bounded sample."""
     rows = docs.select(F.col(text_column).cast("string").alias("text"))
@@ -168,22 +255,31 @@ def windows(docs: DataFrame, text_column: str = "text") -> tuple[np.ndarray, np.
     def run(batches):
         for part in slices(batches):
             texts = strings(part)
+            base = [base_spans(t) for t in texts]
             tokens = Tokens(texts)
-            x, y = tokens.features(), tags(tokens, [base_spans(t) for t in texts])
-            bounds = np.searchsorted(tokens.text, np.arange(len(texts) + 1))
-            for i in range(len(texts)):
-                lo, hi = bounds[i], bounds[i + 1]
-                marked = lo + np.flatnonzero(y[lo:hi])
-                begins = [*(max(lo, m - WINDOW // 2) for m in marked[: WINDOWS_PER_ROW - 1]), max(lo, (lo + hi - WINDOW) // 2)]
-                for b in sorted(set(begins)) if hi > lo else []:
-                    e = min(hi, b + WINDOW)
-                    bits = np.zeros((WINDOW, N_FEATURES), bool)
-                    bits[: e - b] = x[b:e] > 0
-                    labels = np.zeros(WINDOW, np.int8)
-                    labels[: e - b] = y[b:e]
-                    yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary()), pa.array([labels.tobytes()], pa.binary()), pa.array([int(e - b)], pa.int32())], names=["bits", "labels", "size"])
-
-    # At most 2 * SAMPLE_ROWS * WINDOWS_PER_ROW windows of some 100 bytes.
+            yield from shown(tokens, tags(tokens, base), len(texts))
+            made = [split_up(t, i) for t, found in zip(texts, base) if found for i in range(VARIANTS)]
+            if made:
+                tokens = Tokens([t for t, _ in made])
+                yield from shown(tokens, all_tags(tokens, [found for _, found in made]), len(made))
+
+    def shown(tokens, y, n):
+        x, hard = tokens.features(), stretches(tokens)
+        bounds = np.searchsorted(tokens.text, np.arange(n + 1))
+        for i in range(n):
+            lo, hi = bounds[i], bounds[i + 1]
+            marked = lo + np.flatnonzero(y[lo:hi] == BEGIN)
+            plain = [m for m in hard[np.searchsorted(hard, lo) : np.searchsorted(hard, hi)].tolist() if not y[m : m + 2].any()]
+            begins = [max(lo, m - WINDOW // 2) for m in [*marked[: WINDOWS_PER_ROW - 2], *plain[:: max(1, len(plain) // PLAIN_PER_ROW)][:PLAIN_PER_ROW]]] + [max(lo, (lo + hi - WINDOW) // 2)]
+            for b in sorted(set(begins)) if hi > lo else []:
+                e = min(hi, b + WINDOW)
+                bits = np.zeros((WINDOW, N_FEATURES), bool)
+                bits[: e - b] = x[b:e] > 0
+                labels = np.zeros(WINDOW, np.int8)
+                labels[: e - b] = y[b:e]
+                yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary()), pa.array([labels.tobytes()], pa.binary()), pa.array([int(e - b)], pa.int32())], names=["bits", "labels", "size"])
+
+    # At most 2 * (1 + VARIANTS) * SAMPLE_ROWS * (WINDOWS_PER_ROW + PLAIN_PER_ROW) windows of some 100 bytes.
     got = sample.mapInArrow(run, "bits binary, labels binary, size int").orderBy("bits", "labels").collect()
     if not got:
         return np.zeros((0, WINDOW, N_FEATURES), np.float32), np.zeros((0, WINDOW), int), np.zeros((0, WINDOW), bool)
@@ -299,6 +395,23 @@ def added_spans(texts: list[str], base: list[list[tuple[str, int, int]]], model)
     weights, moves = model
     tokens = Tokens(texts)
     found = viterbi(tokens.features() @ weights.astype(np.float32), moves, tokens.text)
+    # A span takes in the unbroken stretch it is in, but for the signs that end a clause.
+    glued = np.concatenate([[False], (tokens.start[1:] == tokens.end[:-1]) & (tokens.text[1:] == tokens.text[:-1])])[: len(found)]
+    codes = tokens.codes[tokens.start]
+    single = tokens.end - tokens.start == 1
+    breaks = single & np.isin(codes, [ord(c) for c in "\"'`()[]{}<>"])
+    closing = single & np.isin(codes, [ord(c) for c in ".,;:!?"])
+    for i in np.flatnonzero(found).tolist():
+        a = b = i
+        while a and glued[a] and not breaks[a - 1] and not found[a - 1]:
+            a -= 1
+        while b + 1 < len(found) and glued[b + 1] and not breaks[b + 1] and not found[b + 1]:
+            b += 1
+        while b > i and closing[b]:
+            b -= 1
+        found[i : b + 1][found[i : b + 1] == OUTSIDE] = INSIDE
+        if a < i:
+            found[a], found[a + 1 : i + 1] = BEGIN, INSIDE
     marked = np.flatnonzero(found)
     fresh = np.ones(len(marked), bool)
     fresh[1:] = (found[marked[1:]] == BEGIN) | (marked[1:] != marked[:-1] + 1) | (tokens.text[marked[1:]] != tokens.text[marked[:-1]])

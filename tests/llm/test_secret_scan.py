@@ -73,3 +73,30 @@ def test_nothing_to_learn_from(spark):
     docs = documents(spark, ["password=hunter22", None])
     assert [(len(r.base), r.base == r.spans) for r in s.scan(docs, None).orderBy("doc_id").collect()] == [(1, True), (0, True)]
     assert [r.text for r in s.redacted(docs, None).orderBy("doc_id").collect()] == ["[SECRET]", None]
+
+
+def test_secrets_of_several_tokens(spark):
+    r = random.Random(9)
+    docs = documents(spark, make(400, r))
+    weights = s.train(docs)
+    secrets = ["aB3$kd9!xQ7zz", "Zk8~Qm2~Lp0~Xc5", "Tq4#wE9%nB2&kU6", "9f3a:77b2:cc01:a8e4"]
+    for secret in secrets:
+        for text in (f"the ending pwd: {secret} of the ending", f'of the password = "{secret}" a-b the', f"ending of auth={secret} the of the"):
+            spans = s.base_spans(text)
+            spans += s.added_spans([text], [spans], weights)[0]
+            covered = {i for _, a, b in spans for i in range(a, b)}
+            at = text.index(secret)
+            assert sum(i in covered for i in range(at, at + len(secret))) == len(secret), (text, spans)
+    plain = "the token is of the ending, and a password: none. a-b (and/or) x. mail to the.end@of.ending at 12:30 then"
+    assert s.added_spans([plain], [s.base_spans(plain)], weights) == [[]]
+
+
+def test_made_up_secrets_are_labelled_whole():
+    for i in range(50):
+        text, found = s.split_up('of "token": "abcdefgh12" and AKIA' + "Z" * 16 + " end", i)
+        tokens = s.Tokens([text])
+        got = s.all_tags(tokens, [found])
+        for a, b in found:
+            own = [int(t) for t, x, y in zip(got, tokens.start, tokens.end) if a <= x and y <= b]
+            assert own == [s.BEGIN] + [s.INSIDE] * (len(own) - 1) and len(own) > 1
+        assert sum(got > 0) == sum(int(((tokens.start >= a) & (tokens.end <= b)).sum()) for a, b in found)
