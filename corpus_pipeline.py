@@ -14,9 +14,6 @@ from oreworks.llm.queries import CAPACITY, END_ID, table
 from oreworks.llm.shipping import ship
 from oreworks.llm.storage import cut
 
-#: Below this cosine a text is like no learned language. Short texts are far from every profile, so
-#: the bound is low.
-LEAST_SCORE = 0.05
 #: Repeated strings of so many bytes (some fifty tokens) go, but for the first copy.
 REPEATED_BYTES = 200
 
@@ -24,8 +21,7 @@ REPEATED_BYTES = 200
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop texts without a letter and those like none of the languages."""
     ship(spark)
-    named = language.labelled(docs, language.learn(docs), "_lang", "_score")
-    return named.where((F.col("_lang") != language.UNDETERMINED) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    return language.recognised(docs, language.learn(docs))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 from rows import HARD, documents
 
@@ -38,3 +40,18 @@ def test_hard_rows_and_empty_table(spark):
     assert language.predict(docs, {}).where("lang_pred <> 'und'").count() == 0
     assert language.learn(documents(spark, [])) == {}
     assert language.labelled(docs, {}, "found", "score").columns == [*docs.columns, "found", "score"]
+
+
+def test_noise_is_not_recognised(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = random.Random(2)
+    latin, greek = "abcdefghijklmnopqrstuvwxyz", [chr(0x3B1 + i) for i in range(24)]
+    noise = []
+    for n in (60, 200, 1000, 5000):
+        for _ in range(25):
+            noise += ["".join(r.choice(a) for _ in range(n)) for a in (latin + "    ", latin + latin.upper() + "0123456789+/", greek + [" "] * 4, [chr(0x4E00 + i) for i in range(3000)])]
+    rows = spark.createDataFrame([(-1 - i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    kept = language.recognised(docs.select("doc_id", "text").union(rows), language.learn(docs))
+    got = [x.doc_id for x in kept.select("doc_id").collect()]
+    assert sum(i < 0 for i in got) == 0
+    assert sum(i >= 0 for i in got) >= 0.98 * docs.count()
