@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, chat, language, lm, neardup, packing, secret_scan, sketch, suffix, topk
+from oreworks.llm import bpe, chat, language, lm, neardup, packing, secret_scan, simhash, sketch, suffix, topk
 from oreworks.llm.shipping import ship
 
 CAPACITY = 4096
@@ -86,6 +86,10 @@ def op10_fingerprints(spark, folder):
     return done.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_simhash(spark, folder):
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -99,6 +103,7 @@ QUERIES = {
         op8_near_duplicates,
         op9_top_k_search,
         op10_fingerprints,
+        op11_simhash,
     )
 }
 _ESCAPED = "replace(replace(replace(replace({0}, '~', '~0'), '<', '~1'), '[', '~2'), ']', '~3')"
