@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import string
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, chat, language, lm, neardup, packing, secret_scan, simhash, sketch, suffix, topk
+from oreworks.llm import bpe, chat, language, lm, merkle, neardup, packing, secret_scan, simhash, sketch, suffix, topk
 from oreworks.llm.shipping import ship
 
 CAPACITY = 4096
@@ -90,6 +92,20 @@ def op11_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op12_merkle_manifest(spark, folder):
+    docs = table(spark, folder, "documents")
+    fields = lambda text: merkle.leaf(*[F.col(c) for c in ("doc_id", "source", "lang", "n_chars")], text)
+    text = F.col("text").cast("string")
+    small = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    presented = F.when(tampered, fields(small)).otherwise(fields(text))
+    leaves = docs.select(merkle.tree_name(F.col("lang")).alias("tree"), "doc_id", fields(text).alias("digest"), presented.alias("presented"))
+    found = merkle.proved(leaves, ["doc_id"])
+    end = merkle.folded(F.col("proof"), F.col("presented"))
+    found = found.select("doc_id", F.col("digest").alias("leaf"), "subroot", "root", F.sha2(merkle.sibling_text(F.col("proof")), 256).alias("proof_sha256"), end.alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,9 +120,11 @@ QUERIES = {
         op9_top_k_search,
         op10_fingerprints,
         op11_simhash,
+        op12_merkle_manifest,
     )
 }
 _ESCAPED = "replace(replace(replace(replace({0}, '~', '~0'), '<', '~1'), '[', '~2'), ']', '~3')"
+_LEAF = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{0}"))
 
 #: The learned models, tokenizers, sketches and iterative joins have no form that SQL runs on whole
 #: tables; tests hold them against brute force.
@@ -130,6 +148,49 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_cha
        sha256(loss) AS loss_sha256,
        CAST(CASE WHEN escaped THEN escaped_size ELSE plain_size END AS BIGINT) AS formatted_chars
 FROM whole""",
+    "op12_merkle_manifest": f"""WITH RECURSIVE
+small AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+  xor(list_reduce(list_transform(range(length(doc_id::VARCHAR)), lambda i: ascii(substr(doc_id::VARCHAR, i + 1, 1))::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+    4294967295::BIGINT), 4294967295) % 3 = 0 AS tampered
+  FROM documents),
+leaves AS (SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({_LEAF.format("text")}) AS leaf,
+  CASE WHEN tampered THEN sha256({_LEAF.format("lowered")}) ELSE sha256({_LEAF.format("text")}) END AS presented
+  FROM small),
+nodes(lvl, tree, pos, digest, n) AS (
+  SELECT 0, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1, leaf,
+         count(*) OVER (PARTITION BY tree) FROM leaves
+  UNION ALL
+  SELECT lvl + 1, tree, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM nodes WHERE n > 1 GROUP BY lvl, tree, pos // 8, n),
+subroots AS (SELECT tree, digest AS subroot, lvl AS height FROM nodes WHERE n = 1),
+tops(lvl, pos, digest, n) AS (
+  SELECT 0, row_number() OVER (ORDER BY tree) - 1, subroot, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 8, sha256(string_agg(digest, '' ORDER BY pos)), (n + 7) // 8
+  FROM tops WHERE n > 1 GROUP BY lvl, pos // 8, n),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id, leaf) - 1 AS pos,
+  dense_rank() OVER (ORDER BY tree) - 1 AS top_pos FROM leaves),
+steps AS (
+  SELECT p.doc_id, lvl AS step, n.pos AS place, n.digest, p.pos // CAST(pow(8, lvl) AS BIGINT) AS own
+  FROM placed p JOIN nodes n ON n.tree = p.tree AND n.n > 1
+   AND n.pos // 8 = p.pos // CAST(pow(8, lvl + 1) AS BIGINT)
+  UNION ALL
+  SELECT p.doc_id, height + lvl, n.pos, n.digest, top_pos // CAST(pow(8, lvl) AS BIGINT)
+  FROM placed p JOIN subroots USING (tree) JOIN tops n ON n.n > 1
+   AND n.pos // 8 = p.top_pos // CAST(pow(8, lvl + 1) AS BIGINT)),
+sides AS (SELECT doc_id, step, coalesce(string_agg(digest, '' ORDER BY place) FILTER (place < own), '') AS l,
+  coalesce(string_agg(digest, '' ORDER BY place) FILTER (place > own), '') AS r FROM steps GROUP BY ALL),
+fold(doc_id, step, digest) AS (
+  SELECT doc_id, 0, presented FROM leaves
+  UNION ALL
+  SELECT f.doc_id, f.step + 1, sha256(l || digest || r) FROM fold f JOIN sides s ON f.doc_id = s.doc_id AND f.step = s.step),
+ends AS (SELECT doc_id, max_by(digest, step) AS folded_root FROM fold GROUP BY doc_id),
+texts AS (SELECT doc_id, string_agg(l || r, '' ORDER BY step) AS siblings FROM sides GROUP BY doc_id),
+root AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT p.doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM placed p JOIN subroots USING (tree) JOIN ends USING (doc_id) LEFT JOIN texts USING (doc_id), root""",
     "op9_top_k_search": """WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS v
   FROM embeddings

@@ -1,0 +1,102 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+from rows import HARD, SCHEMA, documents
+
+from oreworks.llm import merkle, queries
+
+
+def sha(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(doc_id, source, lang, n_chars, text):
+    return sha(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)])
+
+
+def levels(nodes):
+    out = [nodes]
+    while len(out[-1]) > 1:
+        now = out[-1]
+        out.append([sha(*now[i : i + 8]) for i in range(0, len(now), 8)])
+    return out
+
+
+def path(whole, place):
+    """Siblings left and right, level by level."""
+    out = []
+    for level in whole[:-1]:
+        first = place // 8 * 8
+        run = level[first : first + 8]
+        out.append((run[: place - first], run[place - first + 1 :]))
+        place //= 8
+    return out
+
+
+def brute(rows):
+    """rows: doc_id, source, lang, n_chars, text."""
+    trees = {}
+    for r in rows:
+        trees.setdefault(r[2], []).append((r[0] is not None, r[0] or 0, leaf(*r), r))
+    names = sorted(trees, key=lambda x: (x is not None, (x or "").encode()))
+    made = {n: levels([x[2] for x in sorted(trees[n], key=lambda x: x[:3])]) for n in names}
+    top = levels([made[n][-1][0] for n in names])
+    out = []
+    for at, name in enumerate(names):
+        for place, (_, _, own, r) in enumerate(sorted(trees[name], key=lambda x: x[:3])):
+            steps = path(made[name], place) + path(top, at)
+            now = own
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 3 == 0 and r[4] is not None:
+                now = leaf(*r[:4], "".join(c.lower() if "A" <= c <= "Z" else c for c in r[4]))
+            for left, right in steps:
+                now = sha(*left, now, *right)
+            proof = sha(*[x for left, right in steps for x in left + right])
+            out.append((r[0], own, made[name][-1][0], top[-1][0], proof, now, now == top[-1][0]))
+    return sorted(out, key=repr)
+
+
+def got(spark, tmp_path, df):
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    return sorted([tuple(r) for r in queries.op12_merkle_manifest(spark, str(tmp_path)).collect()], key=repr)
+
+
+def made(spark, rows):
+    return spark.createDataFrame([(d, t, lang, s, n, "x", 1, "b", 2) for d, s, lang, n, t in rows], SCHEMA)
+
+
+@pytest.mark.parametrize("sizes", [[1], [8], [1, 9], [64, 65, 7], [2, 513, 600], [1] * 70])
+def test_trees_of_many_shapes(spark, tmp_path, sizes):
+    r = random.Random(sum(sizes))
+    names = [None, "", "é", "z", "EN"] + [f"l{i}" for i in range(100)]
+    ids = r.sample(range(10_000), sum(sizes))
+    rows = []
+    for name, size in zip(names, sizes):
+        rows += [(ids.pop(), r.choice(["s", None, "-"]), name, r.choice([3, None]), r.choice(["Text", "lower", "", None, "ÉA"])) for _ in range(size)]
+    r.shuffle(rows)
+    assert got(spark, tmp_path, made(spark, rows).repartition(7)) == brute(rows)
+
+
+def test_hard_rows_and_repeats(spark, tmp_path):
+    df = documents(spark, HARD)
+    df = df.union(df.limit(5)).union(df)
+    rows = [tuple(r) for r in df.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    assert got(spark, tmp_path, df) == brute(rows)
+
+
+def test_tampering_shows(spark, tmp_path):
+    rows = [(i, "s", "en", 4, "Text" if i % 2 else "text") for i in range(40)]
+    found = {x[0]: x[6] for x in got(spark, tmp_path, made(spark, rows))}
+    assert found == {i: not (i % 2 and zlib.crc32(str(i).encode()) % 3 == 0) for i in range(40)}
+
+
+def test_only_every_third_level_is_stored(spark):
+    rows = spark.range(600).selectExpr("'t' AS tree", "sha2(string(id), 256) AS digest", "id")
+    manifest = merkle.build(rows, ["id"])
+    assert [t.count() for t in manifest.levels] == [600, 2, 1]
+    assert manifest.roots.first().digest == levels([sha(str(i)) for i in range(600)])[-1][0]
+
+
+def test_empty_table(spark, tmp_path):
+    assert got(spark, tmp_path, documents(spark, [])) == []
