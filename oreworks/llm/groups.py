@@ -14,8 +14,9 @@ from oreworks.llm.storage import cut
 TOGETHER = 1 << 15  # rows handed over at once, unless a group has more
 
 
-def bounded(rows: DataFrame, key: Sequence[str], most: int, split: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
-    """The rows, with every group of more than ``most`` rows replaced by its finer groups.
+def bounded(rows: DataFrame, key: Sequence[str], most: int, split: Callable[[DataFrame, int], DataFrame], finite: str = "true") -> DataFrame:
+    """The rows, with every group of more than ``most`` rows replaced by its finer groups, where
+    ``finite``, a condition on the key, says that there are any.
 
     ``split(rows, level)`` gives the rows of large groups anew, under finer keys; it is applied
     until no group is larger. Counting groups combines rows before it shuffles them.
@@ -23,7 +24,7 @@ def bounded(rows: DataFrame, key: Sequence[str], most: int, split: Callable[[Dat
     done: list[DataFrame] = []
     level = 0
     while True:
-        large = cut(rows.groupBy(*key).count().where(F.col("count") > most).select(*key))
+        large = cut(rows.groupBy(*key).count().where(F.col("count") > most).where(finite).select(*key))
         if large.isEmpty():
             done.append(rows)
             break

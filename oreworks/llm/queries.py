@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import bpe, chat, language, lm, merkle, neardup, packing, secret_scan, simhash, sketch, suffix, topk
+from oreworks.llm import bpe, chat, language, lm, merkle, neardup, packing, secret_scan, simhash, sketch, spelling, suffix, topk
 from oreworks.llm.shipping import ship
+from oreworks.llm.storage import cut
 
 CAPACITY = 4096
 END_ID = 1
@@ -106,6 +107,11 @@ def op12_merkle_manifest(spark, folder):
     return found.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_spelling_variants(spark, folder):
+    words = cut(spelling.vocabulary(table(spark, folder, "documents")))
+    return spelling.variants(words)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +127,7 @@ QUERIES = {
         op10_fingerprints,
         op11_simhash,
         op12_merkle_manifest,
+        op13_spelling_variants,
     )
 }
 _ESCAPED = "replace(replace(replace(replace({0}, '~', '~0'), '<', '~1'), '[', '~2'), ']', '~3')"
