@@ -198,6 +198,32 @@ root AS (SELECT digest AS root FROM tops WHERE n = 1)
 SELECT p.doc_id, leaf, subroot, root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root,
        folded_root = root AS verified
 FROM placed p JOIN subroots USING (tree) JOIN ends USING (doc_id) LEFT JOIN texts USING (doc_id), root""",
+    "op13_spelling_variants": r"""WITH RECURSIVE
+spelled AS (SELECT coalesce(doc_id::VARCHAR, '') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents),
+runs AS (SELECT id, run, count(*) AS times, hex(encode(id || ':' || run)) AS code FROM spelled WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT run, times, xor(list_reduce(
+    list_transform(range(length(code) // 2), lambda i: ('0x' || substr(code, 2 * i + 1, 2))::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+    4294967295::BIGINT), 4294967295) AS h FROM runs),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(times) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(times) >= 3),
+less AS (SELECT word, n, unnest(range(length(word))) AS i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM words),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form,
+    CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+follow(word, now, step) AS (
+  SELECT word, word, 0 FROM words
+  UNION ALL
+  SELECT w.word, f.form, step + 1 FROM follow w JOIN forms f ON f.word = w.now WHERE f.form IS NOT NULL)
+SELECT word, form, (SELECT max_by(now, step) FROM follow f WHERE f.word = forms.word) AS root, n, n_near, form_n FROM forms""",
     "op9_top_k_search": """WITH whole AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(x::DOUBLE * 256) AS BIGINT)) AS v
   FROM embeddings
