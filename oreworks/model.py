@@ -36,6 +36,7 @@ NULL_TOLERANCE_PERCENT = 5
 SCORE_COLUMN = "quality_score"
 PROCESSED_COLUMN = "processed_timestamp"
 STAGE_COLUMN = "pipeline_stage"
+MONTH_COLUMN = "year_month"
 
 # --------------------------------------------------------------------------
 # Table schemas
@@ -176,6 +177,12 @@ class Settings:
     dedup_order: Mapping[str, Sequence[str]] = field(default_factory=dict)
     on_missing_keys: str = "available"
     allowed_domains: Sequence[str] = ALLOWED_DOMAINS
+    # Silver tables by year that hold their months side by side, each replaced by itself.
+    monthly: bool = False
+    # Versions of a stage table (or of its months) that stay, with the published one.
+    keep_versions: int = 2
+    # How long stored metrics and errors stay; None: for ever.
+    retention_days: int | None = None
 
     @classmethod
     def from_mapping(cls, raw: Mapping) -> Settings:
@@ -184,7 +191,8 @@ class Settings:
         Missing sections and keys, an empty source list and unknown domains raise
         ``ValueError`` naming every problem at once. Which domains are known is data, too
         (``allowed_domains``). A section ``deduplication`` may hold keys, default_keys,
-        order and on_missing_keys.
+        order and on_missing_keys; ``tables`` may hold monthly and keep_versions, and
+        ``monitoring`` retention_days.
         """
         required = {
             "pipeline": ("bronze_schema", "silver_schema"),
@@ -215,10 +223,14 @@ class Settings:
             raise ValueError("invalid settings: " + "; ".join(problems))
 
         quality = raw.get("data_quality", {})
+        tables, monitoring = raw["tables"], raw.get("monitoring", {})
         dedup = raw.get("deduplication", {})
         keys = dedup.get("keys", DEDUP_KEYS)
         return cls(
             allowed_domains=allowed,
+            monthly=tables.get("monthly", False),
+            keep_versions=tables.get("keep_versions", 2),
+            retention_days=monitoring.get("retention_days"),
             bronze_suffix=raw["pipeline"].get("bronze_suffix", "_bronze"),
             min_quality_score=quality.get("min_quality_score"),
             dedup_keys={domain: tuple(names) for domain, names in keys.items()},
@@ -227,8 +239,8 @@ class Settings:
             on_missing_keys=dedup.get("on_missing_keys", "available"),
             bronze_schema=raw["pipeline"]["bronze_schema"],
             silver_schema=raw["pipeline"]["silver_schema"],
-            schema_rules_table=raw["tables"]["schema_rules"],
-            transform_rules_table=raw["tables"]["transform_rules"],
+            schema_rules_table=tables["schema_rules"],
+            transform_rules_table=tables["transform_rules"],
             sources=tuple(specs),
             validation_enabled=quality.get("validation_enabled", True),
             null_tolerance_percent=quality.get(

@@ -15,6 +15,7 @@ from oreworks.model import PROCESSED_COLUMN, SCORE_COLUMN, STAGE_COLUMN
 from oreworks.operators.dedup import key_profile
 
 ACTIONS = ("warn", "drop", "fail")
+KEPT, DROPPED = "kept", "dropped"
 
 # Fixed values.
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -125,8 +126,10 @@ def valid_data_types(df: DataFrame, rules: Sequence[Mapping]) -> dict[str, Colum
 # --------------------------------------------------------------------------
 
 
-def violation_counts(checks: Mapping[str, Column]) -> list[Column]:
-    return [F.count_if(~holds(p)).alias(name) for name, p in checks.items()]
+def violation_counts(checks: Mapping[str, Column], among: Column | None = None) -> list[Column]:
+    """Per check the rows that break it, of all rows or of some."""
+    own = [~holds(p) if among is None else among & ~holds(p) for p in checks.values()]
+    return [F.count_if(bad).alias(name) for name, bad in zip(checks, own)]
 
 
 def expect(
@@ -160,6 +163,15 @@ def expect(
     return df.filter(conjunction(guards))
 
 
+def with_verdict(
+    df: DataFrame, checks: Mapping[str, Column], verdict: str, broken: str
+) -> DataFrame:
+    """Every row, with the names of the checks it breaks and ``kept`` or ``dropped``."""
+    names = [F.when(~holds(p), F.lit(name)) for name, p in checks.items()]
+    found = df.withColumn(broken, F.array_compact(F.array(*names)))
+    return found.withColumn(verdict, F.when(F.size(column(broken)) == 0, KEPT).otherwise(DROPPED))
+
+
 def expectation_counts(
     df: DataFrame, checks: Mapping[str, Column], min_records: int | None = None
 ) -> DataFrame:

@@ -17,10 +17,10 @@ LATEST_ERRORS = 5
 SCORE_MEASURES = ("avg_quality", "min_quality", "max_quality")
 
 
-def score_measures() -> list[Column]:
-    """Average, lowest and highest score. The sum is widened: a plain decimal(3,2) average
-    overflows past 10^11 rows."""
-    score = F.col(SCORE_COLUMN)
+def score_measures(kept: Column | None = None) -> list[Column]:
+    """Average, lowest and highest score, of the rows that are ``kept``. The sum is widened: a
+    plain decimal(3,2) average overflows past 10^11 rows."""
+    score = F.col(SCORE_COLUMN) if kept is None else F.when(kept, F.col(SCORE_COLUMN))
     average = F.sum(score.cast("decimal(18,2)")).cast("double") / F.count(score)
     values = (average, F.min(score).cast("double"), F.max(score).cast("double"))
     return [value.alias(name) for value, name in zip(values, SCORE_MEASURES)]

@@ -18,6 +18,7 @@ from oreworks.functions.expressions import column
 from oreworks.functions.local import local_frame
 from oreworks.model import (
     ERROR_LOG,
+    MONTH_COLUMN,
     NULL_TOLERANCE_PERCENT,
     PROCESSED_COLUMN,
     QUALITY_METRICS,
@@ -28,25 +29,27 @@ from oreworks.model import (
     Settings,
 )
 from oreworks.operators.checks import completeness_of_counts
-from oreworks.operators.dedup import key_profile, present_keys
+from oreworks.operators.dedup import free_name, key_profile, present_keys
 from oreworks.operators.expectations import (
+    KEPT,
     Expectation,
     TableExpectation,
     by_action,
     expect,
     violation_counts,
+    with_verdict,
 )
 from oreworks.operators.selection import required_fields, rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
 from oreworks.operators.transform import transform_with_outcomes
 from oreworks.plans.silver import silver_a, silver_b, silver_c
-from oreworks.sources import tables
+from oreworks.sources import tables, versions
+from oreworks.sources.history import expire, store_rows
 from oreworks.sources.rules import collect_rules, in_groups
 from oreworks.sources.sinks import (
     ROWS_OUT,
     ensure_schema,
     stage_properties,
-    store_rows,
     write_measured,
 )
 
@@ -82,6 +85,8 @@ class RunResult:
     violations: dict[tuple[Combination, str], dict[str, int]] = field(default_factory=dict)
     failed: list[Combination] = field(default_factory=list)
     nulls: dict[Combination, tuple[list[str], int, dict[str, int]]] = field(default_factory=dict)
+    attempted: list[Combination] = field(default_factory=list)
+    month: str | None = None  # of tables that are kept by month
 
     def completeness(self, tolerance_percent: float = NULL_TOLERANCE_PERCENT) -> list[DataFrame]:
         """The completeness findings of every final table, from counts that its write has
@@ -123,13 +128,38 @@ class RunResult:
             rows += [(*c, stage, key.label, *metric, count, now) for metric in found]
         return local_frame(self.spark, rows, QUALITY_METRICS)
 
-    def store(self, metrics_table: str, errors_table: str, run: str) -> None:
-        """Keep metrics and errors; storing the same run again replaces its rows."""
-        store_rows(self.metrics, metrics_table, run)
-        store_rows(self.errors, errors_table, run)
+    def store(
+        self,
+        metrics_table: str,
+        errors_table: str,
+        run: str,
+        keep_days: int | None = None,
+        now: datetime | None = None,
+    ) -> None:
+        """Keep metrics and errors by run. Storing a run again replaces the rows of its
+        combinations, and clears those that have none now. With ``keep_days``, runs whose newest
+        row is older are dropped."""
+        for rows, table, time in (
+            (self.metrics, metrics_table, "created_timestamp"),
+            (self.errors, errors_table, "timestamp"),
+        ):
+            store_rows(rows, table, run, self.attempted)
+            if keep_days is not None:
+                expire(self.spark, table, time, keep_days, now)
 
     def table(self, combination: Combination, stage: str) -> DataFrame:
-        return self.spark.table(self.written[combination, stage])
+        """The published rows, of the run's month where months are kept."""
+        whole = self.spark.table(self.written[combination, stage])
+        if self.month is None:
+            return whole
+        return whole.where(F.col(MONTH_COLUMN) == self.month).drop(MONTH_COLUMN)
+
+    def dropped(self, combination: Combination, stage: str) -> DataFrame:
+        """The rows that expectations dropped, with the names of the checks they break."""
+        whole = self.spark.table(versions.dropped_table(self.written[combination, stage]))
+        if self.month is None:
+            return whole
+        return whole.where(F.col(MONTH_COLUMN) == self.month).drop(MONTH_COLUMN)
 
 
 def error_row(
@@ -182,44 +212,51 @@ class _CombinationRun:
         self.options = options
         self.stage: str | None = None
         self.found = True
+        self.month = options["month"] if settings.monthly else None
         self.result = RunResult(spark)
 
     def _sink(self, df: DataFrame, needed: Sequence[str]) -> DataFrame:
-        """Write the stage if asked to and continue from the written table, so that no
-        later stage, retry or lost executor goes back to Bronze."""
-        if self.stage not in self.options["materialize"]:
-            return df
-        c, stage = self.combination, self.stage
-        name = tables.silver_table(self.settings, c, stage)
-        comment = f"{c.source}/{c.lob}/{c.domain}: {STAGE_COMMENTS[stage]}"
+        """Apply the stage's expectations, and if asked to, write it and continue from the
+        written version, so that no later stage, retry or lost executor goes back to Bronze."""
+        c, stage, month = self.combination, self.stage, self.month
         expected = self.options["expectations"].get(stage)
         checks = by_action(expected(df) if expected else {})
-        dropped = Observation()
         if checks["fail"]:
             df = expect(df, checks["fail"], "fail")
-        if checks["drop"]:
+        if stage not in self.options["materialize"]:
+            return expect(df, checks["drop"], "drop") if checks["drop"] else df
+        dropped, split, kept = Observation(), None, None
+        aside = checks["drop"] if self.options["quarantine"] else {}
+        if aside:
+            split = (free_name(df, "row_verdict"), free_name(df, "broken_checks"))
+            df, kept = with_verdict(df, aside, *split), column(split[0]) == KEPT
+        elif checks["drop"]:
             df = expect(df, checks["drop"], "drop", dropped)
+        name = tables.silver_table(self.settings, c, stage, month and month[:4])
+        comment = f"{c.source}/{c.lob}/{c.domain}: {STAGE_COMMENTS[stage]}"
         properties = stage_properties(self.settings, c, stage)
-        measures = violation_counts(checks["warn"])
+        measures = violation_counts(checks["warn"], kept) + violation_counts(aside)
         wanted = required_fields(self.schema_rules) if stage == STAGES[-1] else []
         present = [f for f in dict.fromkeys(wanted) if f in df.columns]
-        measures += [
-            F.count_if(column(f).isNull()).alias(f"_nulls_{i}") for i, f in enumerate(present)
-        ]
-        measured = write_measured(df, name, comment, properties, measures)
+        gap = lambda f: column(f).isNull() if kept is None else kept & column(f).isNull()
+        measures += [F.count_if(gap(f)).alias(f"_nulls_{i}") for i, f in enumerate(present)]
+        keep = self.settings.keep_versions
+        measured = write_measured(df, name, comment, properties, measures, month, keep, split)
         rows = measured[ROWS_OUT]
         if stage == STAGES[-1]:
             gaps = {f: measured[f"_nulls_{i}"] for i, f in enumerate(present)}
             self.result.nulls[c] = (wanted, rows, gaps)
-        broken = {n: measured[n] for n in checks["warn"]} | dict.fromkeys(checks["fail"], 0)
-        if checks["drop"]:
+        broken = {n: measured[n] for n in (*checks["warn"], *aside)} | dict.fromkeys(checks["fail"], 0)
+        if checks["drop"] and not aside:
             broken |= {n: dropped.get[n] for n in checks["drop"]}
         self.result.written[c, stage] = name
         self.result.log_rows.append((*c, stage, name, rows, measured["seconds"]))
         scores = {n: measured[n] for n in SCORE_MEASURES if n in measured}
         if scores:
             self.result.score_rows[c] = scores
-        written = self.spark.table(name)
+        written = self.spark.table(measured["version"])
+        if split:
+            written = written.where(column(split[0]) == KEPT).drop(*split)
         whole = self.options["table_expectations"].get(stage, TableExpectation())
         if whole.min_records is not None:
             broken["valid_record_count"] = int(rows < whole.min_records)
@@ -237,11 +274,18 @@ class _CombinationRun:
             name = tables.bronze_table(self.settings, self.combination, self.options["month"])
         else:
             before = STAGES[STAGES.index(stage) - 1]
-            name = tables.silver_table(self.settings, self.combination, before)
+            year = self.month and self.month[:4]
+            name = tables.silver_table(self.settings, self.combination, before, year)
         self.found = tables.table_exists(self.spark, name)
+        if stage != STAGES[0] and self.month and self.found:
+            self.found = self.month in versions.published(self.spark, name)
+            if self.found:
+                whole = self.spark.table(name)
+                return whole.where(F.col(MONTH_COLUMN) == self.month).drop(MONTH_COLUMN)
         if not self.found:
             log.warning("no input table %s", name)
-        return tables.read_table(self.spark, name)
+            return tables.placeholder(self.spark)
+        return self.spark.table(name)
 
     def _silver_a(self, bronze: DataFrame) -> DataFrame:
         validate, on_error = self.settings.validation_enabled, self.options["on_error"]
@@ -308,6 +352,19 @@ def _consecutive(stages: Sequence[str]) -> tuple[str, ...]:
     return found
 
 
+def _check_stages(stages, materialize, expectations, table_expectations) -> None:
+    """Raise if something is asked of a stage that the run does not have or does not write."""
+    unknown = {*materialize, *expectations, *table_expectations} - set(STAGES)
+    if unknown:
+        raise ValueError(f"unknown stages {sorted(unknown)}; there are {STAGES}")
+    absent = set(expectations) - set(stages)
+    if absent:
+        raise ValueError(f"expectations on stages that do not run: {sorted(absent)}")
+    unwritten = set(table_expectations) - (set(stages) & set(materialize))
+    if unwritten:
+        raise ValueError(f"table expectations on stages that are not written: {sorted(unwritten)}")
+
+
 def run(
     spark: SparkSession,
     settings: Settings,
@@ -328,6 +385,7 @@ def run(
     on_missing_input: str = "placeholder",
     store: tuple[str, str] | None = None,
     group: int = 256,
+    quarantine: bool = False,
 ) -> RunResult:
     """Refine every combination and write its stage tables.
 
@@ -340,15 +398,19 @@ def run(
     some stages only, from the table of the stage before. ``expectations`` maps a stage to
     a function from its DataFrame to named predicates or `Expectation`s; violations are
     counted by the write, and the rows kept, dropped, or the combination failed, as the
-    action says. ``table_expectations`` are checked on the written table of a stage.
-    A missing input becomes a placeholder table unless ``on_missing_input`` says ``skip``
+    action says; in a stage that is not written, rows are dropped and failed alike, but nothing
+    is counted. With ``quarantine`` the same write keeps dropped rows beside the table, with the
+    names of the checks they break (`RunResult.dropped`). ``table_expectations`` are checked on
+    the written table of a stage. A missing input becomes a placeholder table unless ``on_missing_input`` says ``skip``
     (good tables stay as they are) or ``fail``. ``store`` names two tables that keep the
     run's metrics and errors, by month.
     """
     if on_missing_input not in ("placeholder", "skip", "fail"):
         raise ValueError(f"unknown on_missing_input {on_missing_input!r}")
+    _check_stages(stages, materialize, expectations or {}, table_expectations or {})
     combos = list(combinations if combinations is not None else settings.combinations())
-    result = RunResult(spark)
+    month = tables.year_month(spark, month)
+    result = RunResult(spark, attempted=combos, month=month if settings.monthly else None)
     if not combos:
         return result
     if schema_rules is None:
@@ -357,7 +419,7 @@ def run(
         transform_rules = spark.table(settings.transform_rules_table)
     ensure_schema(spark, settings.silver_schema)
     options = {
-        "month": tables.year_month(spark, month),
+        "month": month,
         "stages": _consecutive(stages),
         "materialize": tuple(materialize),
         "finalize": finalize,
@@ -366,6 +428,7 @@ def run(
         "expectations": expectations or {},
         "table_expectations": table_expectations or {},
         "on_missing_input": on_missing_input,
+        "quarantine": quarantine,
     }
     parts: list[RunResult] = []
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -389,7 +452,7 @@ def run(
         result.violations.update(part.violations)
         result.failed += part.failed
     if store:
-        result.store(*store, run=options["month"])
+        result.store(*store, run=month, keep_days=settings.retention_days)
     if result.failed and raise_failures:
         raise RunFailed(result)
     return result

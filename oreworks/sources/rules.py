@@ -119,18 +119,18 @@ def collect_rules(
 ) -> dict[Combination, list[Row]]:
     """All rules of the given combinations in one job, grouped on the driver.
 
-    The filter reaches the scan of the rule table; exact triples are matched here. Rules
-    are ordered as by the lookups. Callers with many combinations go through them in
-    groups (`in_groups`), so that the driver holds the rules of one group at a time.
+    The filter reaches the scan of the rule table, and a semi-join with the triples leaves
+    only theirs. Rules are ordered as by the lookups. Callers with many combinations go through
+    them in groups (`in_groups`), so that the driver holds the rules of one group at a time.
     """
-    wanted = set(combinations)
+    wanted = sorted(set(combinations))
     order = ["priority", "field_name"] if "priority" in rules.columns else ["field_name"]
+    near = conjunction([F.col(c).isin(sorted({w[i] for w in wanted})) for i, c in enumerate(_KEYS)])
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in _KEYS])
+    triples = local_frame(rules.sparkSession, wanted, schema)
     rows = (
-        rules.filter(
-            conjunction(
-                [F.col(c).isin(sorted({w[i] for w in wanted})) for i, c in enumerate(_KEYS)]
-            )
-        )
+        rules.filter(near)
+        .join(triples, [*_KEYS], "left_semi")
         .drop("created_date", "updated_date")
         .collect()
     )

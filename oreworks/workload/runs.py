@@ -12,7 +12,7 @@ from oreworks.operators.expectations import Expectation, TableExpectation
 from oreworks.operators.summary import run_summary
 from oreworks.plans.pipeline import RunResult, run
 from oreworks.plans.quality import quality_run
-from oreworks.sources import rules
+from oreworks.sources import rules, versions
 from oreworks.sources.sinks import ensure_schema, require_shared_warehouse
 from oreworks.workload.registry import query
 
@@ -58,17 +58,20 @@ TRANSFORM_RULES = [
 ]
 
 
-def refine(t, combinations, schema: str, rule_tables: bool = False, **options) -> RunResult:
-    """Run the combinations over views of the test tables, into tables of ``schema``, by rules
-    given inline or kept in rule tables."""
+def refine(
+    t, combinations, schema: str, rule_tables: bool = False, month="202407", frames=None, changes=None, **options
+) -> RunResult:
+    """Run the combinations over views of the test tables (or of ``frames``, by combination), into
+    tables of ``schema``, by rules given inline or kept in rule tables; ``changes`` are settings."""
     spark = t.spark
     require_shared_warehouse(spark)
     # Applications that share a metastore, and runs in one application, have names of their own.
     app = re.sub(r"\W", "_", spark.sparkContext.applicationId)
-    settings = replace(SETTINGS, silver_schema=f"{schema}_{app}", bronze_suffix=f"_{schema}")
+    settings = replace(SETTINGS, silver_schema=f"{schema}_{app}", bronze_suffix=f"_{schema}", **(changes or {}))
     for combination, name in INPUTS.items():
-        view = f"{combination.label}_202407{settings.bronze_suffix}"
-        getattr(t, name).createOrReplaceGlobalTempView(view)
+        view = f"{combination.label}_{month}{settings.bronze_suffix}"
+        frame = (frames or {}).get(combination)
+        (getattr(t, name) if frame is None else frame).createOrReplaceGlobalTempView(view)
     ensure_schema(spark, settings.silver_schema)
     inline = [rules.schema_rules(spark, SCHEMA_RULES), rules.transform_rules(spark, TRANSFORM_RULES)]
     if rule_tables:
@@ -82,7 +85,7 @@ def refine(t, combinations, schema: str, rule_tables: bool = False, **options) -
             frame.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
         inline = [None, None]
     now = F.to_timestamp_ntz(F.lit("2024-08-01 00:00:00"))
-    return run(spark, settings, "202407", combinations, *inline, now=now, **options)
+    return run(spark, settings, month, combinations, *inline, now=now, **options)
 
 
 _STAGE_COUNTS = """counts AS (
@@ -210,3 +213,142 @@ def full_run_expectations(t):
     names = [*expected["silver_b"](None), "valid_record_count", "no_duplicates_on_business_keys"]
     found = result.metrics.where(F.col("metric_name").isin(*names))
     return found.select("stage", "metric_name", "metric_value", "status", "record_count")
+
+
+def _fresh(t, schema: str, *names: str) -> list[str]:
+    """The names in the schema of a full run, with what an earlier call has left removed."""
+    app = re.sub(r"\W", "_", t.spark.sparkContext.applicationId)
+    found = [f"{schema}_{app}.{name}" for name in names]
+    for name in found:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return found
+
+
+_MONTH_ROWS = """months(run, part) AS (VALUES ('202407', 0), ('202408', 1)),
+sales AS (SELECT run, o_custkey, o_orderstatus, o_totalprice FROM orders, months
+          WHERE o_orderkey % 2 = part AND (run <> '202408' OR o_totalprice < 200000)),
+clicks AS (SELECT run, user_id, event_type FROM events, months WHERE event_id % 2 = part)"""
+
+
+def _months(t):
+    """Two months of orders and events; in the second one, the orders come twice: first all, then
+    those below a price."""
+    half = lambda df, key, part: df.where(F.col(key) % 2 == part)
+    july = {SALES: half(t.orders, "o_orderkey", 0), CLICKS: half(t.events, "event_id", 0)}
+    august = {SALES: half(t.orders, "o_orderkey", 1), CLICKS: half(t.events, "event_id", 1)}
+    again = {SALES: august[SALES].where("o_totalprice < 200000")}
+    return july, august, again
+
+
+@query(
+    f"""WITH {_MONTH_ROWS},
+counts AS (
+  SELECT run, 'tpch' AS source, 'retail' AS lob, 'sales' AS domain, count(*) AS a,
+         count(*) FILTER (WHERE o_orderstatus <> 'P') AS b,
+         count(DISTINCT (o_custkey, o_orderstatus)) FILTER (WHERE o_orderstatus <> 'P') AS c,
+         count(*) FILTER (WHERE o_orderstatus = 'O') AS open FROM sales GROUP BY run
+  UNION ALL
+  SELECT run, 'web', 'site', 'clicks', count(*), count(*),
+         count(DISTINCT (user_id, CASE WHEN event_type = 'error' THEN '' ELSE event_type END)), NULL
+  FROM clicks GROUP BY run)
+SELECT 'metric' AS kind, run, source, lob, domain, stage, metric_name, metric_value, status, record_count
+FROM (
+  SELECT run, source, lob, domain, 'silver_b' AS stage, 'transformation_success' AS metric_name,
+         1.0::DOUBLE AS metric_value, 'PASS' AS status, b AS record_count FROM counts
+  UNION ALL SELECT run, source, lob, domain, 'silver_c', 'silver_c_completeness', 1.0, 'PASS', c FROM counts
+  UNION ALL SELECT run, source, lob, domain, 'silver_c', 'rows_removed', (b - c)::DOUBLE, 'PASS', c FROM counts
+  UNION ALL SELECT run, source, lob, domain, 'silver_b', 'not_open', open::DOUBLE, 'WARN', b
+            FROM counts WHERE domain = 'sales')
+UNION ALL
+SELECT 'error', '202407', 'tpch', 'retail', 'lines', 'silver_a', 'ValueError', NULL, NULL, NULL"""
+)
+def full_run_history(t):
+    """What the stored history holds after two months, of which the second is run again for one
+    combination, and a combination that fails in both and is mended in the second."""
+    where = tuple(_fresh(t, "oreworks_history", "metrics", "errors"))
+    july, august, again = _months(t)
+    checks = {"silver_b": lambda df: {"not_open": F.col("o_orderstatus") != "O"} if "o_orderstatus" in df.columns else {}}
+    broken = {LINES: t.lineitem.select(F.col("l_orderkey").alias("no_rule_names_this"))}
+    options = {"store": where, "expectations": checks, "raise_failures": False}
+    names = [SALES, CLICKS, LINES]
+    refine(t, names, "oreworks_history", month="202407", frames={**july, **broken}, **options)
+    refine(t, names, "oreworks_history", month="202408", frames={**august, **broken}, **options)
+    refine(t, [SALES, LINES], "oreworks_history", month="202408", frames=again, **options)
+    metrics, errors = (t.spark.table(name) for name in where)
+    told = ("transformation_success", "silver_c_completeness", "rows_removed", "not_open")
+    kept = metrics.where(F.col("metric_name").isin(*told) & (F.col("domain") != "lines"))
+    key = ["run", "source", "lob", "domain", "stage"]
+    nothing = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    return kept.select(
+        F.lit("metric").alias("kind"), *key, "metric_name", "metric_value", "status", "record_count"
+    ).unionByName(
+        errors.select(
+            F.lit("error").alias("kind"), *key, F.col("error_type").alias("metric_name"),
+            nothing("double", "metric_value"), nothing("string", "status"), nothing("bigint", "record_count"),
+        )
+    )
+
+
+@query(
+    f"""WITH {_MONTH_ROWS}
+SELECT run AS year_month, o_custkey, o_orderstatus, min(o_totalprice) AS o_totalprice
+FROM sales WHERE o_orderstatus <> 'P' GROUP BY ALL"""
+)
+def full_run_months(t):
+    """A yearly table of two months, of which one is run twice: the rows of both."""
+    july, august, again = _months(t)
+    options = {"changes": {"monthly": True, "dedup_order": {"sales": ("o_totalprice",)}}}
+    for month, frames in (("202407", july), ("202408", august), ("202408", again)):
+        result = refine(t, [SALES], "oreworks_months", month=month, frames=frames, **options)
+    whole = t.spark.table(result.written[SALES, "silver_c"])
+    return whole.select("year_month", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(
+    """SELECT o_custkey, o_orderstatus, min(o_totalprice) AS o_totalprice
+FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus <> 'P' GROUP BY ALL"""
+)
+def full_run_rollback(t):
+    """After a second run has replaced the table, rolling back gives the rows of the first."""
+    july, august, _ = _months(t)
+    options = {"changes": {"dedup_order": {"sales": ("o_totalprice",)}}}
+    refine(t, [SALES], "oreworks_rollback", frames=july, **options)
+    result = refine(t, [SALES], "oreworks_rollback", frames=august, **options)
+    versions.rollback(t.spark, result.written[SALES, "silver_c"])
+    return result.table(SALES, "silver_c").select("o_custkey", "o_orderstatus", "o_totalprice")
+
+
+@query(
+    """WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'),
+judged AS (SELECT *, concat_ws(',', CASE WHEN NOT o_totalprice < 200000 THEN 'price_in_range' END,
+                               CASE WHEN o_custkey % 3 = 0 THEN 'known_customer' END) AS broken_checks FROM b)
+SELECT CASE broken_checks WHEN '' THEN 'kept' ELSE 'dropped' END AS side, * FROM judged"""
+)
+def full_run_quarantine(t):
+    """What stage B keeps, and what its expectations drop, with the names of the broken checks."""
+    expected = {
+        "silver_b": lambda df: {
+            "price_in_range": Expectation(F.col("o_totalprice") < 200000, "drop"),
+            "known_customer": Expectation(F.col("o_custkey") % 3 != 0, "drop"),
+        }
+    }
+    result = refine(t, [SALES], "oreworks_quarantine", expectations=expected, quarantine=True)
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
+    kept = result.table(SALES, "silver_b").select(F.lit("kept").alias("side"), *columns, F.lit("").alias("broken_checks"))
+    why = F.array_join("broken_checks", ",").alias("broken_checks")
+    return kept.unionByName(result.dropped(SALES, "silver_b").select(F.lit("dropped").alias("side"), *columns, why))
+
+
+@query(
+    """SELECT o_custkey, o_orderstatus, count(*) AS row_count FROM orders
+WHERE o_orderstatus <> 'P' AND o_totalprice < 200000 GROUP BY ALL"""
+)
+def full_run_final_only(t):
+    """Expectations of stage B hold, too, if only stage C is written."""
+    expected = {"silver_b": lambda df: {"price_in_range": Expectation(F.col("o_totalprice") < 200000, "drop")}}
+    changes = {"dedup_keys": {"sales": ("o_orderkey",)}}
+    result = refine(
+        t, [SALES], "oreworks_final_only", changes=changes, materialize=("silver_c",), expectations=expected
+    )
+    final = result.table(SALES, "silver_c")
+    return final.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
