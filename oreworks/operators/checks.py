@@ -239,6 +239,82 @@ def duplicates(df: DataFrame, combination: Combination, keys: Sequence[str]) ->
     )
 
 
+# --------------------------------------------------------------------------
+# Completeness and duplicates together
+# --------------------------------------------------------------------------
+
+
+def table_totals(df: DataFrame, fields: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """One row: total_records, unique_records, duplicate_groups, and the NULLs of the fields
+    (_n0 ...), from one scan and one shuffle by key.
+
+    Rows and NULLs are counted per key first, map-side too, and added up after: the counters of
+    the completeness check ride on the shuffle that the duplicate check needs anyway. Fields
+    that are part of the key are counted from the keys themselves.
+    """
+    if not keys:
+        gaps = [F.expr(f"count_if({quoted(f)} IS NULL) AS _n{i}") for i, f in enumerate(fields)]
+        return df.agg(
+            F.expr("count(1) AS total_records"),
+            F.expr("count(1) AS unique_records"),
+            F.expr("0L AS duplicate_groups"),
+            *gaps,
+        )
+    place = {k: f"k{i}" for i, k in enumerate(keys)}
+    own = [f for f in fields if f not in place]
+    counted = df.groupBy(*[F.col(quoted(k)).alias(name) for k, name in place.items()]).agg(
+        F.expr("count(1) AS n"),
+        *[F.expr(f"count_if({quoted(f)} IS NULL) AS g{i}") for i, f in enumerate(own)],
+    )
+    gap = {f: f"g{i}" for i, f in enumerate(own)}
+    gap |= {f: f"if({place[f]} IS NULL, n, 0L)" for f in fields if f in place}
+    return counted.agg(
+        F.expr("coalesce(sum(n), 0L) AS total_records"),
+        F.expr("count(1) AS unique_records"),
+        F.expr("count_if(n > 1) AS duplicate_groups"),
+        *[F.expr(f"coalesce(sum({gap[f]}), 0L) AS _n{i}") for i, f in enumerate(fields)],
+    )
+
+
+def table_findings(
+    df: DataFrame,
+    combination: Combination,
+    required: Sequence[str],
+    keys: Sequence[str],
+    tolerance_percent: float = NULL_TOLERANCE_PERCENT,
+) -> DataFrame:
+    """The field rows of `completeness` and the row of `duplicates`, as stage, metric_name,
+    metric_value, threshold, status and total_records."""
+    have = set(df.columns)
+    fields = [f for f in dict.fromkeys(required) if f in have]
+    present = [k for k in dict.fromkeys(keys) if k in have]
+    least = f"{float(100 - tolerance_percent)}D"
+    rows = []
+    for i, f in enumerate(fields):
+        percent = f"(try_divide(total_records - _n{i}, total_records) * 100D)"
+        rows.append(
+            f"struct('completeness_validation' AS stage, {sql_string('completeness_' + f)} AS "
+            f"metric_name, {percent} AS metric_value, {least} AS threshold, "
+            f"if({percent} >= {least}, 'PASS', 'FAIL') AS status, total_records > 0 AS given)"
+        )
+    repeated = "if(total_records > 0, (total_records - unique_records) / total_records * 100D, 0D)"
+    fine = "total_records = unique_records" if present or not keys else "total_records = 0"
+    if not present:
+        repeated = "0D"
+    rows.append(
+        f"struct('duplicate_detection' AS stage, 'duplicate_percentage' AS metric_name, "
+        f"{repeated} AS metric_value, 0D AS threshold, if({fine}, 'PASS', 'WARN') AS status, "
+        "true AS given)"
+    )
+    return (
+        table_totals(df, fields, present)
+        .select("total_records", F.expr(f"inline(array({', '.join(rows)}))"))
+        .filter("given")
+        .drop("given")
+        .select(*combination_literals(combination), "*")
+    )
+
+
 # --------------------------------------------------------------------------
 # Stage checks
 # --------------------------------------------------------------------------

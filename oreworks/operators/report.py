@@ -65,6 +65,12 @@ def duplicate_metrics(findings: DataFrame, now: Column | None = None) -> DataFra
     return _metrics(findings, now, "'duplicate_detection'", f"'{value}'", value, "0", "total_records")
 
 
+def table_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
+    """The rows of `checks.table_findings`."""
+    columns = ("stage", "metric_name", "metric_value", "threshold", "total_records")
+    return _metrics(findings, now, *columns)
+
+
 def type_metrics(findings: DataFrame, now: Column | None = None) -> DataFrame:
     return _metrics(findings, now, "'type_validation'", "'type_' || field_name", _FLAG, "1", "NULL")
 
@@ -82,10 +88,12 @@ def quality_report(
     types: DataFrame | None = None,
     tolerance_percent: float = NULL_TOLERANCE_PERCENT,
     now: Column | None = None,
+    tables: list[DataFrame] = (),
 ) -> DataFrame:
     """All given findings as one metrics DataFrame, empty if there are none. Type findings
-    are opt-in."""
+    are opt-in; ``tables`` are findings on completeness and duplicates together."""
     parts = [completeness_metrics(c, tolerance_percent, now) for c in completeness]
+    parts += [table_metrics(t, now) for t in tables]
     parts += [duplicate_metrics(d, now) for d in duplicates]
     if schema is not None:
         parts.insert(0, schema_metrics(schema, now))

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 
 from oreworks.model import COMBINATION_COLUMNS, Combination, Settings
-from oreworks.operators.checks import completeness, duplicates, schema_findings, type_checks
+from oreworks.operators.checks import schema_findings, table_findings, type_checks
 from oreworks.operators.report import quality_report
 from oreworks.operators.selection import required_fields
 from oreworks.sources.rules import collect_rules, in_groups
@@ -28,7 +28,7 @@ def quality_run(
     """Metric rows for every table, as one lazy DataFrame.
 
     Duplicates are looked for on each domain's business key unless ``keys`` says
-    otherwise.
+    otherwise. Every table is read once: completeness and duplicates are one aggregate.
     """
     settings = settings or Settings()
     columns = table_columns(frames)
@@ -43,11 +43,10 @@ def quality_run(
     tolerance = settings.null_tolerance_percent
     return quality_report(
         schema=schema_findings(in_run, columns),
-        completeness=[
-            completeness(df, c, required[c], tolerance) for c, df in frames.items()
-        ],
-        duplicates=[
-            duplicates(df, c, (keys or {}).get(c, settings.keys_for(c.domain)))
+        tables=[
+            table_findings(
+                df, c, required[c], (keys or {}).get(c, settings.keys_for(c.domain)), tolerance
+            )
             for c, df in frames.items()
         ],
         types=type_checks(in_run, columns) if include_types else None,

@@ -273,3 +273,21 @@ def test_error_summaries_of_an_empty_log(spark):
 
     assert [tuple(r) for r in summary.error_summary(empty_error_log(spark)).collect()] == [(None, 0)]
     assert summary.latest_errors(empty_error_log(spark)).count() == 0
+
+
+@pytest.mark.parametrize("required", [[], ["k"], ["k", "v", "not there", "a.b"], ["v", "v"]])
+@pytest.mark.parametrize("keys", [[], ["k"], ["k", "a.b"], ["gone"], ["v", "gone", "v"]])
+@pytest.mark.parametrize("rows", [0, 6])
+def test_one_scan_finds_what_two_checks_find(spark, as_rows, required, keys, rows):
+    from oreworks.model import Combination
+    from oreworks.operators import checks, report
+
+    data = [(1, None, "x"), (1, None, "x"), (None, 2, None), (None, 2, "y"), (3, 4, "z"), (3, 5, None)]
+    df = spark.createDataFrame(data[:rows], "k int, v int, `a.b` string")
+    c = Combination("s", "l", "d")
+    both = report.quality_report(
+        completeness=[checks.completeness(df, c, required)], duplicates=[checks.duplicates(df, c, keys)]
+    )
+    one = report.quality_report(tables=[checks.table_findings(df, c, required, keys)])
+    assert one.schema == both.schema or one.columns == both.columns
+    assert as_rows(one.drop("created_timestamp")) == as_rows(both.drop("created_timestamp"))

@@ -63,3 +63,11 @@ def test_all_completeness_counts_are_one_scan(spark):
 def test_latest_errors_is_a_top_k(spark):
     text = plan(registered()["latest_errors"](spark, FOLDER))
     assert "TakeOrderedAndProject" in text and nodes(text, "Exchange") == 0
+
+
+def test_the_quality_report_reads_every_table_once(spark):
+    text = plan(registered()["quality_report"](spark, FOLDER))
+    assert nodes(text, "FileScan") == 2  # orders and line items
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*orderkey", text)) == 2
+    read = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert sorted(len(r.split(",")) for r in read) == [3, 4]
