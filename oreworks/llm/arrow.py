@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +13,36 @@ from pyspark.sql.types import StructType
 
 SLICE_BYTES = 2 << 20
 
+_owner: list = ["", None]
+
+
+def claim(owner: str, free: Callable[[], None]) -> None:
+    """Say, in a worker, whose caches are in use from now on. Those of another operator, which a
+    worker that is used again still holds, are freed, and the room goes back to the system."""
+    if _owner[0] != owner:
+        if _owner[1] is not None:
+            _owner[1]()
+        _owner[:] = [owner, free]
+        settle()
+
+
+def settle() -> None:
+    """Give memory that is no longer used back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def _libc_trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # not glibc
+        return None
+
+
+_trim = _libc_trim()
+
 
 def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each slice holds about ``limit`` bytes of ``column``, or one row, and at
@@ -26,6 +58,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             stop = max(start + 1, min(start + rows, int(np.searchsorted(ends, before + limit, "right"))))
             yield batch.slice(start, stop - start)
             start = stop
+    settle()
 
 
 def strings(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -18,19 +18,22 @@ rows count as often as they occur. Columns other than the id, text and label are
 from __future__ import annotations
 
 import functools
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.arrow import extended, slices, strings
+from oreworks.llm.arrow import claim, extended, slices, strings
 
 DIMENSIONS = 1024
 SEED = 20_240_501
 UNDETERMINED = "und"
 SLICE, ROWS = 1 << 20, 512  # bounds the matrix of counts
-LETTERS_KEPT = 20_000
+GRAMS_AT_ONCE = 2_048
+LETTERS_KEPT = 8_192  # 1 KB each
+DIRECT = 1 << 21  # numbers looked up in a table instead of by sorting
 CODES = 0x110000
 #: The cosine a text has at least, if it is in a learned language. Measured on sf0.1: random letters,
 #: base64 and unlearned scripts of 40 n-grams or more stay under 0.165. Texts of under `FEW` n-grams do
@@ -55,11 +58,24 @@ def letter_vector(code: int) -> np.ndarray:
     return _vectors[code]
 
 
-def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the n-grams in each text, and the code points of each n-gram."""
+@dataclass
+class Ngrams:
+    """The n-grams in some texts, one after the other: the text of each, and its number among the
+    different ones, whose code points are ``grams``."""
+
+    texts: int
+    text: np.ndarray
+    number: np.ndarray
+    grams: np.ndarray
+
+    def sizes(self) -> np.ndarray:
+        return np.bincount(self.text, minlength=self.texts)
+
+
+def ngrams(texts: list[str]) -> Ngrams:
     parts = [np.frombuffer(t.lower().encode("utf-32-le"), np.uint32) for t in texts]
     codes = np.concatenate([np.zeros(1, np.uint32), *(x for p in parts for x in (p, np.zeros(1, np.uint32)))])
-    owner = np.repeat(np.arange(len(parts)), [len(p) + 1 for p in parts])
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p) + 1 for p in parts])
     owner = np.concatenate([owner[:1], owner])  # each text has a gap on both sides
     codes[~_letters()[codes]] = 0
     kept = (codes != 0) | (np.concatenate([[1], codes[:-1]]) != 0)
@@ -67,40 +83,50 @@ def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     kept[ends - 1] = True
     codes, owner = codes[kept], owner[kept]
     if len(codes) < 3:
-        return np.zeros((len(texts), 0), np.float32), np.zeros((0, 3), np.int64)
+        return Ngrams(len(texts), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros((0, 3), np.int64))
     seen = np.zeros(CODES, bool)
     seen[codes] = True
     alphabet = np.flatnonzero(seen)
-    small = np.zeros(CODES, np.int64)
+    small = np.zeros(CODES, np.int32)
     small[alphabet] = np.arange(len(alphabet))
-    x, n = small[codes], len(alphabet)
+    x, n = small[codes].astype(np.int64), len(alphabet)
     # The gap after a text is also the one before the next.
     text = owner[1:-1]
     same = (owner[2:] == text) & ((owner[:-2] == text) | (codes[:-2] == 0)) & (codes[1:-1] != 0)
     keys, text = ((x[:-2] * n + x[1:-1]) * n + x[2:])[same], text[same]
-    if n**3 <= 1 << 23:
+    if n**3 <= DIRECT:
         found = np.zeros(n**3, bool)
         found[keys] = True
         grams = np.flatnonzero(found)
-        number = np.zeros(n**3, np.int64)
+        number = np.zeros(n**3, np.int32)
         number[grams] = np.arange(len(grams))
         index = number[keys]
     else:
         grams, index = np.unique(keys, return_inverse=True)
-    counts = np.bincount(text * len(grams) + index, minlength=len(texts) * len(grams)).reshape(len(texts), len(grams))
-    return counts.astype(np.float32), np.stack([alphabet[grams // (n * n)], alphabet[grams // n % n], alphabet[grams % n]], axis=1)
+    return Ngrams(len(texts), text, index.astype(np.int32), np.stack([alphabet[grams // (n * n)], alphabet[grams // n % n], alphabet[grams % n]], axis=1))
 
 
-def bundle(counts: np.ndarray, grams: np.ndarray, step: int = 8192) -> np.ndarray:
-    """The sums of the bound n-gram vectors, one row per row of counts."""
-    out = np.zeros((len(counts), DIMENSIONS), np.float64)
-    letters = np.unique(grams)
+def bundle(found: Ngrams, rows: np.ndarray | None = None, count: int | None = None) -> np.ndarray:
+    """The sums of the bound n-gram vectors, per text, or per row of ``count`` that the texts are
+    given to. Counts are made for a block of n-grams at a time."""
+    count = found.texts if count is None else count
+    row = found.text if rows is None else rows[found.text]
+    out = np.zeros((count, DIMENSIONS), np.float64)
+    letters = np.unique(found.grams)
     table = np.stack([letter_vector(int(c)) for c in letters]) if len(letters) else np.zeros((0, DIMENSIONS), np.int8)
     once, twice = np.roll(table, 1, axis=1), np.roll(table, 2, axis=1)
-    place = np.searchsorted(letters, grams)
-    for at in range(0, len(grams), step):
-        a, b, c = place[at : at + step].T
-        out += counts[:, at : at + step] @ (twice[a] * once[b] * table[c]).astype(np.float32)
+    place = np.searchsorted(letters, found.grams)
+    for at in range(0, len(place), GRAMS_AT_ONCE):
+        a, b, c = place[at : at + GRAMS_AT_ONCE].T
+        inside = np.flatnonzero((found.number >= at) & (found.number < at + GRAMS_AT_ONCE))
+        flat = row[inside].astype(np.int64) * len(a) + (found.number[inside] - at)
+        counts = np.bincount(flat, minlength=count * len(a)).reshape(count, len(a))
+        vectors = (twice[a] * once[b] * table[c]).astype(np.float32)
+        # Sums beyond 2**24 would not be exact in the product's single precision.
+        high = counts >> 12
+        out += (counts & 4095).astype(np.float32) @ vectors
+        if high.any():
+            out += 4096 * (high.astype(np.float32) @ vectors).astype(np.float64)
     return out
 
 
@@ -109,15 +135,13 @@ def learn(docs: DataFrame, text_column: str = "text", label_column: str = "lang"
     rows = docs.select(F.col(text_column).cast("string").alias("text"), F.col(label_column).cast("string").alias("lang"))
 
     def run(batches):
+        claim("language", _vectors.clear)
         sums: dict[str, np.ndarray] = {}
         for part in slices(batches, "text", SLICE, ROWS):
             labels = part.column(1).to_pylist()
-            counts, grams = ngram_counts(strings(part))
             names = sorted(set(labels))
             of = np.array([names.index(x) for x in labels])
-            totals = np.stack([counts[of == i].sum(0, dtype=np.float64) for i in range(len(names))])
-            # Sums beyond 2**24 would not be exact in the product's single precision.
-            for name, vector in zip(names, bundle(np.floor(totals / 4096).astype(np.float32), grams) * 4096 + bundle((totals % 4096).astype(np.float32), grams)):
+            for name, vector in zip(names, bundle(ngrams(strings(part)), of, len(names))):
                 sums[name] = sums.get(name, 0) + vector
         if sums:
             yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.astype(np.int64) for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "sums"])
@@ -136,7 +160,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], id_column: str =
 
     def run(batches):
         for part in slices(batches, "text", SLICE, ROWS):
-            names, scores = classify(strings(part), prototypes)
+            names, scores, _ = classify(strings(part), prototypes)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -148,7 +172,7 @@ def labelled(docs: DataFrame, prototypes: dict[str, np.ndarray], lang_column: st
 
     def run(batches):
         for part in slices(batches, text_column, SLICE, ROWS):
-            names, scores = classify(strings(part, text_column), prototypes)
+            names, scores, _ = classify(strings(part, text_column), prototypes)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -159,28 +183,28 @@ def recognised(docs: DataFrame, prototypes: dict[str, np.ndarray], text_column:
 
     def run(batches):
         for part in slices(batches, text_column, SLICE, ROWS):
-            texts = strings(part, text_column)
-            names, scores = classify(texts, prototypes)
-            sizes = ngram_counts(texts)[0].sum(1)
+            names, scores, sizes = classify(strings(part, text_column), prototypes)
             least = np.where(sizes >= FEW, LEAST_SCORE, LEAST_SCORE_OF_FEW)
             yield part.filter(pa.array((np.array(names) != UNDETERMINED) & (np.array(scores) >= least)))
 
     return docs.mapInArrow(run, docs.schema)
 
 
-def classify(texts: list[str], prototypes: dict[str, np.ndarray]) -> tuple[list[str], list[float]]:
-    counts, grams = ngram_counts(texts)
-    vectors = bundle(counts, grams)
-    some = counts.sum(1) > 0
+def classify(texts: list[str], prototypes: dict[str, np.ndarray]) -> tuple[list[str], list[float], np.ndarray]:
+    """Per text the language, the score, and how many n-grams it has."""
+    claim("language", _vectors.clear)
+    found = ngrams(texts)
+    sizes = found.sizes()
     if not prototypes:
-        return [UNDETERMINED] * len(texts), [0.0] * len(texts)
+        return [UNDETERMINED] * len(texts), [0.0] * len(texts), sizes
+    vectors = bundle(found)
     names = list(prototypes)
     profiles = np.stack([p / max(np.linalg.norm(p), 1e-12) for p in prototypes.values()])
     lengths = np.linalg.norm(vectors, axis=1)
     cosines = (vectors @ profiles.T) / np.maximum(lengths, 1e-12)[:, None]
     best = cosines.argmax(1)
     top = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
-    return [names[b] if s else UNDETERMINED for b, s in zip(best, some)], np.where(some, top, 0.0).tolist()
+    return [names[b] if s else UNDETERMINED for b, s in zip(best, sizes)], np.where(sizes > 0, top, 0.0).tolist(), sizes
 
 
 def remainder(id_column: str, divisor: int) -> Column:

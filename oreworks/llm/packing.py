@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from oreworks.llm.arrow import extended, slices, strings
+from oreworks.llm.arrow import claim, extended, slices, strings
 from oreworks.llm.bpe import byte_characters
 from oreworks.llm.storage import cut
 
@@ -101,6 +101,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, id_colu
     last = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
+        claim("packing", word_tokenizer.cache_clear)
         coder = word_tokenizer(path)
         for part in slices(batches):
             rows, piece, start, length, crc = [], [], [], [], []

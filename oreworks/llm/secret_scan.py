@@ -44,6 +44,7 @@ KINDS = ("assign", "access", "hex", "crf")
 
 CREDENTIAL_WORDS = ("password", "passwd", "pwd", "secret", "token", "key", "apikey", "api_key", "auth", "bearer", "credential", "credentials")
 SAMPLE_ROWS = 2_000
+SLICE = 1 << 19  # bytes of text whose features are held at once
 WINDOWS_PER_ROW = 5
 WINDOW = 24
 PLAIN_PER_ROW = 6
@@ -250,7 +251,8 @@ def windows(docs: DataFrame, text_column: str = "text") -> tuple[np.ndarray, np.
     """Features, labels and validity of the training windows, from the bounded sample."""
     rows = docs.select(F.col(text_column).cast("string").alias("text"))
     every = max(1, docs.count() // SAMPLE_ROWS)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).limit(2 * SAMPLE_ROWS)
+    # Texts, not rows: one that fills much of the table counts once; and always the same ones.
+    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).distinct().orderBy(F.xxhash64("text", F.lit(1)), "text").limit(2 * SAMPLE_ROWS)
 
     def run(batches):
         for part in slices(batches):
@@ -431,7 +433,7 @@ def scan(docs: DataFrame, model, id_column: str = "doc_id", text_column: str = "
     order = {k: i for i, k in enumerate(KINDS)}
 
     def run(batches):
-        for part in slices(batches):
+        for part in slices(batches, "text", SLICE):
             texts = strings(part)
             base = [base_spans(t) for t in texts]
             every = [sorted(a + b, key=lambda s: (s[1], order[s[0]])) for a, b in zip(base, added_spans(texts, base, model))]
@@ -451,7 +453,7 @@ def redacted(docs: DataFrame, model, mask: str = "[SECRET]", text_column: str =
     schema = docs.schema
 
     def run(batches):
-        for part in slices(batches, text_column):
+        for part in slices(batches, text_column, SLICE):
             texts = part.column(text_column).to_pylist()
             plain = [t or "" for t in texts]
             base = [base_spans(t) for t in plain]

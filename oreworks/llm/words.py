@@ -19,7 +19,7 @@ BYTE_CODES = np.random.default_rng(77).integers(1, 2**63, 256).astype(np.uint64)
 _BYTE = BYTE_CODES[_LOWER]
 BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(BASE, -1, 1 << 64)
-CHUNK = 1 << 21
+CHUNK = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from rows import HARD, documents
@@ -8,8 +9,10 @@ from oreworks.llm import language, queries
 
 def test_counts_are_those_of_letters_and_gaps():
     texts = ["Ab, ab!", "", "é", "x--y z", "123"]
-    counts, grams = language.ngram_counts(texts)
-    got = [{"".join(chr(c) if c else " " for c in g): int(n) for g, n in zip(grams, row) if n} for row in counts]
+    found = language.ngrams(texts)
+    spelled = ["".join(chr(c) if c else " " for c in g) for g in found.grams]
+    got = [dict(Counter(spelled[n] for n in found.number[found.text == i])) for i in range(len(texts))]
+    assert found.sizes().tolist() == [sum(x.values()) for x in got]
     want = []
     for text in texts:
         plain = " " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " "
@@ -19,10 +22,22 @@ def test_counts_are_those_of_letters_and_gaps():
 
 
 def test_bundle_binds_permuted_letters():
-    counts, grams = language.ngram_counts(["ab"])
+    found = language.ngrams(["ab"])
     v = language.letter_vector
     want = np.roll(v(0), 2) * np.roll(v(97), 1) * v(98) + np.roll(v(97), 2) * np.roll(v(98), 1) * v(0)
-    assert np.array_equal(language.bundle(counts, grams)[0], want)
+    assert np.array_equal(language.bundle(found)[0], want)
+
+
+def test_bundles_do_not_depend_on_blocks(monkeypatch):
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefé ") for _ in range(r.randrange(300))) for _ in range(20)] + ["ab " * 5_000]
+    found = language.ngrams(texts)
+    whole, rows = language.bundle(found), np.arange(len(texts)) % 3
+    monkeypatch.setattr(language, "GRAMS_AT_ONCE", 7)
+    assert np.array_equal(language.bundle(found), whole)
+    assert np.array_equal(language.bundle(found, rows, 3), np.stack([whole[rows == i].sum(0) for i in range(3)]))
+    monkeypatch.setattr(language, "DIRECT", 0)
+    assert np.array_equal(language.bundle(language.ngrams(texts)), whole)
 
 
 def test_held_out_accuracy(spark):
