@@ -126,6 +126,20 @@ RUN_LOG = _table(
     seconds="double",
 )
 
+LINEAGE = _table(
+    source="string",
+    lob="string",
+    domain="string",
+    stage="string",
+    step="int",
+    output_column="string",
+    expression="string",
+    status="string",
+    reason="string",
+    input_columns="array<string>",
+    source_columns="array<string>",
+)
+
 TABLE_COLUMNS = _table(
     source="string", lob="string", domain="string", field_name="string", actual_type="string"
 )

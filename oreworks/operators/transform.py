@@ -20,6 +20,7 @@ class RuleOutcome(NamedTuple):
     transform: str
     status: str  # applied, unknown_field or rejected
     reason: str | None = None
+    inputs: tuple[str, ...] | None = None  # columns the resolved expression reads, if asked for
 
 
 def field_major(rules: Sequence[Mapping]) -> list[Mapping]:
@@ -84,12 +85,26 @@ def _resolved(df: DataFrame, rewrites: Mapping[str, str]) -> DataFrame:
     return out
 
 
-def _apply_one(df: DataFrame, rule: Mapping) -> tuple[DataFrame, RuleOutcome]:
+def _inputs(out: DataFrame, names: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """Which columns the rewritten ones are made from, by the analyzed projection."""
+    found = {}
+    items = out._jdf.queryExecution().analyzed().projectList()
+    for i in range(items.size()):
+        item = items.apply(i)
+        if item.name() in names:
+            read = item.references().toSeq()
+            found[item.name()] = tuple(sorted({read.apply(k).name() for k in range(read.size())}))
+    return found
+
+
+def _apply_one(df: DataFrame, rule: Mapping, trace: bool) -> tuple[DataFrame, RuleOutcome]:
     name, text = rule["field_name"], rule["transform"]
     failure: Exception | None = None
     for spelling in _spellings(rule):
         try:
-            return _resolved(df, {name: spelling}), RuleOutcome(name, text, "applied")
+            out = _resolved(df, {name: spelling})
+            inputs = _inputs(out, [name])[name] if trace else None
+            return out, RuleOutcome(name, text, "applied", inputs=inputs)
         except (PySparkException, NotScalar) as error:
             failure = failure or error
     condition = failure.getCondition() if isinstance(failure, PySparkException) else None
@@ -99,9 +114,9 @@ def _apply_one(df: DataFrame, rule: Mapping) -> tuple[DataFrame, RuleOutcome]:
 
 
 def transform_with_outcomes(
-    df: DataFrame, rules: Sequence[Mapping]
+    df: DataFrame, rules: Sequence[Mapping], trace: bool = False
 ) -> tuple[DataFrame, list[RuleOutcome]]:
-    """Apply the rules and say what became of each.
+    """Apply the rules and say what became of each, with ``trace`` also what each has read.
 
     Independent rules share one projection; a batch that does not resolve is retried
     rule by rule, so a bad expression costs only itself. Errors in the data (such as a
@@ -122,11 +137,16 @@ def transform_with_outcomes(
 
     for batch in _batches(usable):
         try:
-            df = _resolved(df, {r["field_name"]: _spellings(r)[0] for r in batch})
-            outcomes += [RuleOutcome(r["field_name"], r["transform"], "applied") for r in batch]
+            out = _resolved(df, {r["field_name"]: _spellings(r)[0] for r in batch})
+            read = _inputs(out, [r["field_name"] for r in batch]) if trace else {}
+            df = out
+            outcomes += [
+                RuleOutcome(r["field_name"], r["transform"], "applied", inputs=read.get(r["field_name"]))
+                for r in batch
+            ]
         except (PySparkException, NotScalar):
             for rule in batch:
-                df, outcome = _apply_one(df, rule)
+                df, outcome = _apply_one(df, rule, trace)
                 outcomes.append(outcome)
     return df, outcomes
 
@@ -134,3 +154,19 @@ def transform_with_outcomes(
 def transform_by_rules(df: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
     """Rewrite existing columns by their rules; never adds a column, never drops a row."""
     return transform_with_outcomes(df, rules)[0]
+
+
+def lineage_rows(outcomes: Sequence[RuleOutcome], stage: str = "silver_b") -> list[tuple]:
+    """Traced outcomes as rows: stage, step, output column, expression, status, reason, the
+    columns read, and the input columns of the stage that those come from. A chain of rules is
+    followed: what a rule reads may have been rewritten by the rules before it."""
+    source: dict[str, set[str]] = {}
+    rows = []
+    for step, o in enumerate(outcomes, 1):
+        read, origin = o.inputs or (), set()
+        for name in read:
+            origin |= source.get(name, {name})
+        if o.status == "applied":
+            source[o.field_name] = origin
+        rows.append((stage, step, o.field_name, o.transform, o.status, o.reason, list(read), sorted(origin)))
+    return rows

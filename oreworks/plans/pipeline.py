@@ -18,6 +18,7 @@ from oreworks.functions.expressions import column
 from oreworks.functions.local import local_frame
 from oreworks.model import (
     ERROR_LOG,
+    LINEAGE,
     MONTH_COLUMN,
     NULL_TOLERANCE_PERCENT,
     PROCESSED_COLUMN,
@@ -41,11 +42,11 @@ from oreworks.operators.expectations import (
 )
 from oreworks.operators.selection import required_fields, rule_fields
 from oreworks.operators.summary import SCORE_MEASURES
-from oreworks.operators.transform import transform_with_outcomes
+from oreworks.operators.transform import lineage_rows, transform_with_outcomes
 from oreworks.plans.silver import silver_a, silver_b, silver_c
 from oreworks.sources import tables, versions
 from oreworks.sources.history import expire, store_rows
-from oreworks.sources.rules import collect_rules, in_groups
+from oreworks.sources.rules import collect_rules, end_of_month, in_groups, rules_as_of
 from oreworks.sources.sinks import (
     ROWS_OUT,
     ensure_schema,
@@ -85,6 +86,7 @@ class RunResult:
     violations: dict[tuple[Combination, str], dict[str, int]] = field(default_factory=dict)
     failed: list[Combination] = field(default_factory=list)
     nulls: dict[Combination, tuple[list[str], int, dict[str, int]]] = field(default_factory=dict)
+    lineage_rows: list[tuple] = field(default_factory=list)
     attempted: list[Combination] = field(default_factory=list)
     month: str | None = None  # of tables that are kept by month
 
@@ -104,6 +106,11 @@ class RunResult:
     def errors(self) -> DataFrame:
         return local_frame(self.spark, self.error_rows, ERROR_LOG)
 
+    @property
+    def lineage(self) -> DataFrame:
+        """What every transform rule of the run did, and from which columns (`run(trace=True)`)."""
+        return local_frame(self.spark, self.lineage_rows, LINEAGE)
+
     @property
     def metrics(self) -> DataFrame:
         """The run in the long metrics format: throughput, stage checks, scores and
@@ -293,7 +300,10 @@ class _CombinationRun:
         return self._sink(silver_a(bronze, rules, validate, on_error), ())
 
     def _silver_b(self, stage_a: DataFrame) -> DataFrame:
-        rewritten, outcomes = transform_with_outcomes(stage_a, self.transform_rules)
+        trace = self.options["trace"]
+        rewritten, outcomes = transform_with_outcomes(stage_a, self.transform_rules, trace)
+        if trace:
+            self.result.lineage_rows += [(*self.combination, *row) for row in lineage_rows(outcomes)]
         self.result.error_rows += _rule_errors(outcomes, self.combination)
         b = silver_b(rewritten, (), self.schema_rules, self.settings.validation_enabled)
         return self._sink(b, rule_fields(self.schema_rules))
@@ -386,6 +396,8 @@ def run(
     store: tuple[str, str] | None = None,
     group: int = 256,
     quarantine: bool = False,
+    trace: bool = False,
+    rules_of_month: bool = False,
 ) -> RunResult:
     """Refine every combination and write its stage tables.
 
@@ -402,7 +414,9 @@ def run(
     is counted. With ``quarantine`` the same write keeps dropped rows beside the table, with the
     names of the checks they break (`RunResult.dropped`). ``table_expectations`` are checked on
     the written table of a stage. A missing input becomes a placeholder table unless ``on_missing_input`` says ``skip``
-    (good tables stay as they are) or ``fail``. ``store`` names two tables that keep the
+    (good tables stay as they are) or ``fail``. ``trace`` keeps the lineage of the transform
+    rules. ``rules_of_month`` takes, of rules that have changed, the versions that held at the
+    end of the run's month. ``store`` names two tables that keep the
     run's metrics and errors, by month.
     """
     if on_missing_input not in ("placeholder", "skip", "fail"):
@@ -417,6 +431,9 @@ def run(
         schema_rules = spark.table(settings.schema_rules_table)
     if transform_rules is None:
         transform_rules = spark.table(settings.transform_rules_table)
+    if rules_of_month:
+        at = end_of_month(month)
+        schema_rules, transform_rules = rules_as_of(schema_rules, at), rules_as_of(transform_rules, at)
     ensure_schema(spark, settings.silver_schema)
     options = {
         "month": month,
@@ -429,6 +446,7 @@ def run(
         "table_expectations": table_expectations or {},
         "on_missing_input": on_missing_input,
         "quarantine": quarantine,
+        "trace": trace,
     }
     parts: list[RunResult] = []
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -446,6 +464,7 @@ def run(
         result.written.update(part.written)
         result.log_rows += part.log_rows
         result.error_rows += part.error_rows
+        result.lineage_rows += part.lineage_rows
         result.score_rows.update(part.score_rows)
         result.checks.update(part.checks)
         result.nulls.update(part.nulls)

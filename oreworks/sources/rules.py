@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping, Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +47,7 @@ SAMPLE_TRANSFORM_RULES = (
 )
 
 _KEYS = COMBINATION_COLUMNS
+BEGINNING = "0001-01-01 00:00:00"
 
 
 def _rule_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
@@ -89,6 +91,39 @@ def create_rule_tables(spark: SparkSession, settings: Settings, sample: bool = F
             fresh.select(*schema.names).write.mode("append").insertInto(table)
 
 
+def with_validity(rules: DataFrame) -> DataFrame:
+    """Every version of a rule with the time from which it holds, ``valid_from``, and the one at
+    which the next version of the same rule replaces it, ``valid_to`` (NULL: still valid).
+
+    Versions of a rule share combination, field and, for transform rules, priority; what was
+    created at the same time is one version. A rule without a date holds from the beginning.
+    """
+    identity = [*COMBINATION_COLUMNS, *[c for c in ("field_name", "priority") if c in rules.columns]]
+    start = F.coalesce("created_date", F.lit(BEGINNING).cast("timestamp"))
+    dated = rules.withColumn("valid_from", start).alias("r")
+    times = dated.select(*identity, "valid_from").distinct()
+    later = F.lead("valid_from").over(Window.partitionBy(*identity).orderBy("valid_from"))
+    spans = times.withColumn("valid_to", later).alias("t")
+    same = conjunction([F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in (*identity, "valid_from")])
+    return dated.join(spans, same).select("r.*", "t.valid_to")
+
+
+def rules_as_of(rules: DataFrame, at: datetime) -> DataFrame:
+    """The rules that held just before ``at``. A version whose transform (of a schema rule: whose
+    data type) is NULL ends its rule."""
+    found = with_validity(rules)
+    value = "transform" if "transform" in rules.columns else "data_type"
+    moment = F.lit(at)
+    held = (F.col("valid_from") < moment) & (F.col("valid_to").isNull() | (F.col("valid_to") >= moment))
+    return found.where(held & F.col(value).isNotNull()).drop("valid_from", "valid_to")
+
+
+def end_of_month(month: str) -> datetime:
+    """The first moment after a month given as yyyymm."""
+    year, number = int(month[:4]), int(month[4:])
+    return datetime(year + number // 12, number % 12 + 1, 1, tzinfo=timezone.utc)
+
+
 def for_combination(rules: DataFrame, combination: Combination) -> DataFrame:
     """Rules of one combination; literals stay literals, so nothing can be injected."""
     return rules.filter(

@@ -58,6 +58,15 @@ TRANSFORM_RULES = [
 ]
 
 
+def dated(found, dates):
+    """Rules with the dates of their versions, by expression; the others hold from the start."""
+    day = F.lit("2000-01-01")
+    for text, value in dates.items():
+        day = F.when(F.col("transform").eqNullSafe(F.lit(text)), F.lit(value)).otherwise(day)
+    at = day.cast("timestamp")
+    return found.withColumns({"created_date": at, "updated_date": at})
+
+
 def refine(
     t, combinations, schema: str, rule_tables: bool = False, month="202407", frames=None, changes=None, **options
 ) -> RunResult:
@@ -65,6 +74,7 @@ def refine(
     tables of ``schema``, by rules given inline or kept in rule tables; ``changes`` are settings."""
     spark = t.spark
     require_shared_warehouse(spark)
+    transforms = options.pop("transforms", None)
     # Applications that share a metastore, and runs in one application, have names of their own.
     app = re.sub(r"\W", "_", spark.sparkContext.applicationId)
     settings = replace(SETTINGS, silver_schema=f"{schema}_{app}", bronze_suffix=f"_{schema}", **(changes or {}))
@@ -73,7 +83,8 @@ def refine(
         frame = (frames or {}).get(combination)
         (getattr(t, name) if frame is None else frame).createOrReplaceGlobalTempView(view)
     ensure_schema(spark, settings.silver_schema)
-    inline = [rules.schema_rules(spark, SCHEMA_RULES), rules.transform_rules(spark, TRANSFORM_RULES)]
+    transforms = rules.transform_rules(spark, TRANSFORM_RULES) if transforms is None else transforms
+    inline = [dated(rules.schema_rules(spark, SCHEMA_RULES), {}), transforms]
     if rule_tables:
         settings = replace(
             settings,
@@ -352,3 +363,68 @@ def full_run_final_only(t):
     )
     final = result.table(SALES, "silver_c")
     return final.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+_VERSIONS = {
+    (*SALES, "o_orderstatus", "NULLIF(o_orderstatus, 'P')", "FUNCTION", 1): "2024-01-01",
+    (*SALES, "o_orderstatus", "NULLIF(o_orderstatus, 'O')", "FUNCTION", 1): "2024-08-05",
+    (*SALES, "o_totalprice", "ROUND(o_totalprice)", "FUNCTION", 2): "2024-02-01",
+    (*SALES, "o_totalprice", None, "FUNCTION", 2): "2024-07-31",
+    (*SALES, "o_custkey", "-o_custkey", "FUNCTION", 1): "2024-09-01",
+}
+
+
+@query(
+    f"""WITH {_MONTH_ROWS}
+SELECT run AS year_month, o_custkey, o_orderstatus, o_totalprice FROM sales
+WHERE o_orderstatus <> CASE run WHEN '202407' THEN 'P' ELSE 'O' END"""
+)
+def full_run_rules_of_month(t):
+    """Rules change in August and September; July, run again after that, keeps its own: the rows of
+    stage B by month."""
+    july, august, again = _months(t)
+    transforms = dated(rules.transform_rules(t.spark, list(_VERSIONS)), {r[4]: d for r, d in _VERSIONS.items()})
+    options = {"changes": {"monthly": True}, "transforms": transforms, "rules_of_month": True}
+    for month, frames in (("202407", august), ("202408", again), ("202407", july)):
+        result = refine(t, [SALES], "oreworks_rules_of_month", month=month, frames=frames, **options)
+    whole = t.spark.table(result.written[SALES, "silver_b"])
+    return whole.select("year_month", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
+_CHAIN = [
+    (*SALES, "o_orderstatus", "CONCAT(o_orderstatus, '-', o_custkey)", "FUNCTION", 1),
+    (*SALES, "o_totalprice", "o_totalprice * 2", "FUNCTION", 1),
+    (*SALES, "o_totalprice", "IF(o_orderstatus LIKE 'P%', 0, o_totalprice)", "FUNCTION", 2),
+    (*SALES, "o_orderkey", "MAX(o_orderkey)", "FUNCTION", 3),
+    (*SALES, "o_clerk", "UPPER(o_clerk)", "FUNCTION", 3),
+    (*LINES, "l_quantity", "COALESCE(l_quantity, l_linenumber)", "FUNCTION", 1),
+    (*LINES, "l_returnflag", "LOWER(\"X\")", "FUNCTION", 1),
+]
+
+
+@query(
+    """WITH steps(domain, step, output_column, expression, status, reason, input_columns, source_columns) AS (VALUES
+  ('sales', 1, 'o_clerk', 'UPPER(o_clerk)', 'unknown_field', NULL, '', ''),
+  ('sales', 2, 'o_orderstatus', 'CONCAT(o_orderstatus, ''-'', o_custkey)', 'applied', NULL,
+   'o_custkey,o_orderstatus', 'o_custkey,o_orderstatus'),
+  ('sales', 3, 'o_totalprice', 'o_totalprice * 2', 'applied', NULL, 'o_totalprice', 'o_totalprice'),
+  ('sales', 4, 'o_totalprice', 'IF(o_orderstatus LIKE ''P%'', 0, o_totalprice)', 'applied', NULL,
+   'o_orderstatus,o_totalprice', 'o_custkey,o_orderstatus,o_totalprice'),
+  ('sales', 5, 'o_orderkey', 'MAX(o_orderkey)', 'rejected', 'MISSING_GROUP_BY', '', ''),
+  ('lines', 1, 'l_quantity', 'COALESCE(l_quantity, l_linenumber)', 'applied', NULL,
+   'l_linenumber,l_quantity', 'l_linenumber,l_quantity'),
+  ('lines', 2, 'l_returnflag', 'LOWER("X")', 'applied', NULL, '', '')),
+sizes AS (SELECT 'sales' AS domain, count(*) AS record_count FROM orders
+          UNION ALL SELECT 'lines', count(*) FROM lineitem)
+SELECT steps.*, record_count FROM steps JOIN sizes USING (domain)"""
+)
+def full_run_lineage(t):
+    """What each transform rule of a run read, wrote and became, through a chain of rules, with the
+    rows of the table it went into."""
+    transforms = rules.transform_rules(t.spark, _CHAIN)
+    result = refine(t, [SALES, LINES], "oreworks_lineage", transforms=transforms, trace=True)
+    sizes = run_summary({k: result.table(*k) for k in result.written if k[1] == "silver_b"})
+    told = result.lineage.join(sizes, ["source", "lob", "domain", "stage"])
+    names = ["domain", "step", "output_column", "expression", "status", "reason"]
+    lists = [F.array_join(c, ",").alias(c) for c in ("input_columns", "source_columns")]
+    return told.select(*names, *lists, F.col("row_count").alias("record_count"))
