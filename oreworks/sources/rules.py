@@ -47,7 +47,7 @@ SAMPLE_TRANSFORM_RULES = (
 )
 
 _KEYS = COMBINATION_COLUMNS
-BEGINNING = "0001-01-01 00:00:00"
+BEGINNING = "1000-01-01 00:00:00"
 
 
 def _rule_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
