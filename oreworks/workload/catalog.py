@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from oreworks.model import Combination
@@ -221,7 +223,8 @@ def transform_rule_lint(t):
     )
 )
 def table_inventory(t):
-    return tables.inventory({name: getattr(t, name) for name in TABLES})
+    with ThreadPoolExecutor(len(TABLES)) as pool:  # opening a table reads its schema
+        return tables.inventory(dict(zip(TABLES, pool.map(lambda name: getattr(t, name), TABLES))))
 
 
 @query("SELECT * FROM documents ORDER BY doc_id LIMIT 5")
