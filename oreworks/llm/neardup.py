@@ -10,15 +10,17 @@
 3. Each list has a few heads, in the first round the classes with most posts, then others. Every
    class counts its collisions with heads that it is not merged with; those it collides with most are
    checked on the full sets, and linked classes are merged. Rounds go on while they find links.
-4. Lists that still hold several components are compared pair by pair, on signatures, skipping pairs
-   that are merged or checked already. Long lists are cut into chunks which meet two by two; a pair
-   comes out of the first list that it shares only, and only if it agrees in LEAST coordinates. It is
-   checked on the full sets.
-5. Components of all confirmed links.
+4. Lists that still hold several components are compared on signatures. Long lists are cut into chunks
+   which meet two by two, a unit each; a pair counts in the first list that it shares only, and only
+   if it is not merged and agrees in LEAST coordinates. What comes out are the classes of a unit that
+   have such a partner there, not their pairs.
+5. The full sets of those classes go to their units, which compare them and give a spanning forest of
+   what is linked, so a unit of n classes gives n - 1 links at most.
+6. Components of all confirmed links.
 
 So a group of n near copies costs some n checks, not n * n, and no link between components is lost.
-What stays quadratic is the comparison of signatures (no rows) among classes of a list that are not
-linked to each other at all.
+What stays quadratic are comparisons inside units (no rows) among classes of a list that are not linked
+to each other at all, and the copies of a long list's rows, one for every other chunk of it.
 
 Defined cases: texts that are null or have no words have the empty set and no links. With fewer words
 than a shingle, all words together are the only shingle. A component's id is the smallest document id
@@ -42,7 +44,8 @@ from oreworks.llm.storage import cut
 
 COORDINATES = 64
 LEAST = 32
-CHUNK = 256
+CHUNK, CHUNK_BYTES = 256, 8 << 20  # classes, and bytes of their sets
+COLUMNS = 4_096
 ROUNDS, HEADS, TRIES = 4, 8, 2
 CLASS_BLOCK = 8_192
 PAIRS_AT_ONCE = 40_000
@@ -177,7 +180,8 @@ def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
     alike = lambda x, y: F.least(x, y) * denominator >= F.greatest(x, y) * numerator
     confirmed = lambda pairs: cut(_confirmed(pairs, texts, classes, length, numerator, denominator))
     posts = cut(posts)
-    lists = posts.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    chunks = F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
+    lists = posts.groupBy("key").agg(F.count("*").alias("size"), chunks.alias("chunks")).where("size > 1")
     degree = posts.groupBy("node").agg(F.count("*").alias("degree"))
     posts = cut(posts.join(lists, "key").join(degree, "node"))
     links, tested, labels = None, None, None
@@ -209,8 +213,8 @@ def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
         labels = components(links)
         if found.count() * 20 < pairs.count() or found.isEmpty():
             break
-    rest = _compared(open_posts().join(classes.select("node", "signature"), "node"), numerator, denominator)
-    return links.union(confirmed(cut(fresh(rest))))
+    rest = cut(_compared(open_posts().join(classes.select("node", "signature"), "node"), numerator, denominator))
+    return links.union(cut(_linked(rest, texts, classes, length, numerator, denominator)))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -278,16 +282,22 @@ def _sets(texts: DataFrame, classes: DataFrame, bits, length: int) -> DataFrame:
     return rows.select("text", "node", "set_code").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
 
+def _sets_of(nodes: DataFrame, texts: DataFrame, classes: DataFrame, length: int) -> DataFrame:
+    """node and shingles of the given nodes."""
+    chosen = cut(classes.join(nodes, "node"))
+    bits = texts.sparkSession.sparkContext.broadcast(_bitmap(chosen.select("one.copy")))
+    sets = cut(_sets(texts, chosen, bits, length))
+    bits.unpersist()
+    return sets
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: int, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) whose sets are alike.
 
     Nodes fall into groups of about `GROUP_BYTES` of sets. The pairs between two groups are one unit
     of work, to which every set goes once, however many of its pairs are in it."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = cut(classes.join(nodes, "node"))
-    bits = texts.sparkSession.sparkContext.broadcast(_bitmap(chosen.select("one.copy")))
-    sets = cut(_sets(texts, chosen, bits, length))
-    bits.unpersist()
+    sets = _sets_of(nodes, texts, classes, length)
     groups = max(LEAST_GROUPS, -(-(sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0) // GROUP_BYTES))
     group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
     low, high = F.least(group("a"), group("b")), F.greatest(group("a"), group("b"))
@@ -307,29 +317,57 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: i
     return units.groupBy("unit").cogroup(needed.groupBy("of")).applyInArrow(check, "a long, b long")
 
 
+UNIT = ["key", "i", "j"]
+
+
+def _by_unit(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on batches of whole units, whose rows begin with the columns of `UNIT`."""
+
+    def run(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([*([rest] if rest is not None else []), batch]).combine_chunks()
+            if not table.num_rows:
+                continue
+            whole = table.to_batches()[0]
+            last = int(_unit_starts(whole)[-1])
+            if last:
+                yield work(whole.slice(0, last))
+            rest = whole.slice(last)
+        if rest is not None:
+            yield work(rest)
+
+    return rows.repartition(*UNIT).sortWithinPartitions(*UNIT).mapInArrow(run, schema)
+
+
+def _unit_starts(batch: pa.RecordBatch) -> np.ndarray:
+    new = np.ones(batch.num_rows, bool)
+    key, i, j = (batch.column(c).to_numpy() for c in range(3))
+    new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    return np.flatnonzero(new)
+
+
 def _compared(lists: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Pairs (a, b) of different components in the same list that agree in enough coordinates.
+    """Per unit (key, i, j) the classes (node, label) that agree in enough coordinates with one of
+    another component there, in no list before.
 
-    A list longer than `CHUNK` is cut into chunks; each row goes to every pair of chunks that its own
+    A list longer than a chunk is cut into chunks; each row goes to every pair of chunks that its own
     is part of, and a pair of chunks is one unit of work."""
-    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
-    chunk = F.pmod(F.xxhash64("node"), chunks).cast("int")
-    other = F.explode(F.sequence(F.lit(0), chunks - 1))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
     columns = ["chunk", "node", "n", "label", "coordinate", "posted", "signature"]
     rows = lists.withColumn("chunk", chunk).select("key", *columns, other.alias("other"))
     rows = rows.select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), *columns)
-    rows = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def meet(batch: pa.RecordBatch) -> pa.RecordBatch:
-        key, i, j, chunk, node, n, label, coordinate, posted = (batch.column(c).to_numpy() for c in range(9))
+        i, j, chunk, node, n, label, coordinate, posted = (batch.column(c).to_numpy() for c in range(1, 9))
         small = _matrix(batch.column(9), np.uint32, COORDINATES)
         bits = (posted.view(np.uint64)[:, None] >> np.arange(COORDINATES, dtype=np.uint64) & np.uint64(1)).astype(bool)
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-        end = np.append(np.flatnonzero(new)[1:], len(key))[np.cumsum(new) - 1]  # of the row's unit
-        found = []
-        for lo in range(0, len(key), 512):  # at most 512 rows times two chunks of pairs at a time
-            left = np.arange(lo, min(lo + 512, len(key)))
+        starts = _unit_starts(batch)
+        end = np.repeat(np.append(starts[1:], len(node)), np.diff(np.append(starts, len(node))))  # of the row's unit
+        some = np.zeros(len(node), bool)
+        for lo in range(0, len(node), 512):  # at most 512 rows times two chunks of pairs at a time
+            left = np.arange(lo, min(lo + 512, len(node)))
             many = end[left] - left - 1
             a = np.repeat(left, many)
             b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(many) - many, many)
@@ -341,23 +379,63 @@ def _compared(lists: DataFrame, numerator: int, denominator: int) -> DataFrame:
                 equal = small[x] == small[y]
                 first = (equal & bits[x] & bits[y]).argmax(1) == coordinate[x]  # their first list
                 match = (equal.sum(1) >= LEAST) & first
-                found.append(np.stack([np.minimum(node[x], node[y])[match], np.maximum(node[x], node[y])[match]]))
-        out = np.concatenate([np.zeros((2, 0), np.int64), *found], axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+                some[x[match]] = some[y[match]] = True
+        return batch.select([*UNIT, "node", "label"]).filter(pa.array(some))
+
+    return _by_unit(rows, meet, "key long, i int, j int, node long, label long")
+
+
+def _linked(rows: DataFrame, texts: DataFrame, classes: DataFrame, length: int, numerator: int, denominator: int) -> DataFrame:
+    """Links (a, b) that connect what is alike in each unit."""
+    sets = _sets_of(rows.select("node").distinct(), texts, classes, length)
+
+    def check(batch: pa.RecordBatch) -> pa.RecordBatch:
+        node, label = batch.column(3).to_numpy(), batch.column(4).to_numpy()
+        starts, links = _unit_starts(batch), []
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), len(node)]):
+            own = [w.unpack(x, True) for x in batch.column(5).slice(lo, hi - lo).to_pylist()]
+            for x, y in forest(own, label[lo:hi], numerator, denominator):
+                links.append((node[lo + x], node[lo + y]))
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return _by_unit(rows.join(sets, "node").select(*UNIT, "node", "label", "shingles"), check, "a long, b long")
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values each two of the sets have in common."""
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    _, value, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = often > 1
+    row, value = row[shared[value]], (np.cumsum(shared) - 1)[value[shared[value]]]
+    order = np.argsort(value, kind="stable")
+    row, value = row[order], value[order]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for lo in range(0, int(shared.sum()), COLUMNS):
+        a, b = np.searchsorted(value, [lo, lo + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[row[a:b], value[a:b] - lo] = 1
+        out += (held @ held.T).astype(np.int64)
+    return out
 
-    def run(batches):
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([*([rest] if rest is not None else []), batch]).combine_chunks()
-            if not table.num_rows:
-                continue
-            whole = table.to_batches()[0]
-            key, i, j = (whole.column(c).to_numpy() for c in range(3))
-            last = int(np.flatnonzero((key != key[-1]) | (i != i[-1]) | (j != j[-1]))[-1]) + 1 if (key != key[-1]).any() or (i != i[-1]).any() or (j != j[-1]).any() else 0
-            if last:
-                yield meet(whole.slice(0, last))
-            rest = whole.slice(last)
-        if rest is not None:
-            yield meet(rest)
 
-    return rows.mapInArrow(run, "a long, b long")
+def forest(sets: list[np.ndarray], label: np.ndarray, numerator: int, denominator: int) -> list[tuple[int, int]]:
+    """Places of sets that are alike, as a spanning forest; equal labels are connected already."""
+    size = np.array([len(x) for x in sets])
+    both = common(sets)
+    alike = (both > 0) & (denominator * both >= numerator * (size[:, None] + size - both))
+    alike |= label[:, None] == label
+    links, left = [], np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        if not left[root]:
+            continue
+        left[root] = False
+        open_ = [root]
+        while open_:
+            at = open_.pop()
+            near = np.flatnonzero(alike[at] & left)
+            left[near] = False
+            open_ += near.tolist()
+            links += [(at, x) for x in near.tolist() if label[x] != label[at]]
+    return links

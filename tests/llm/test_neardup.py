@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from rows import HARD, documents
 
@@ -89,3 +90,25 @@ def test_components_of_paths_and_stars(spark):
 def test_empty_table(spark):
     assert neardup.near_duplicates(documents(spark, [])).count() == 0
     assert [tuple(r)[2:] for r in neardup.near_duplicates(documents(spark, [None, ""])).orderBy("doc_id").collect()] == [(0, 0, True), (0, 1, True)]
+
+
+def test_units_give_spanning_forests(monkeypatch):
+    monkeypatch.setattr(neardup, "COLUMNS", 16)
+    r = random.Random(3)
+    base = list(range(1, 60))
+    sets = [np.array(sorted(set(base) - set(r.sample(base, r.choice([2, 4, 8, 20]))) | {100 + g}), np.uint64) for g in range(70)]
+    sets += [np.array([7000 + g], np.uint64) for g in range(3)] + [sets[0], np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+    both = [[len(set(x) & set(y)) for y in map(np.ndarray.tolist, sets)] for x in map(np.ndarray.tolist, sets)]
+    assert neardup.common(sets).tolist() == both
+    label = np.array([g % 9 if g < 12 else 100 + g for g in range(len(sets))])
+    links = neardup.forest(sets, label, 80, 100)
+    alike = lambda i, j: both[i][j] > 0 and 100 * both[i][j] >= 80 * (len(sets[i]) + len(sets[j]) - both[i][j])
+    assert all(alike(i, j) and label[i] != label[j] for i, j in links) and len(links) < len(sets)
+
+    def classes(pairs):
+        of = list(range(len(sets)))
+        for i, j in [*pairs, *[(i, j) for i in range(len(sets)) for j in range(i) if label[i] == label[j]]]:
+            of = [of[i] if x == of[j] else x for x in of]
+        return len(set(of)), [of.index(x) for x in of]
+
+    assert classes(links) == classes([(i, j) for i in range(len(sets)) for j in range(i) if alike(i, j)])
