@@ -40,7 +40,7 @@ from oreworks.llm import counting
 from oreworks.llm import words as w
 from oreworks.llm.arrow import extended, slices, utf8
 from oreworks.llm.graph import components
-from oreworks.llm.storage import cut
+from oreworks.llm.storage import cut, release
 
 COORDINATES = 64
 LEAST = 32
@@ -178,12 +178,13 @@ def _posts(classes: DataFrame) -> DataFrame:
 def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
     """Confirmed links (a, b) that connect all linked classes."""
     alike = lambda x, y: F.least(x, y) * denominator >= F.greatest(x, y) * numerator
-    confirmed = lambda pairs: cut(_confirmed(pairs, texts, classes, length, numerator, denominator))
-    posts = cut(posts)
+    confirmed = lambda pairs: _confirmed(pairs, texts, classes, length, numerator, denominator)
+    chosen = posts = cut(posts)
     chunks = F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n") * 8 / CHUNK_BYTES)).cast("int")
     lists = posts.groupBy("key").agg(F.count("*").alias("size"), chunks.alias("chunks")).where("size > 1")
     degree = posts.groupBy("node").agg(F.count("*").alias("degree"))
     posts = cut(posts.join(lists, "key").join(degree, "node"))
+    release(chosen)
     links, tested, labels = None, None, None
 
     def open_posts() -> DataFrame:
@@ -214,7 +215,8 @@ def _links(texts, classes, posts, length, numerator, denominator) -> DataFrame:
         if found.count() * 20 < pairs.count() or found.isEmpty():
             break
     rest = cut(_compared(open_posts().join(classes.select("node", "signature"), "node"), numerator, denominator))
-    return links.union(cut(_linked(rest, texts, classes, length, numerator, denominator)))
+    release(posts)
+    return links.union(_linked(rest, texts, classes, length, numerator, denominator))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -288,6 +290,7 @@ def _sets_of(nodes: DataFrame, texts: DataFrame, classes: DataFrame, length: int
     bits = texts.sparkSession.sparkContext.broadcast(_bitmap(chosen.select("one.copy")))
     sets = cut(_sets(texts, chosen, bits, length))
     bits.unpersist()
+    release(chosen)
     return sets
 
 
@@ -314,7 +317,9 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, classes: DataFrame, length: i
             good.append(both > 0 and denominator * both >= numerator * (len(x) + len(y) - both))
         return left.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return units.groupBy("unit").cogroup(needed.groupBy("of")).applyInArrow(check, "a long, b long")
+    found = cut(units.groupBy("unit").cogroup(needed.groupBy("of")).applyInArrow(check, "a long, b long"))
+    release(sets)
+    return found
 
 
 UNIT = ["key", "i", "j"]
@@ -399,11 +404,13 @@ def _linked(rows: DataFrame, texts: DataFrame, classes: DataFrame, length: int,
         a, b = np.array(links, np.int64).reshape(-1, 2).T
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    return _by_unit(rows.join(sets, "node").select(*UNIT, "node", "label", "shingles"), check, "a long, b long")
+    found = cut(_by_unit(rows.join(sets, "node").select(*UNIT, "node", "label", "shingles"), check, "a long, b long"))
+    release(sets)
+    return found
 
 
 def common(sets: list[np.ndarray]) -> np.ndarray:
-    """How many values each two of the sets have in common."""
+    """How many values each two different sets have in common."""
     size = np.array([len(x) for x in sets])
     row = np.repeat(np.arange(len(sets)), size)
     _, value, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)

@@ -36,3 +36,13 @@ def cut(df: DataFrame) -> DataFrame:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     back = spark.read.schema(df.withColumns(untyped).schema if untyped else schema).parquet(path)
     return back.withColumns({name: back[name].cast("void") for name in untyped}) if untyped else back
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a `cut` that nothing reads any more: all that came of it has been cut, too."""
+    spark = df.sparkSession
+    own = f"/oreworks-{spark.sparkContext.applicationId}/"
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        if own in f"{folder}/":
+            place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
