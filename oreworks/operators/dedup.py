@@ -103,3 +103,87 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     n = free_name(df, "row_count")
     counted = df.groupBy(*map(column, keys)).agg(F.count(F.lit(1)).alias(n))
     return counted.filter(column(n) > 1)
+
+
+BUCKET_BITS = 32_768  # of one bitmap of `bitmap_construct_agg`
+BUCKETS = 2_048  # 67 million bits, 8 MB
+
+
+def _place(keys: Sequence[str], buckets: int):
+    """The bit of a key: which of all, by hash. NULL is a key value like any other (a marker goes
+    with every part, as hashes skip NULL)."""
+    parts = [x for k in keys for x in (column(k).isNull(), column(k))]
+    return F.pmod(F.xxhash64(*parts), F.lit(buckets * BUCKET_BITS).cast("long"))
+
+
+def key_bitmap(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """The keys of a table as bits: bucket and bits, at most ``buckets`` rows of 4 KB however many
+    keys there are. Combined in each map task, so the shuffle carries bitmaps and no keys."""
+    place = _place(keys, buckets)
+    bucket, bit = F.floor(place / BUCKET_BITS), place % BUCKET_BITS
+    return df.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bits"))
+
+
+def possibly_in(
+    df: DataFrame, bitmap: DataFrame, keys: Sequence[str], name: str, buckets: int = BUCKETS
+) -> DataFrame:
+    """The rows with a boolean ``name``: False where the bitmap proves that the key is not in it.
+
+    The bitmap is broadcast: its size is bounded by ``buckets``, not by its keys."""
+    own, bits = free_name(df, "key_bucket"), free_name(df, "key_bits")
+    place = _place(keys, buckets)
+    packed = bitmap.select(F.col("bucket").alias(own), F.col("bits").alias(bits))
+    rows = df.withColumn(own, F.floor(place / BUCKET_BITS))
+    met = rows.join(F.broadcast(packed), own, "left")
+    byte = F.substring(column(bits), (place % BUCKET_BITS / 8).cast("int") + 1, F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (place % 8).cast("int") + 1)
+    found = F.coalesce(value.bitwiseAND(mask) != 0, F.lit(False))
+    return met.withColumn(name, found).select(*map(column, df.columns), column(name))
+
+
+def new_keys(
+    df: DataFrame, kept: DataFrame, keys: Sequence[str], buckets: int = BUCKETS
+) -> DataFrame:
+    """The rows whose key is not in ``kept``, the rows of earlier months; NULL keys are equal.
+
+    Only keys that may be in both tables are shuffled. The bitmap of the kept keys lets most new
+    rows through at once; the bitmap of the rows left picks the kept keys they are compared with
+    exactly. A full bitmap (far more keys than bits) costs work, never a row: with ``buckets`` for
+    ten bits a key, about a tenth of the new rows is compared. The kept table is read twice, its
+    key columns alone. A key that many rows of ``df`` share should be deduplicated first; kept keys
+    that repeat are reduced to one before they are joined.
+    """
+    if not keys:
+        raise ValueError("no keys to compare")
+    maybe = free_name(df, "key_maybe")
+    old = kept.select(*map(column, keys))
+    judged = possibly_in(df, key_bitmap(old, keys, buckets), keys, maybe, buckets)
+    doubtful = judged.where(column(maybe)).drop(maybe)
+    wanted = key_bitmap(doubtful, keys, buckets)
+    asked = possibly_in(old, wanted, keys, maybe, buckets).where(column(maybe)).drop(maybe)
+    names = [free_name(df, f"kept_key_{i}") for i in range(len(keys))]
+    asked = asked.distinct().toDF(*names)
+    same = [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)]
+    repeated_free = doubtful.join(asked, same, "left_anti")
+    return judged.where(~column(maybe)).drop(maybe).unionAll(repeated_free)
+
+
+def deduplicate_month(
+    df: DataFrame,
+    kept: DataFrame | None,
+    keys: Sequence[str],
+    order: Sequence | None = None,
+    on_missing: str = "available",
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """One row per key of a month, without the keys that earlier months have kept.
+
+    Month by month, oldest first, this keeps what deduplicating all months at once with the month
+    as first sort column keeps. Key columns that ``kept`` lacks raise; no usable key changes nothing.
+    """
+    used = present_keys(df, keys, on_missing)
+    own = deduplicate(df, keys, order, on_missing)
+    if kept is None or not used:
+        return own
+    return new_keys(own, kept, present_keys(kept, used, "error"), buckets)

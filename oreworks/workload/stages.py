@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oreworks.operators.dedup import deduplicate
+from oreworks.operators.dedup import deduplicate, deduplicate_month
 from oreworks.operators.required import drop_low_quality
 from oreworks.operators.score import add_quality_score
 from oreworks.operators.transform import transform_by_rules
@@ -244,6 +244,26 @@ def dedup_partial_keys(t):
     return deduplicate(t.orders, ["o_custkey", "o_not_there"])
 
 
+@query(
+    """WITH months AS (SELECT *, CASE WHEN o_orderdate < TIMESTAMP '1995-01-01' THEN 1
+    WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 2 ELSE 3 END AS part FROM orders)
+SELECT * FROM months QUALIFY row_number() OVER
+(PARTITION BY o_custkey, o_orderpriority ORDER BY part, o_orderdate, o_orderkey) = 1"""
+)
+def dedup_month_by_month(t):
+    """Three periods, each without the keys that those before have kept."""
+    when = F.col("o_orderdate")
+    early, middle = F.lit("1995-01-01").cast("timestamp_ntz"), F.lit("1997-01-01").cast("timestamp_ntz")
+    number = F.when(when < early, 1).when(when < middle, 2).otherwise(3)
+    orders = t.orders.withColumn("part", number)
+    keys, order = ["o_custkey", "o_orderpriority"], ["o_orderdate", "o_orderkey"]
+    kept = None
+    for part in (1, 2, 3):
+        fresh = deduplicate_month(orders.where(F.col("part") == part), kept, keys, order)
+        kept = fresh if kept is None else kept.unionAll(fresh)
+    return kept
+
+
 @query("SELECT DISTINCT * FROM orders")
 def dedup_whole_rows(t):
     """Every order twice; the key is the whole row."""
