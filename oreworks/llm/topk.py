@@ -3,17 +3,20 @@
 A vector cut into segments is summed up by each segment's mean and deviation, scaled by the root of
 its length. The distance of two such summaries is a lower bound of the vectors' distance (equally,
 their product is an upper bound of the inner product). Bounds go from one segment to ever finer
-ones; vectors that can't reach a query's k-th best score so far leave at the coarsest level that
-tells, and only survivors get the exact score, in integers.
+ones. At each level the most promising vectors get their exact scores, which raises the k-th best
+score so far; those that can't reach it leave there, finer levels see the rest, and only
+survivors of all levels get the exact score, in integers.
 
 The query set meets all rows in blocks: every block of queries is copied to every group of
 candidates and no pair of vectors is ever a row; a group returns k rows for each of its queries.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows with a null
-id, take no part. An id stands for one row: rows that repeat it count once, with the smallest
-vector. Only vectors of equal length are compared. Fewer than k candidates give fewer rows, none
-give none. Ties go to the smaller id. Scores beyond 64 bits are cut to the range. Other columns
-are not carried over.
+id, take no part. Every row counts, also those that repeat an id or a whole row: each is a candidate
+of its own for all queries with another id, and what the rows of one query id find is ranked
+together. Equal rows are counted before they are shuffled, and k of them are all that k places can
+show. Only vectors of equal length are compared. Fewer than k candidates give fewer rows, none give
+none. Ties go to the smaller id. Scores beyond 64 bits are cut to the range. Other columns are not
+carried over.
 """
 
 from __future__ import annotations
@@ -36,14 +39,17 @@ def quantized(rows: DataFrame, factor: int, id_column: str, vector_column: str)
     usable = vector.isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     values = F.transform(vector, lambda x: F.floor(x.cast("double") * factor).cast("long"))
     kept = rows.where(usable & F.col(id_column).isNotNull())
-    return kept.select(F.col(id_column).cast("long").alias("vec_id"), values.alias("values")).groupBy("vec_id").agg(F.min("values").alias("values"))
+    return kept.select(F.col(id_column).cast("long").alias("vec_id"), values.alias("values"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """For `quantized` rows: query_id, rank (from 1), vec_id and score of the k best candidates."""
+    equal = vectors.groupBy("vec_id", "values").agg(F.count("*").alias("n"))
+    copies = F.array_repeat(F.lit(0), F.least("n", F.lit(k)).cast("int"))
+    vectors = equal.select("vec_id", "values", F.explode(copies)).select("vec_id", "values")
     total, asked = vectors.agg(F.count("*"), F.count_if(is_query)).first()
     groups, blocks = max(1, -(-total // CANDIDATE_BLOCK)), max(1, -(-asked // QUERY_BLOCK))
-    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("vec_id", "values"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     queries = vectors.where(is_query).select(deal(blocks).alias("q"), every(groups).alias("g"), "vec_id", "values")
     candidates = vectors.select(every(blocks).alias("q"), deal(groups).alias("g"), "vec_id", "values")
@@ -102,12 +108,16 @@ def best(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np.n
     out = []
     for i, (own, query) in enumerate(zip(query_ids.tolist(), queries)):
         left = np.flatnonzero(ids != own)
-        if bounds and len(left) > max(k, PROBES):
-            fine = bounds[-1][0][left] @ bounds[-1][1][i]
-            probes = left[np.argpartition(-fine, PROBES)[:PROBES]]
-            least = np.partition(exact(rows[probes], query), -k)[-k] if k <= PROBES else -np.inf
-            for summed, asked_ in bounds:
-                left = left[summed[left] @ asked_[i] + spare[left] * lengths[i] + 1e-6 >= least]
+        least, probed = -np.inf, max(k, PROBES)
+        for summed, asked_ in bounds:
+            if len(left) <= probed:
+                break
+            upper = summed[left] @ asked_[i] + spare[left] * lengths[i] + 1e-6
+            left, upper = left[upper >= least], upper[upper >= least]
+            if len(left) > probed:
+                probes = left[np.argpartition(-upper, probed)[:probed]]
+                least = max(least, np.partition(exact(rows[probes], query), -k)[-k])
+                left = left[upper >= least]
         scores = exact(rows[left], query)
         top = np.lexsort((ids[left], -scores))[:k] if not wide else np.array(sorted(range(len(left)), key=lambda j: (-int(scores[j]), ids[left[j]]))[:k], int)
         out.append((np.full(len(top), own), ids[left][top], scores[top]))

@@ -7,10 +7,10 @@ from oreworks.llm import topk
 
 def brute(rows, k, is_query):
     out = []
-    for q, a in rows.items():
-        if is_query(q):
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), v) for v, b in rows.items() if v != q and len(b) == len(a))
-            out += [(q, i + 1, v, -s) for i, (s, v) in enumerate(scored[:k])]
+    for q in sorted({i for i, _ in rows if is_query(i)}):
+        asked = [a for i, a in rows if i == q]
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), v) for a in asked for v, b in rows if v != q and len(b) == len(a))
+        out += [(q, i + 1, v, -s) for i, (s, v) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -24,11 +24,20 @@ def test_against_brute_force(spark, monkeypatch):
     df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], "vec_id long, embedding array<float>, values int, q int")
     got = topk.top_k(topk.quantized(df, 256, "vec_id", "embedding"), F.col("vec_id") % 50 == 0, 5)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
-    ints = {r.vec_id: r["values"] for r in topk.quantized(df, 256, "vec_id", "embedding").collect()}
-    assert set(ints) == {*range(950), 2000, 2001, 2002}
+    ints = [(r.vec_id, r["values"]) for r in topk.quantized(df, 256, "vec_id", "embedding").collect()]
+    assert sorted(i for i, _ in ints) == [*range(950), 2000, 2000, 2001, 2002]
     assert sorted(map(tuple, got.collect())) == brute(ints, 5, lambda q: q % 50 == 0)
 
 
+def test_rows_that_repeat_an_id(spark):
+    rows = [(0, [1.0, 1.0]), (1, [0.5, 0.0]), (1, [3.0, 0.0]), (2, [1.0, 0.0]), (3, [2.0, 0.0]), (50, [0.0, 1.0]), (50, [1.0, -1.0]), (50, [1.0, -1.0])]
+    rows += [(4, [0.0, 2.0])] * 40
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(topk.quantized(df, 1, "vec_id", "embedding"), F.col("vec_id") % 50 == 0, 6)
+    ints = [(i, [int(x // 1) for x in v]) for i, v in rows]
+    assert sorted(map(tuple, got.collect())) == brute(ints, 6, lambda q: q % 50 == 0)
+
+
 def test_wide_scores_and_few_candidates(spark):
     df = spark.createDataFrame([(0, [2.0**60, 1.0]), (50, [2.0**60, 1.0]), (51, [-(2.0**60), 0.0])], "vec_id long, values array<double>").select("vec_id", F.transform("values", lambda x: x.cast("long")).alias("values"))
     got = sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()))
