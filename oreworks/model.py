@@ -193,11 +193,17 @@ class Settings:
     allowed_domains: Sequence[str] = ALLOWED_DOMAINS
     # Silver tables by year that hold their months side by side, each replaced by itself.
     monthly: bool = False
+    # Of a key that an earlier month's final rows hold, a month keeps nothing (needs `monthly`).
+    keys_once: bool = False
     # Versions of a stage table (or of its months) that stay, with the published one.
     keep_versions: int = 2
     # How long stored metrics and errors stay; None: for ever.
     retention_days: int | None = None
 
+    def __post_init__(self) -> None:
+        if self.keys_once and not self.monthly:
+            raise ValueError("keys_once compares months: it needs monthly tables")
+
     @classmethod
     def from_mapping(cls, raw: Mapping) -> Settings:
         """Build settings from a nested mapping, such as a parsed configuration file.
@@ -205,7 +211,7 @@ class Settings:
         Missing sections and keys, an empty source list and unknown domains raise
         ``ValueError`` naming every problem at once. Which domains are known is data, too
         (``allowed_domains``). A section ``deduplication`` may hold keys, default_keys,
-        order and on_missing_keys; ``tables`` may hold monthly and keep_versions, and
+        order, on_missing_keys and keys_once; ``tables`` may hold monthly and keep_versions, and
         ``monitoring`` retention_days.
         """
         required = {
@@ -239,6 +245,8 @@ class Settings:
         quality = raw.get("data_quality", {})
         tables, monitoring = raw["tables"], raw.get("monitoring", {})
         dedup = raw.get("deduplication", {})
+        if dedup.get("keys_once") and not tables.get("monthly"):
+            raise ValueError("invalid settings: deduplication.keys_once needs tables.monthly")
         keys = dedup.get("keys", DEDUP_KEYS)
         return cls(
             allowed_domains=allowed,
@@ -251,6 +259,7 @@ class Settings:
             default_dedup_keys=tuple(dedup.get("default_keys", DEFAULT_DEDUP_KEYS)),
             dedup_order={domain: tuple(names) for domain, names in dedup.get("order", {}).items()},
             on_missing_keys=dedup.get("on_missing_keys", "available"),
+            keys_once=dedup.get("keys_once", False),
             bronze_schema=raw["pipeline"]["bronze_schema"],
             silver_schema=raw["pipeline"]["silver_schema"],
             schema_rules_table=tables["schema_rules"],

@@ -21,6 +21,7 @@ from oreworks.model import (
     LINEAGE,
     MONTH_COLUMN,
     NULL_TOLERANCE_PERCENT,
+    PLACEHOLDER,
     PROCESSED_COLUMN,
     QUALITY_METRICS,
     RUN_LOG,
@@ -308,6 +309,23 @@ class _CombinationRun:
         b = silver_b(rewritten, (), self.schema_rules, self.settings.validation_enabled)
         return self._sink(b, rule_fields(self.schema_rules))
 
+    def _kept_before(self, stage_b: DataFrame) -> DataFrame | None:
+        """The keys of the final rows of earlier months, of the run's year and of those before;
+        None if there are none. Read by key columns alone, months by their own tables."""
+        settings, c = self.settings, self.combination
+        if not settings.keys_once or not self.options["finalize"] or not self.found:
+            return None
+        used = present_keys(stage_b, settings.keys_for(c.domain), settings.on_missing_keys)
+        parts = []
+        for year in tables.silver_years(self.spark, settings, c, STAGES[-1]) if used else ():
+            name = tables.silver_table(settings, c, STAGES[-1], year)
+            if any(m < self.month for m in versions.published(self.spark, name)):
+                whole = self.spark.table(name)
+                if not set(PLACEHOLDER.fieldNames()) <= set(whole.columns) or set(used) & set(whole.columns):
+                    before = whole.where(F.col(MONTH_COLUMN) < self.month)
+                    parts.append(before.select(*map(column, present_keys(whole, used, "error"))))
+        return tables.union_all(parts) if parts else None
+
     def _silver_c(self, stage_b: DataFrame) -> DataFrame:
         settings = self.settings
         final = silver_c(
@@ -320,6 +338,7 @@ class _CombinationRun:
             order=_order(settings.dedup_order.get(self.combination.domain)),
             on_missing_keys=settings.on_missing_keys,
             now=self.options["now"],
+            kept=self._kept_before(stage_b),
         )
         stamped = (PROCESSED_COLUMN, STAGE_COLUMN) if self.options["finalize"] else ()
         return self._sink(final, stamped)
@@ -416,7 +435,8 @@ def run(
     the written table of a stage. A missing input becomes a placeholder table unless ``on_missing_input`` says ``skip``
     (good tables stay as they are) or ``fail``. ``trace`` keeps the lineage of the transform
     rules. ``rules_of_month`` takes, of rules that have changed, the versions that held at the
-    end of the run's month. ``store`` names two tables that keep the
+    end of the run's month. With ``Settings.keys_once``, monthly tables hold a key once: run months
+    oldest first; one that is run again is compared with the months before it only. ``store`` names two tables that keep the
     run's metrics and errors, by month.
     """
     if on_missing_input not in ("placeholder", "skip", "fail"):

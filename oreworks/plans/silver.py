@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from oreworks.operators.dedup import deduplicate
+from oreworks.operators.dedup import deduplicate_month
 from oreworks.operators.required import drop_incomplete, drop_low_quality
 from oreworks.operators.score import add_metadata, add_quality_score
 from oreworks.operators.selection import required_fields, select_by_rules
@@ -55,15 +55,17 @@ def silver_c(
     order: Sequence | None = None,
     on_missing_keys: str = "available",
     now: Column | None = None,
+    kept: DataFrame | None = None,
 ) -> DataFrame:
     """Deduplicate, score, optionally filter by score, stamp, and check required fields.
 
     The score is computed after the shuffle, on the surviving rows. ``finalize=False``
-    passes the input through.
+    passes the input through. Rows whose key is in ``kept``, the final rows of earlier
+    months, go as duplicates do.
     """
     if not finalize:
         return stage_b
-    scored = add_quality_score(deduplicate(stage_b, keys, order, on_missing_keys))
+    scored = add_quality_score(deduplicate_month(stage_b, kept, keys, order, on_missing_keys))
     if min_score is not None:
         scored = drop_low_quality(scored, min_score)
     return drop_incomplete(add_metadata(scored, now=now), required_fields(schema_rules), validate)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreworks.functions.expressions import sql_string
 from oreworks.functions.local import local_frame
 from oreworks.functions.types import column_types
 from oreworks.model import (
@@ -59,6 +61,17 @@ def silver_table(
     return f"{settings.silver_schema}." + "_".join(parts)
 
 
+def silver_years(
+    spark: SparkSession, settings: Settings, combination: Combination, stage: str
+) -> list[str]:
+    """The years that a stage of the combination has a table of, oldest first."""
+    head, tail = (x.lower() for x in silver_table(settings, combination, stage, "*").split(".")[-1].split("*"))
+    listed = spark.sql(f"SHOW TABLES IN {settings.silver_schema} LIKE {sql_string(head + '*' + tail)}")
+    year = re.compile(re.escape(head) + r"(\d{4})" + re.escape(tail))
+    found = [year.fullmatch(r["tableName"].lower()) for r in listed.collect()]
+    return sorted(m.group(1) for m in found if m)
+
+
 def bronze_table_name(month: str, schema: str = "bronze", suffix: str = "_bronze") -> Column:
     """`bronze_table` as an expression over (source, lob, domain) rows."""
     return F.format_string(

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.model import Combination, Settings
@@ -315,6 +317,25 @@ def full_run_months(t):
     return whole.select("year_month", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
+@query(
+    """WITH months(run, part) AS (VALUES ('202312', 0), ('202407', 1), ('202408', 2))
+SELECT run AS year_month, o_custkey, o_orderstatus, min(o_totalprice) AS o_totalprice
+FROM orders, months WHERE o_orderkey % 3 = part AND o_orderstatus <> 'P'
+GROUP BY run, o_custkey, o_orderstatus
+QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY run) = 1"""
+)
+def full_run_keys_once(t):
+    """Three months in tables of two years, one run twice: a key stays in its first month."""
+    options = {"changes": {"monthly": True, "keys_once": True, "dedup_order": {"sales": ("o_totalprice",)}}}
+    names = []
+    for month, part in (("202312", 0), ("202407", 1), ("202407", 1), ("202408", 2)):
+        frames = {SALES: t.orders.where(F.col("o_orderkey") % 3 == part)}
+        result = refine(t, [SALES], "oreworks_keys_once", month=month, frames=frames, **options)
+        names.append(result.written[SALES, "silver_c"])
+    whole = reduce(DataFrame.unionByName, map(t.spark.table, dict.fromkeys(names)))
+    return whole.select("year_month", "o_custkey", "o_orderstatus", "o_totalprice")
+
+
 @query(
     """SELECT o_custkey, o_orderstatus, min(o_totalprice) AS o_totalprice
 FROM orders WHERE o_orderkey % 2 = 0 AND o_orderstatus <> 'P' GROUP BY ALL"""

@@ -164,8 +164,8 @@ def runs(spark):
         frame = frame.where("k < 3")
     none = rules.schema_rules(spark, []), rules.transform_rules(spark, [])
 
-    def go(schema, month="202407", monthly=False, **options):
-        settings = Settings(bronze_schema="ver_raw", silver_schema=schema, dedup_keys={"sales": ("k", "w")}, monthly=monthly)
+    def go(schema, month="202407", monthly=False, keys_once=False, **options):
+        settings = Settings(bronze_schema="ver_raw", silver_schema=schema, dedup_keys={"sales": ("k", "w")}, monthly=monthly, keys_once=keys_once)
         return run(spark, settings, month, [SALES], *none, **options)
 
     return go
@@ -232,3 +232,39 @@ def test_months_of_a_run(spark, runs):
     assert {r[0]: r[1] for r in counts} == {"202407": 5, "202408": 3}
     missing = runs("ver_monthly", "202409", monthly=True, stages=("silver_b",), on_missing_input="fail", raise_failures=False)
     assert missing.failed == [SALES]
+
+
+def test_a_key_stays_in_its_first_month(spark, runs):
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k int, v int, w string")
+    months = {
+        "202311": frame((1, 5, "a"), (4, 1, None), (None, 2, None)),
+        "202401": frame((1, 6, "a"), (4, 7, None), (5, 1, "b"), (5, 1, "b"), (None, 3, None)),
+        "202402": frame((5, 2, "b"), (1, 9, "z"), (None, 1, "q")),
+    }
+    for month, rows in months.items():
+        rows.write.mode("overwrite").saveAsTable(f"ver_raw.{SALES.label}_{month}_bronze")
+    options = {"monthly": True, "keys_once": True}
+
+    def final(month, **more):
+        found = runs("ver_once", month, **options, **more).table(SALES, "silver_c")
+        return sorted((tuple(r) for r in found.select("k", "w").collect()), key=repr)
+
+    first, second, third = [(1, "a"), (4, None), (None, None)], [(5, "b")], [(1, "z"), (None, "q")]
+    assert final("202311") == first and final("202401") == second and final("202402") == third
+    # A month that is run again meets the months before it, not its own rows or later ones.
+    assert final("202401") == second and final("202311") == first
+    # One plan without written stages gives the same rows.
+    assert final("202402", materialize=("silver_c",)) == third
+
+
+def test_a_key_once_needs_months_and_their_key_columns(spark, runs):
+    with pytest.raises(ValueError, match="monthly"):
+        Settings(keys_once=True)
+    # A year whose only month had no input compares with nothing.
+    empty = runs("ver_once_empty", "202212", monthly=True, keys_once=True)
+    assert empty.table(SALES, "silver_c").count() == 0
+    assert runs("ver_once_empty", "202407", monthly=True, keys_once=True).table(SALES, "silver_c").count() == 5
+    spark.createDataFrame([(1,)], "k int").write.mode("overwrite").saveAsTable(f"ver_raw.{SALES.label}_202201_bronze")
+    runs("ver_once_short", "202201", monthly=True, keys_once=True)
+    short = runs("ver_once_short", "202407", monthly=True, keys_once=True, raise_failures=False)
+    assert short.failed == [SALES] and "not in the table" in short.error_rows[0][7]
