@@ -239,14 +239,14 @@ class Settings:
             specs.append(SourceSpec(entry["name"], tuple(entry["lobs"]), tuple(entry["domains"])))
         if "sources" in raw and not specs and not problems:
             problems.append("sources must not be empty")
+        if raw.get("deduplication", {}).get("keys_once") and not raw.get("tables", {}).get("monthly"):
+            problems.append("deduplication.keys_once needs tables.monthly")
         if problems:
             raise ValueError("invalid settings: " + "; ".join(problems))
 
         quality = raw.get("data_quality", {})
         tables, monitoring = raw["tables"], raw.get("monitoring", {})
         dedup = raw.get("deduplication", {})
-        if dedup.get("keys_once") and not tables.get("monthly"):
-            raise ValueError("invalid settings: deduplication.keys_once needs tables.monthly")
         keys = dedup.get("keys", DEDUP_KEYS)
         return cls(
             allowed_domains=allowed,

@@ -260,6 +260,8 @@ def test_a_key_stays_in_its_first_month(spark, runs):
 def test_a_key_once_needs_months_and_their_key_columns(spark, runs):
     with pytest.raises(ValueError, match="monthly"):
         Settings(keys_once=True)
+    with pytest.raises(ValueError, match="missing section 'sources'.*keys_once needs tables.monthly"):
+        Settings.from_mapping({"pipeline": {}, "tables": {}, "deduplication": {"keys_once": True}})
     # A year whose only month had no input compares with nothing.
     empty = runs("ver_once_empty", "202212", monthly=True, keys_once=True)
     assert empty.table(SALES, "silver_c").count() == 0
