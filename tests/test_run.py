@@ -1,5 +1,6 @@
 """Full runs over the sample tables: written stages, logs, checks and failures."""
 
+import threading
 from decimal import Decimal
 
 import pytest
@@ -237,3 +238,18 @@ def test_the_result_does_not_depend_on_parallelism(spark, sample_rules, as_rows)
 
 def test_an_empty_run(spark, settings):
     assert run(spark, settings, "202407", []).written == {}
+
+
+def test_combinations_in_flight_share_no_local_properties(spark, settings, sample_rules):
+    both, seen = threading.Barrier(2, timeout=60), []
+
+    def probe(df):
+        mine = str(threading.get_ident())
+        spark.sparkContext.setLocalProperty("oreworks.probe", mine)
+        both.wait()
+        seen.append(spark.sparkContext.getLocalProperty("oreworks.probe") == mine)
+        both.wait()
+        return {}
+
+    run(spark, settings, "202407", [PHARMACY1, MEMBER1], *sample_rules, parallel=2, expectations={"silver_a": probe})
+    assert seen == [True, True]
