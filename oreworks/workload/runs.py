@@ -80,10 +80,12 @@ def refine(
     # Applications that share a metastore, and runs in one application, have names of their own.
     app = re.sub(r"\W", "_", spark.sparkContext.applicationId)
     settings = replace(SETTINGS, silver_schema=f"{schema}_{app}", bronze_suffix=f"_{schema}", **(changes or {}))
-    for combination, name in INPUTS.items():
+    for combination in combinations:
+        if combination not in INPUTS:
+            continue
         view = f"{combination.label}_{month}{settings.bronze_suffix}"
         frame = (frames or {}).get(combination)
-        (getattr(t, name) if frame is None else frame).createOrReplaceGlobalTempView(view)
+        (getattr(t, INPUTS[combination]) if frame is None else frame).createOrReplaceGlobalTempView(view)
     ensure_schema(spark, settings.silver_schema)
     transforms = rules.transform_rules(spark, TRANSFORM_RULES) if transforms is None else transforms
     inline = [dated(rules.schema_rules(spark, SCHEMA_RULES), {}), transforms]

@@ -12,6 +12,7 @@ from oreworks.operators.dedup import deduplicate, duplicate_groups, key_profile
 from oreworks.operators.expectations import Expectation, valid_data_types
 from oreworks.plans.pipeline import run
 from oreworks.sources import rules, sinks
+from oreworks.workload import registered
 
 GOOD, BAD, GONE = (Combination("s", "l", d) for d in ("good", "bad", "gone"))
 SETTINGS = Settings(
@@ -118,3 +119,11 @@ def test_types_that_never_convert_count(spark):
     found = valid_data_types(df, [{"field_name": "x", "data_type": "DATE"}, {"field_name": "y", "data_type": "VARCHR"}])
     got = df.select(*[F.count_if(~c).alias(n) for n, c in found.items()]).first()
     assert tuple(got) == (1, 1)
+
+
+def test_stage_checks_open_no_table_but_their_own(spark, tmp_path):
+    rows = [(1, 10, "O", 5.0), (2, 10, "O", 3.0), (3, 10, "P", 1.0), (4, 11, "F", None)]
+    df = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double")
+    df.write.parquet(f"{tmp_path}/orders.parquet")
+    found = registered()["stage_checks"](spark, str(tmp_path)).collect()
+    assert {(r.stage, r.metric_value, r.record_count) for r in found} == {("silver_b", 0.0, 3), ("silver_c", 1.0, 2)}
