@@ -45,7 +45,7 @@ def op3_byte_bpe(spark, folder):
 
 def op4_suffix_dedup(spark, folder):
     found = suffix.removals(table(spark, folder, "documents").select("doc_id", "text"), keep_first=False)
-    return suffix.reported(found).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return suffix.reported(found).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.col("shortened").alias("text"))
 
 
 def op5_best_fit_packing(spark, folder):

@@ -348,17 +348,19 @@ def kept_bytes(data: bytes, removed: list[dict] | None, whole_characters: bool =
 
 
 def reported(found: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """For rows of `removals`: id_column, n_bytes, n_removed, n_spans and the kept bytes."""
+    """For rows of `removals`: id_column, n_bytes, n_removed, n_spans, the kept bytes, and as
+    ``shortened`` the text without its repeated parts (whole characters; null if it was)."""
     rows = found.select(F.col(id_column), F.col(text_column).cast("string").alias("text"), "_removed")
-    schema = extended(rows.select(id_column).schema, "n_bytes long, n_removed long, n_spans long, kept binary")
+    schema = extended(rows.select(id_column).schema, "n_bytes long, n_removed long, n_spans long, kept binary, shortened string")
 
     def run(batches):
         for part in slices(batches, "text"):
-            data = [(x or "").encode() for x in part.column(1).to_pylist()]
-            spans = part.column(2).to_pylist()
+            texts, spans = part.column(1).to_pylist(), part.column(2).to_pylist()
+            data = [(x or "").encode() for x in texts]
+            new = [kept_bytes(d, s, True).decode() if s else t for t, d, s in zip(texts, data, spans)]
             kept = [kept_bytes(d, s) for d, s in zip(data, spans)]
             counts = [[len(d) for d in data], [len(d) - len(k) for d, k in zip(data, kept)], [len(s or []) for s in spans]]
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(kept, pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.int64()) for c in counts), pa.array(kept, pa.binary()), pa.array(new, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from rows import HARD, documents
 
-from oreworks.llm import suffix
+from oreworks.llm import queries, suffix
 
 
 @settings(max_examples=150, deadline=None)
@@ -93,3 +93,12 @@ def test_whole_characters_stay():
     data = "é".encode() * 4
     assert suffix.kept_bytes(data, [{"low": 1, "high": 5}], True).decode() == "éé" + "é"
     assert suffix.kept_bytes(data, [{"low": 1, "high": 5}]) == data[:1] + data[5:]
+
+
+def test_the_query_returns_the_text_that_is_left(spark, tmp_path):
+    shared = "".join(f"{i} shared wörds " for i in range(60))
+    texts = {1: "é" + shared + "one", 2: "two " + shared + "ö", 3: "all of its own", 4: None, 5: ""}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {d: r.text for d, r in found.items()} == {1: "éone", 2: "two ö", 3: texts[3], 4: None, 5: ""}
+    assert [found[1].n_bytes - found[1].n_removed, found[1].n_spans] == [len("éone".encode()), 1]
