@@ -41,8 +41,9 @@ from oreworks.llm.arrow import extended, ranges, slices, utf8
 from oreworks.llm.storage import cut
 
 GRAM = 32
-PIECE = 1 << 21  # places of a very long text looked at together
-BLOCK_BYTES = 1 << 20
+PIECE = 1 << 20  # places of a very long text looked at together
+BLOCK_BYTES = 1 << 19  # arrays of some sixty times the size are made of a block
+PLACE = np.int32  # of a place in a block
 HOT_BYTES = 8 << 20
 CLASS = ("_key", "_hull1", "_hull2")
 ROW = ("_row1", "_row2")
@@ -86,38 +87,61 @@ def suffix_order(raw: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     head = np.zeros(n, np.uint64)
     for i in range(8):
-        head = head << np.uint64(8) | padded[i : n + i]
-    order = np.argsort(head, kind="stable")
-    sorted_ = head[order]
+        head <<= np.uint64(8)
+        head |= padded[i : n + i]
+    # Ties are put in order by the rounds that follow, if there are any.
+    order = np.argsort(head, kind="stable" if depth <= 8 else None).astype(PLACE)
+    head = head[order]
     new = np.ones(n, bool)
-    new[1:] = sorted_[1:] != sorted_[:-1]
-    rank = np.empty(n, np.int64)
-    starts = np.flatnonzero(new)
-    rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
+    np.not_equal(head[1:], head[:-1], out=new[1:])
+    del head, padded
+    rank = np.empty(n, PLACE)
+    rank[order] = _firsts(new)
     known = 8
     while known < depth:
         step = min(known, depth - known)
-        sizes = np.bincount(rank, minlength=n)
-        tied = np.flatnonzero(sizes[rank[order]] > 1)  # slots in the order
-        if not len(tied):
+        lone = new.copy()  # by slot: the only one of its rank
+        lone[:-1] &= new[1:]
+        slots = np.flatnonzero(~lone)
+        if not len(slots):
             break
-        places = order[tied]
-        further = np.zeros(len(places), np.int64)
-        inside = places + step < n
-        further[inside] = rank[places[inside] + step] + 1
-        sub = np.lexsort((places, rank[places] * (n + 1) + further))
-        places, further = places[sub], further[sub]
-        order[tied] = places
-        head_ = rank[places]
-        new = np.ones(len(places), bool)
-        new[1:] = (head_[1:] != head_[:-1]) | (further[1:] != further[:-1])
-        starts = np.flatnonzero(new)
-        rank = rank.copy()
-        rank[places] = np.repeat(tied[starts], np.diff(np.append(starts, len(places))))
+        places = np.sort(order[slots])
+        sub, key = _sorted_pairs(rank[places], _further(rank, places, step), n + 1)
+        order[slots] = places[sub]
+        changed = np.ones(len(slots), bool)
+        np.not_equal(key[1:], key[:-1], out=changed[1:])
+        new[slots] = changed
+        rank[order[slots]] = slots[_firsts(changed)]
         known += step
     return order, rank
 
 
+def _firsts(new: np.ndarray) -> np.ndarray:
+    """For each index the last one, up to itself, that is marked as new."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new), dtype=PLACE), PLACE(0)))
+
+
+def _further(rank: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
+    """One more than the rank ``step`` beyond the places, 0 beyond the end."""
+    at = places + PLACE(step)
+    return np.where(at < len(rank), rank[np.minimum(at, len(rank) - 1)] + 1, 0)
+
+
+def _sorted_pairs(first: np.ndarray, second: np.ndarray, bound: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the pairs, equal ones as they come, and the pairs in this order, each one number."""
+    key = first.astype(np.int64) * bound + second
+    bits = int(len(key)).bit_length()
+    if bound * bound << bits >= 1 << 63:
+        sub = np.argsort(key, kind="stable")
+        return sub, key[sub]
+    key <<= bits
+    key |= np.arange(len(key))
+    key.sort()
+    sub = (key & ((1 << bits) - 1)).astype(PLACE)
+    key >>= bits
+    return sub, key
+
+
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
     """The nearest index before each one that has a smaller value, or -1."""
     out = np.arange(len(values)) - 1
@@ -172,7 +196,7 @@ def _stretches(rows: DataFrame, length: int) -> DataFrame:
 
     def pieces(batches):
         """Slices, and single rows in overlapping pieces where they are very long."""
-        for part in slices(batches, "_text", 1 << 20):
+        for part in slices(batches, "_text", BLOCK_BYTES):
             raw, offsets = utf8(part, "_text")
             if part.num_rows == 1 and len(raw) > PIECE + length:
                 for at in range(0, len(raw) - length + 1, PIECE):
@@ -202,7 +226,7 @@ def _hulls(rows: DataFrame, length: int, text_column: str, id_column: str) -> Da
     names = rows.columns
 
     def run(batches):
-        for part in slices(batches, text_column, 1 << 20):
+        for part in slices(batches, text_column, BLOCK_BYTES):
             raw, offsets = utf8(part, text_column)
             view = raw.tobytes()
             out = []

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -19,6 +20,31 @@ def test_suffix_order(data, depth):
     assert all((rank[i] == rank[j]) == (key(i) == key(j)) for i in range(len(data)) for j in range(len(data)))
 
 
+def test_memory_of_a_block():
+    """A block's arrays stay small, whatever repeats in it."""
+    r = random.Random(3)
+    half = "".join(r.choice("abcde ") for _ in range(suffix.BLOCK_BYTES // 2)).encode()
+    raw = np.frombuffer(half + half[100:], np.uint8)
+    starts = np.arange(len(raw) - 199)
+    tracemalloc.start()
+    try:
+        earlier, later = suffix.copies(raw, starts, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert (np.flatnonzero(earlier)[0], earlier.sum(), later.sum()) == (len(half), len(half) - 299, len(half) - 299)
+    assert peak < 50e6
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5)), max_size=40), st.sampled_from([6, 1 << 20, 1 << 31]))
+def test_sorted_pairs(pairs, bound):
+    first, second = (np.array([p[k] for p in pairs], np.int32) for k in (0, 1))
+    sub, key = suffix._sorted_pairs(first, second, bound)
+    assert sub.tolist() == sorted(range(len(pairs)), key=lambda i: (pairs[i], i))
+    assert key.tolist() == [a * bound + b for a, b in sorted(pairs)]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 30), max_size=60))
 def test_nearest_smaller(values):
