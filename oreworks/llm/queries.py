@@ -14,6 +14,7 @@ from oreworks.llm.storage import cut
 
 CAPACITY = 4096
 END_ID = 1
+SHARED_BYTES = 256  # some fifty words
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,8 +45,8 @@ def op3_byte_bpe(spark, folder):
 
 
 def op4_suffix_dedup(spark, folder):
-    found = suffix.removals(table(spark, folder, "documents").select("doc_id", "text"), keep_first=False)
-    return suffix.reported(found).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.col("shortened").alias("text"))
+    found = suffix.removals(table(spark, folder, "documents").select("doc_id", "text"), keep_first=False, shorter=SHARED_BYTES)
+    return suffix.reported(found).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.col("shortened").alias("text"), "n_shared")
 
 
 def op5_best_fit_packing(spark, folder):

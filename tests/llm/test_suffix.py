@@ -1,5 +1,6 @@
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -100,6 +101,50 @@ def test_against_brute_force(spark, monkeypatch, keep_first, hot):
         assert dict(rows)[r.doc_id] is not None or r.text is None
 
 
+def shared_bytes(rows, length):
+    """Per document, the bytes under strings of the length that start anywhere else, too."""
+    seen = Counter(t.encode()[i : i + length] for _, t in rows if t for i in range(len(t.encode()) - length + 1))
+    out = {}
+    for d, t in rows:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            if seen[data[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        out[d] = sum(gone)
+    return out
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+@pytest.mark.parametrize("hot", [500, 8 << 20])
+@pytest.mark.parametrize("shorter", [33, 50, 64, 80])
+def test_shorter_repeats_against_brute_force(spark, monkeypatch, keep_first, hot, shorter):
+    """They are told beside the removals, which stay the same."""
+    monkeypatch.setattr(suffix, "HOT_BYTES", hot)
+    monkeypatch.setattr(suffix, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(suffix, "PIECE", 200)
+    r = random.Random(shorter + hot)
+    texts = texts_with_copies(r)
+    passage = "".join(r.choice("uvwxyz") for _ in range(70))  # too short to be removed
+    texts += [passage, passage + " at the end", "at the start " + passage, texts[0] + passage[:-3] + texts[1], passage[5:]]
+    rows = [(i * 17 % 997, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = suffix.reported(suffix.removals(df, 80, keep_first, shorter=shorter)).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found) == brute(rows, 80, keep_first)
+    assert {r.doc_id: r.n_shared for r in found} == shared_bytes(rows, shorter)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.binary(min_size=1, max_size=60), st.lists(st.integers(8, 40), min_size=1, max_size=3, unique=True))
+def test_orders_at_several_depths(data, depths):
+    raw = np.frombuffer(bytes(1 + b % 2 for b in data), np.uint8)
+    for depth, (order, rank) in zip(sorted(depths), suffix.suffix_orders(raw, sorted(depths)), strict=True):
+        alone = suffix.suffix_order(raw, depth)
+        assert rank.tolist() == alone[1].tolist() and sorted(order.tolist()) == list(range(len(raw)))
+        if depth == max(depths):
+            assert order.tolist() == alone[0].tolist()
+
+
 def test_exchange_of_texts_is_shared(spark):
     found = suffix.removals(documents(spark, HARD), keep_first=False)
     found.collect()
@@ -128,3 +173,13 @@ def test_the_query_returns_the_text_that_is_left(spark, tmp_path):
     found = {r.doc_id: r for r in queries.op4_suffix_dedup(spark, str(tmp_path)).collect()}
     assert {d: r.text for d, r in found.items()} == {1: "éone", 2: "two ö", 3: texts[3], 4: None, 5: ""}
     assert [found[1].n_bytes - found[1].n_removed, found[1].n_spans] == [len("éone".encode()), 1]
+
+
+def test_the_query_tells_of_passages_of_fifty_words(spark, tmp_path):
+    """Passages under 400 bytes stay, but are counted."""
+    passage = " ".join(f"wö{i:03}" for i in range(51))  # 356 bytes
+    texts = {1: "one " + passage, 2: passage + " two", 3: "x".join(f"{i}" for i in range(200)), 4: None}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert {d: (r.n_removed, r.n_shared) for d, r in found.items()} == {1: (0, 356), 2: (0, 356), 3: (0, 0), 4: (0, 0)}
+    assert {d: r.text for d, r in found.items()} == texts
