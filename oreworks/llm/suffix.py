@@ -323,7 +323,7 @@ def _factors(hulls: DataFrame, length: int, shorter: int) -> DataFrame:
             if depth == shorter:
                 short = np.bincount(rank[starts], minlength=len(raw))[rank[starts]] > 1
         earlier[full], later[full] = _copies(rank, known, starts[full], length)
-        lists = [_runs(x, owner, starts - offsets[owner], batch.num_rows) for x in (earlier, earlier | later, short)]
+        lists = [_runs(x, owner, starts - offsets[owner], batch.num_rows) for x in (earlier, earlier | later, short if shorter < length else earlier | later)]
         return pa.RecordBatch.from_arrays([*batch.columns[4:7], *lists], names=schema.names)
 
     def strings(before, table: pa.Table, after) -> pa.RecordBatch:
